@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from contentloom.functions.text import general_tokens
 
@@ -32,10 +32,14 @@ def document_frequency(posts: DataFrame) -> DataFrame:
     return posts.groupBy("term").agg(F.count("*").alias("n_docs"))
 
 
+def _bucket(term: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
+
+
 def write_postings(posts: DataFrame, path: str, buckets: int = 256, key: str = "id") -> None:
     """Store by term bucket, sorted by term, so that a look-up reads one bucket and skips
     row groups. Ranges over (bucket, term, id) split a common term over several tasks."""
-    out = posts.withColumn("term_bucket", F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int"))
+    out = posts.withColumn("term_bucket", _bucket(F.col("term"), buckets))
     (
         out.repartitionByRange("term_bucket", "term", key)
         .sortWithinPartitions("term_bucket", "term", key)
@@ -45,6 +49,15 @@ def write_postings(posts: DataFrame, path: str, buckets: int = 256, key: str = "
     )
 
 
+def stored_ids(stored: DataFrame, term: str, buckets: int = 256, key: str = "id") -> DataFrame:
+    """Ids of one term from stored postings. The bucket is a constant expression, so it
+    prunes partitions, and the term filter skips row groups of the sorted files."""
+    wanted = F.lit(term.lower())
+    return stored.filter(
+        (F.col("term_bucket") == _bucket(wanted, buckets)) & (F.col("term") == wanted)
+    ).select(key)
+
+
 def find_all(posts: DataFrame, terms: Sequence[str], key: str = "id") -> DataFrame:
     """Ids that hold every one of the terms."""
     wanted = sorted({t.lower() for t in terms})

@@ -42,7 +42,7 @@ def sentences(text: Column | str) -> Column:
     """Sentences in order, trimmed, without empty ones."""
     text = F.col(text) if isinstance(text, str) else text
     parts = F.regexp_extract_all(text, F.lit(r"[^.!?\n]+[.!?]*"), F.lit(0))
-    return F.filter(F.transform(parts, F.trim), lambda s: s != F.lit(""))
+    return F.filter(F.transform(parts, lambda s: F.trim(s)), lambda s: s != F.lit(""))
 
 
 def sentence_terms(docs: DataFrame, text: str, key: str = "id") -> DataFrame:

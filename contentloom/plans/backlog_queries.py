@@ -324,7 +324,7 @@ def _block_text(height, stamp) -> F.Column:
 @query(
     "block_parse",
     """SELECT CAST(event_id AS INTEGER) AS height,
-  to_timestamp(1700000000 + event_id * 120)::TIMESTAMP AS block_timestamp,
+  make_timestamp((1700000000 + event_id * 120) * 1000000) AS block_timestamp,
   '{"height":' || event_id || ',"timestamp":' || (1700000000 + event_id * 120) || '}' AS data_raw
 FROM events WHERE event_id % 7 <> 3 AND event_id % 11 <> 5""",
 )
@@ -346,10 +346,10 @@ def block_parse(spark: SparkSession, sf: str) -> DataFrame:
   WHERE range NOT IN (SELECT l_orderkey FROM lineitem)),
 numbered AS (SELECT height, row_number() OVER (ORDER BY height) - 1 AS i FROM gaps)
 SELECT CAST(height AS INTEGER) AS height, i // 200 AS batch_id,
-  to_timestamp(1700000000 + height * 120)::TIMESTAMP AS block_timestamp FROM numbered
+  make_timestamp((1700000000 + height * 120) * 1000000) AS block_timestamp FROM numbered
 WHERE i < 40000 AND height % 10 <> 9
 UNION ALL SELECT DISTINCT CAST(l_orderkey AS INTEGER), NULL,
-  to_timestamp(1600000000 + l_orderkey * 120)::TIMESTAMP FROM lineitem""",
+  make_timestamp((1600000000 + l_orderkey * 120) * 1000000) FROM lineitem""",
 )
 def block_backfill(spark: SparkSession, sf: str) -> DataFrame:
     """Gaps, batches, fetched records (every tenth is malformed), gate, parse, load."""

@@ -363,7 +363,7 @@ def content_single_pass(spark: SparkSession, sf: str) -> DataFrame:
     return _all_content(spark, sf).withColumn("tags", F.array_join("tags", ","))
 
 
-_PIPE = f"""{b.EXTRACTED}, {b.PROFILE}, {b.mix_cte('extracted')}, {b.stats_cte('extracted')},
+PIPE = f"""{b.EXTRACTED}, {b.PROFILE}, {b.mix_cte('extracted')}, {b.stats_cte('extracted')},
 gated AS (SELECT * FROM stats {b.EN_SHARE} WHERE {b.GATE}), {b.minhash_cte('gated')}"""
 
 _QC_COLUMNS = """id, created_at, app, body, content_timestamp, title, contributor, tags, retrieved_at,
@@ -384,7 +384,7 @@ def _quality_columns(df: DataFrame) -> DataFrame:
 
 
 def _quality_sql(condition: str = "TRUE") -> str:
-    return f"""WITH {_PIPE}
+    return f"""WITH {PIPE}
 SELECT {_QC_COLUMNS} FROM gated JOIN minhash USING (id) WHERE {condition}
 QUALIFY row_number() OVER (PARTITION BY h1 ORDER BY retrieved_at, id) = 1"""
 
@@ -402,7 +402,7 @@ def quality_content_app(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "quality_counts_by_app",
-    f"""WITH {_PIPE}, kept AS (SELECT app FROM gated JOIN minhash USING (id)
+    f"""WITH {PIPE}, kept AS (SELECT app FROM gated JOIN minhash USING (id)
   QUALIFY row_number() OVER (PARTITION BY h1 ORDER BY retrieved_at, id) = 1)
 SELECT app, before_dedupe, coalesce(after_dedupe, 0) AS after_dedupe
 FROM (SELECT app, count(*) AS before_dedupe FROM gated GROUP BY app)

@@ -1,3 +1,660 @@
+"""Enrichment tables over the documents, and the wide view that joins them."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from contentloom.enrich import (
+    entities,
+    phrases,
+    postings,
+    quality,
+    scoring,
+    similarity,
+    topics,
+    transcripts,
+)
+from contentloom.functions.text import clean_for_scoring
+from contentloom.functions.vectors import cosine_similarity
+from contentloom.operators import fuzzy
+from contentloom.operators.terms import doc_terms
+from contentloom.plans import bindings as b, content_queries as cq
+from contentloom.plans.content import quality_content
 from contentloom.plans.registry import Family
+from contentloom.plans.wide import SHARED_ENTITIES, wide_metadata
+from contentloom.schemas import (
+    ENTITY_TYPES_11,
+    ENTITY_TYPES_15,
+    ENTITY_TYPES_18,
+    TOPIC_LABELS,
+)
+from contentloom.sources.tables import read, spread
 
 FAMILY = Family()
+query = FAMILY.query
+
+
+def _n_docs(spark: SparkSession, sf: str) -> int:
+    return read(spark, sf, "documents").count()
+
+
+# ---- quality score -----------------------------------------------------------------------
+
+_CLEAN = (
+    "lower(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(text), 'http\\S+', ' ', 'g'), "
+    "'#[A-Za-z0-9_]+', '', 'g'), '[^0-9A-Za-z ]', '', 'g'), ' +', ' ', 'g'))"
+)
+
+
+def _scored(spark: SparkSession, sf: str) -> DataFrame:
+    """Word list: the words of the English documents labelled as good."""
+    good = read(spark, sf, "labels").filter("quality = 1").select(F.col("doc_id").alias("id"))
+    docs = b.documents(spark, sf)
+    tokens = F.split(clean_for_scoring("body"), " ", -1)
+    vocabulary = (
+        docs.filter("lang = 'en'").join(good, "id", "left_semi")
+        .select(F.explode(tokens).alias("word")).filter("word <> ''").distinct()
+    )
+    return quality.english_quality(docs, vocabulary)
+
+
+@query(
+    "english_quality",
+    f"""WITH cleaned AS (SELECT doc_id AS id, lang, length(text) AS n, {_CLEAN} AS c FROM documents),
+tokens AS (SELECT id, lang, unnest(string_split(c, ' ')) AS token FROM cleaned),
+vocabulary AS (SELECT DISTINCT token FROM tokens WHERE lang = 'en' AND token <> ''
+  AND id IN (SELECT doc_id FROM labels WHERE quality = 1)),
+hits AS (SELECT id, sum(length(token)) + count(*) - 1 AS joined FROM tokens JOIN vocabulary USING (token) GROUP BY id)
+SELECT id, round(CASE WHEN n = 0 THEN 0 ELSE coalesce(joined, 0) / n END, 6) AS eng_quality,
+  CASE WHEN n = 0 THEN FALSE ELSE coalesce(joined, 0) / n >= 0.3 END AS passes
+FROM cleaned LEFT JOIN hits USING (id)""",
+)
+def english_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return _scored(spark, sf).select(
+        "id", F.round("eng_quality", 6).alias("eng_quality"),
+        (F.col("eng_quality") >= quality.TARGET_QUALITY_RATIO).alias("passes"),
+    )
+
+
+# ---- key phrases, vectors, summaries, titles, style -------------------------------------------
+
+_W = b.sql_words("text")
+_WORDS = f"worded AS (SELECT doc_id AS id, {_W} AS w FROM documents)"
+_IDF = "ln((1.0 + (SELECT count(*) FROM documents)) / (1.0 + count(*))) + 1.0"
+_UNIGRAM_TF = f"""{_WORDS},
+tf AS (SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(w) AS term FROM worded) GROUP BY id, term),
+idf AS (SELECT term, CAST({_IDF} AS DOUBLE) AS idf FROM tf GROUP BY term)"""
+
+_PHRASES = f"""{_WORDS},
+terms AS (SELECT id, unnest(w) AS term FROM worded UNION ALL
+  SELECT id, unnest(list_transform(range(1, len(w)), lambda i: list_extract(w, i) || ' ' || list_extract(w, i + 1)))
+  FROM worded),
+tf AS (SELECT id, term, count(*) AS tf FROM terms GROUP BY id, term),
+idf AS (SELECT term, CAST({_IDF} AS DOUBLE) AS idf FROM tf GROUP BY term),
+best AS (SELECT id, term, row_number() OVER (PARTITION BY id ORDER BY round(tf * idf, 6) DESC, term) AS rank
+  FROM tf JOIN idf USING (term)),
+keywords AS (SELECT id, string_agg(term, ',' ORDER BY rank) AS keywords FROM best WHERE rank <= 5 GROUP BY id)"""
+
+
+@query("keyphrases", f"WITH {_PHRASES} SELECT id, keywords FROM keywords")
+def keyphrases(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.keyphrases(b.documents(spark, sf), _n_docs(spark, sf))
+
+
+@query(
+    "embed_hashed",
+    f"""WITH normal AS (SELECT doc_id, trim(replace(replace(replace(replace(
+  regexp_replace(trim(regexp_replace(text, '\\s+', ' ', 'g')), '. ,', '', 'g'),
+  '..', '.'), '. .', '.'), chr(10), ''), '$.', '')) AS text FROM documents),
+{_UNIGRAM_TF.replace('FROM documents)', 'FROM normal)', 1)},
+slots AS (SELECT id, CAST('0x' || substr(md5(term), 1, 8) AS BIGINT) % 64 AS slot,
+  sum(CASE WHEN substr(md5(term), 9, 1) < '8' THEN tf * idf ELSE -tf * idf END) AS w
+  FROM tf JOIN idf USING (term) GROUP BY 1, 2),
+norms AS (SELECT id, sqrt(sum(w * w)) AS n FROM slots GROUP BY id),
+grid AS (SELECT id, n, range AS slot FROM norms, range(64))
+SELECT id, string_agg(CAST(CAST(round(coalesce(w / n, 0) * 10000) AS BIGINT) AS VARCHAR), ',' ORDER BY slot) AS embedding
+FROM grid LEFT JOIN slots USING (id, slot) GROUP BY id""",
+)
+def embed_hashed(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = phrases.hashed_embeddings(b.documents(spark, sf), _n_docs(spark, sf))
+    scaled = F.transform(
+        "embedding", lambda x: F.round(x * 10000).cast("bigint").cast("string")
+    )
+    return vectors.select("id", F.array_join(scaled, ",").alias("embedding"))
+
+
+_SENTENCES = f"""{_UNIGRAM_TF},
+split AS (SELECT doc_id AS id, list_filter(list_transform(regexp_extract_all(text, '[^.!?\\n]+[.!?]*'),
+  lambda s: trim(s)), lambda s: s <> '') AS ss FROM documents),
+sentences AS (SELECT id, unnest(ss) AS s, unnest(range(0, len(ss))) AS pos FROM split),
+scores AS (SELECT id, pos, round(sum(idf) / count(*), 6) AS score
+  FROM (SELECT id, pos, unnest({b.sql_words('s')}) AS term FROM sentences) JOIN idf USING (term) GROUP BY id, pos),
+ranked AS (SELECT id, pos, row_number() OVER (PARTITION BY id ORDER BY score DESC, pos) AS rank FROM scores)"""
+
+
+@query(
+    "summary_extractive",
+    f"""WITH {_SENTENCES}, picked AS (
+  SELECT id, string_agg(s, ' ' ORDER BY pos) AS summary FROM ranked JOIN sentences USING (id, pos)
+  WHERE rank <= 3 GROUP BY id)
+SELECT doc_id AS id, coalesce(summary, '') AS summary FROM documents LEFT JOIN picked ON id = doc_id""",
+)
+def summary_extractive(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.summaries(b.documents(spark, sf), _n_docs(spark, sf))
+
+
+@query(
+    "title_extractive",
+    f"""WITH {_SENTENCES}
+SELECT doc_id AS id, coalesce(array_to_string(regexp_split_to_array(s, ' +')[1:8], ' '), '') AS title
+FROM documents LEFT JOIN (SELECT * FROM ranked JOIN sentences USING (id, pos) WHERE rank = 1) ON id = doc_id""",
+)
+def title_extractive(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.titles(b.documents(spark, sf), _n_docs(spark, sf))
+
+
+def _count(pattern: str) -> str:
+    return f"len(regexp_extract_all(text, '{pattern}'))"
+
+
+@query(
+    "style_profile",
+    f"""WITH m AS (
+  SELECT id, CAST(len(w) AS BIGINT) AS n_words, CAST(n AS BIGINT) AS n_sentences,
+    round(len(w) / nullif(n, 0), 6) AS mean_sentence_words,
+    round(length(array_to_string(w, '')) / nullif(len(w), 0), 6) AS mean_word_chars,
+    round(len(list_distinct(w)) / nullif(len(w), 0), 6) AS type_token_ratio,
+    round(q / nullif(n, 0), 6) AS question_rate, round(e / nullif(n, 0), 6) AS exclamation_rate,
+    round(d / nullif(c, 0), 6) AS digit_rate
+  FROM (SELECT doc_id AS id, {_W} AS w, length(text) AS c, {_count('[?]')} AS q, {_count('!')} AS e,
+    {_count('[0-9]')} AS d, len(list_filter(list_transform(regexp_extract_all(text, '[^.!?\\n]+[.!?]*'),
+      lambda s: trim(s)), lambda s: s <> '')) AS n FROM documents))
+SELECT *, CASE WHEN n_words = 0 THEN 'empty' WHEN digit_rate > 0.05 THEN 'technical'
+  WHEN question_rate > 0.3 THEN 'inquiring' WHEN exclamation_rate > 0.3 THEN 'emphatic'
+  WHEN mean_sentence_words > 25 THEN 'elaborate' WHEN mean_sentence_words < 8 THEN 'terse'
+  ELSE 'neutral' END AS style FROM m""",
+)
+def style_profile(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.style_profile(b.documents(spark, sf))
+
+
+# ---- topics --------------------------------------------------------------------------------------
+
+
+def _seeds(spark: SparkSession, sf: str) -> DataFrame:
+    """The 140 most common longer words, dealt to the labels: a fixed-size table."""
+    terms = doc_terms(b.documents(spark, sf), "body").filter(F.char_length("term") >= 5)
+    top = (
+        terms.groupBy("term").agg(F.count("*").alias("df"))
+        .orderBy(F.desc("df"), "term").limit(140)
+    )
+    listed = top.agg(
+        F.sort_array(F.collect_list(F.struct((-F.col("df")).alias("o"), "term"))).alias("t")
+    )
+    ranked = listed.select(F.posexplode("t").alias("i", "e"))
+    labels = F.array(*[F.lit(x) for x in TOPIC_LABELS])
+    return ranked.select(
+        F.get(labels, F.col("i") % len(TOPIC_LABELS)).alias("label"),
+        F.col("e.term").alias("term"),
+        (F.lit(5.0) + F.col("i") % 3).alias("weight"),
+    )
+
+
+_LABELS = "[" + ", ".join(f"'{x}'" for x in TOPIC_LABELS) + "]"
+_TOPICS = f"""{_UNIGRAM_TF.replace('idf AS (', 'term_idf AS (')},
+seeds AS (SELECT term, idf, list_extract({_LABELS}, CAST(i % 14 + 1 AS INTEGER)) AS label, 5.0 + i % 3 AS weight FROM (
+  SELECT term, any_value(idf) AS idf, row_number() OVER (ORDER BY count(*) DESC, term) - 1 AS i
+  FROM tf JOIN term_idf USING (term) WHERE length(term) >= 5 GROUP BY term QUALIFY i < 140)),
+label_sums AS (SELECT id, label, CAST(sum(weight * tf / len(w) * idf) AS DOUBLE) AS s
+  FROM tf JOIN seeds USING (term) JOIN worded USING (id) GROUP BY id, label),
+label_scores AS (SELECT id, label, 1 - exp(-coalesce(s, 0)) AS score
+  FROM (SELECT doc_id AS id, unnest({_LABELS}) AS label FROM documents)
+  LEFT JOIN label_sums USING (id, label))"""
+_TOP_CATEGORY = f"""topic_table AS (
+  SELECT id, string_agg(label || '=' || CAST(round(score * 10000) AS BIGINT), ',' ORDER BY label) AS categories,
+    CASE WHEN max(score) > 0.7 THEN arg_max(label, score) ELSE '' END AS top_categories,
+    coalesce(string_agg(label, ',' ORDER BY score DESC, label) FILTER (score > 0.7), '') AS over_threshold
+  FROM label_scores GROUP BY id)"""
+
+
+def _topic_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return topics.topic_scores(
+        b.documents(spark, sf), _seeds(spark, sf), _n_docs(spark, sf)
+    )
+
+
+def _flat_categories(c: str = "categories") -> F.Column:
+    pairs = F.sort_array(F.map_entries(c))
+    return F.array_join(
+        F.transform(
+            pairs,
+            lambda e: F.concat(
+                e["key"], F.lit("="), F.round(e["value"] * 10000).cast("bigint").cast("string")
+            ),
+        ),
+        ",",
+    )
+
+
+@query(
+    "categories",
+    f"WITH {_TOPICS}, {_TOP_CATEGORY} SELECT id, categories, over_threshold FROM topic_table",
+)
+def categories(spark: SparkSession, sf: str) -> DataFrame:
+    return _topic_rows(spark, sf).select(
+        "id", _flat_categories().alias("categories"),
+        F.col("categories_over_threshold").alias("over_threshold"),
+    )
+
+
+@query(
+    "top_category", f"WITH {_TOPICS}, {_TOP_CATEGORY} SELECT id, top_categories FROM topic_table"
+)
+def top_category(spark: SparkSession, sf: str) -> DataFrame:
+    return _topic_rows(spark, sf).select("id", "top_categories")
+
+
+# ---- entities ---------------------------------------------------------------------------------------
+
+_RULE_TAIL = " On 2024-01-05 at 10:30 am the 3rd payment of $1,200.50 was 15% of 42 km, 7."
+
+
+def _entity_docs(spark: SparkSession, sf: str) -> DataFrame:
+    """Every third document gets a sentence with dates, amounts and the like."""
+    tail = F.when(F.col("id") % 3 == 0, F.lit(_RULE_TAIL)).otherwise(F.lit(""))
+    return b.documents(spark, sf).select("id", F.concat("body", tail).alias("body"))
+
+
+def _gazetteer(spark: SparkSession, sf: str) -> DataFrame:
+    """The 300 most common capitalised words and pairs, typed by hash: a fixed-size table."""
+    names = entities.candidate_mentions(b.documents(spark, sf), "body", max_words=2).filter(
+        F.col("mention").rlike(r"^\p{Lu}\p{Ll}{2,}( \p{Ll}+)?$")
+    )
+    top = names.groupBy("mention").agg(F.count("*").alias("n")).orderBy(
+        F.desc("n"), "mention"
+    ).limit(300)
+    types = F.array(*[F.lit(t) for t in ENTITY_TYPES_11])
+    digest = F.conv(F.substring(F.md5(F.col("mention").cast("binary")), 1, 4), 16, 10)
+    return top.select(
+        "mention", F.get(types, (digest.cast("int") % len(ENTITY_TYPES_11))).alias("ent_type")
+    )
+
+
+_TYPES = "[" + ", ".join(f"'{t}'" for t in ENTITY_TYPES_11) + "]"
+
+
+def _ngram_sql(n: int) -> str:
+    parts = " || ' ' || ".join(f"list_extract(w, i + {k})" for k in range(n))
+    return (
+        f"SELECT id, unnest(range(0, len(w) - {n - 1})) AS start, {n} AS length, "
+        f"unnest(list_transform(range(1, len(w) - {n - 2}), lambda i: {parts})) AS mention FROM named"
+    )
+
+
+_ENTITIES = f"""edocs AS (SELECT doc_id AS id,
+  text || CASE WHEN doc_id % 3 = 0 THEN '{_RULE_TAIL}' ELSE '' END AS body, text FROM documents),
+plain AS (SELECT id, list_filter(string_split(trim(regexp_replace(text, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' '),
+  lambda w: w <> '') AS w FROM edocs),
+gazetteer AS (SELECT mention, lower(mention) AS name,
+    list_extract({_TYPES}, CAST('0x' || substr(md5(mention), 1, 4) AS INTEGER) % 11 + 1) AS ent_type
+  FROM ({_ngram_sql(1).replace('FROM named', 'FROM plain')} UNION ALL {_ngram_sql(2).replace('FROM named', 'FROM plain')})
+  WHERE regexp_matches(mention, '^\\p{{Lu}}\\p{{Ll}}{{2,}}( \\p{{Ll}}+)?$')
+  GROUP BY mention ORDER BY count(*) DESC, mention LIMIT 300),
+named AS (SELECT id, list_filter(string_split(trim(regexp_replace(body, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' '),
+  lambda w: w <> '') AS w FROM edocs),
+spans AS ({' UNION ALL '.join(_ngram_sql(n) for n in range(1, 5))}),
+found AS (SELECT id, start, length, spans.mention, ent_type FROM spans JOIN gazetteer ON name = lower(spans.mention)),
+mentions AS (SELECT id, ent_type, start AS pos, mention FROM (
+    SELECT *, max(start + length) OVER (PARTITION BY id ORDER BY start, length DESC
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM found)
+  WHERE reach IS NULL OR start + length > reach)"""
+_VALUES = "value_mentions AS (" + " UNION ALL ".join(
+    f"SELECT id, '{t}' AS ent_type, unnest(regexp_extract_all(body, '{p}')) AS mention FROM edocs"
+    for t, p in entities.VALUE_PATTERNS.items()
+) + ")"
+
+
+def _wide_sql(name: str, source: str, types, first_seen: bool) -> str:
+    order = "pos, mention" if first_seen else "mention"
+    columns = ", ".join(
+        f"coalesce(string_agg(replace(mention, ',', ''), ',' ORDER BY {order}) "
+        f"FILTER (ent_type = '{t}'), '') AS {t.lower()}_entities"
+        for t in types
+    )
+    return f"""{name} AS (SELECT id, {columns} FROM (SELECT id FROM edocs) LEFT JOIN (
+  SELECT id, ent_type, mention, min(pos) AS pos FROM ({source}) GROUP BY id, ent_type, mention) USING (id)
+  GROUP BY id)"""
+
+
+_ALL_MENTIONS = (
+    "SELECT id, ent_type, mention, pos FROM mentions UNION ALL "
+    "SELECT id, ent_type, mention, 0 AS pos FROM value_mentions"
+)
+_WIDE_11 = _wide_sql("wide_11", "SELECT * FROM mentions", ENTITY_TYPES_11, True)
+_WIDE_18 = _wide_sql("wide_18", _ALL_MENTIONS, ENTITY_TYPES_18, False)
+_WIDE_15 = _wide_sql("wide_15", _ALL_MENTIONS, ENTITY_TYPES_15, False)
+
+
+def _mentions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    docs = _entity_docs(spark, sf)
+    named = entities.gazetteer_mentions(docs, _gazetteer(spark, sf))
+    return docs.select("id"), named, entities.value_mentions(docs)
+
+
+@query("entities_wide_11", f"WITH {_ENTITIES}, {_WIDE_11} SELECT * FROM wide_11")
+def entities_wide_11(spark: SparkSession, sf: str) -> DataFrame:
+    ids, named, _ = _mentions(spark, sf)
+    return entities.entity_table(ids, named, ENTITY_TYPES_11)
+
+
+@query("entities_wide_18", f"WITH {_ENTITIES}, {_VALUES}, {_WIDE_18} SELECT * FROM wide_18")
+def entities_wide_18(spark: SparkSession, sf: str) -> DataFrame:
+    ids, named, values = _mentions(spark, sf)
+    return entities.entity_table(
+        ids, named.unionByName(values), ENTITY_TYPES_18, first_seen=False
+    )
+
+
+@query("entities_merged", f"WITH {_ENTITIES}, {_VALUES}, {_WIDE_15} SELECT * FROM wide_15")
+def entities_merged(spark: SparkSession, sf: str) -> DataFrame:
+    ids, named, values = _mentions(spark, sf)
+    return entities.entity_table(
+        ids, named.unionByName(values), ENTITY_TYPES_15, first_seen=False
+    )
+
+
+# ---- transcripts --------------------------------------------------------------------------------------
+
+
+def _segments(spark: SparkSession, sf: str) -> DataFrame:
+    turns = read(spark, sf, "conversations")
+    return transcripts.with_segment_ids(
+        turns.select(
+            F.col("conv_id").alias("file_id"),
+            F.concat(F.lit("https://example.org/media/"), "conv_id").alias("file_url"),
+            "text",
+            (F.col("turn") * 10.0).cast("double").alias("segment_start"),
+            (F.col("turn") * 10.0 + 7.5).cast("double").alias("segment_end"),
+        )
+    )
+
+
+_TRANSCRIPTS = """transcripts AS (
+  SELECT conv_id AS source_url, 'https://example.org/media/' || conv_id AS download_url,
+    string_agg(text, ' ' ORDER BY turn) AS fulltext,
+    CAST(ceil(max(turn) * 10 + 7.5) AS INTEGER) AS length_in_s, count(*) AS n_segments
+  FROM conversations GROUP BY conv_id)"""
+
+
+@query(
+    "transcript_fulltext",
+    f"WITH {_TRANSCRIPTS} SELECT source_url, download_url, fulltext, length_in_s, n_segments FROM transcripts",
+)
+def transcript_fulltext(spark: SparkSession, sf: str) -> DataFrame:
+    rows = transcripts.transcripts(_segments(spark, sf))
+    n = F.json_array_length("transcription_json").cast("bigint")
+    return rows.select(
+        "source_url", "download_url", "fulltext", "length_in_s", n.alias("n_segments")
+    )
+
+
+@query(
+    "transcript_segments",
+    """SELECT conv_id AS file_id, text, CAST(turn * 10 AS DOUBLE) AS segment_start,
+  CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS segment_id FROM conversations""",
+)
+def transcript_segments(spark: SparkSession, sf: str) -> DataFrame:
+    """Segments back from the stored JSON: one file to many rows."""
+    rows = transcripts.transcripts(_segments(spark, sf))
+    schema = "array<struct<segment_id: int, text: string, segment_start: double>>"
+    parsed = rows.select(
+        F.col("source_url").alias("file_id"),
+        F.explode(F.from_json("transcription_json", schema)).alias("s"),
+    )
+    return parsed.select("file_id", "s.text", "s.segment_start", "s.segment_id")
+
+
+# ---- postings -------------------------------------------------------------------------------------------
+
+_POSTINGS = """posts AS (SELECT doc_id AS id, unnest(list_distinct(
+  regexp_extract_all(lower(text), '[0-9A-Za-z\\x{80}-\\x{10FFFF}]+'))) AS term FROM documents)"""
+
+
+@query("keyword_postings", f"WITH {_POSTINGS} SELECT term, id FROM posts")
+def keyword_postings(spark: SparkSession, sf: str) -> DataFrame:
+    return postings.postings(b.documents(spark, sf))
+
+
+@query(
+    "keyword_posting_blocks",
+    f"""WITH {_POSTINGS} SELECT term, id // 4096 AS block,
+  md5(string_agg(CAST(id AS VARCHAR), ',' ORDER BY id)) AS ids_md5, CAST(count(*) AS INTEGER) AS n
+FROM posts GROUP BY 1, 2""",
+)
+def keyword_posting_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    packed = postings.posting_blocks(postings.postings(b.documents(spark, sf)))
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return packed.select("term", "block", F.md5(ids.cast("binary")).alias("ids_md5"), "n")
+
+
+@query(
+    "keyword_document_frequency",
+    f"WITH {_POSTINGS} SELECT term, count(*) AS n_docs FROM posts GROUP BY term",
+)
+def keyword_document_frequency(spark: SparkSession, sf: str) -> DataFrame:
+    return postings.document_frequency(postings.postings(b.documents(spark, sf)))
+
+
+@query(
+    "keyword_lookup",
+    f"""WITH {_POSTINGS} SELECT id FROM posts WHERE term IN ('the', 'of') GROUP BY id HAVING count(*) = 2""",
+)
+def keyword_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    return postings.find_all(postings.postings(b.documents(spark, sf)), ["The", "of"])
+
+
+# ---- model hook and vectors --------------------------------------------------------------------------------
+
+
+def _prompt_sql(task: str, opening: str, closing: str) -> str:
+    nl = "chr(10)"
+    head = scoring.INSTRUCTIONS[task]
+    return (
+        f"'{head}' || {nl} || {nl} || '     Text: {opening}' || substr(text, 1, 15000) "
+        f"|| '{closing}' || {nl} || '     '"
+    )
+
+
+@query(
+    "prompt_batch",
+    f"""SELECT doc_id AS id, {_prompt_sql('summary', '<', '>')} AS summary_prompt,
+  {_prompt_sql('title', '<', '>')} AS title_prompt, {_prompt_sql('style', '', '')} AS style_prompt
+FROM documents""",
+)
+def prompt_batch(spark: SparkSession, sf: str) -> DataFrame:
+    return b.documents(spark, sf).select(
+        "id", *[scoring.prompt("body", t).alias(f"{t}_prompt") for t in scoring.INSTRUCTIONS]
+    )
+
+
+def _length_model():
+    """Stands in for a user's model: maps a batch of texts to a batch of numbers."""
+    return lambda texts: texts.str.len().astype("int64")
+
+
+@query(
+    "score_batches",
+    """SELECT doc_id AS id, lang, length(trim(replace(replace(replace(replace(
+  regexp_replace(trim(regexp_replace(substr(text, 1, 15000), '\\s+', ' ', 'g')), '. ,', '', 'g'),
+  '..', '.'), '. .', '.'), chr(10), ''), '$.', ''))) AS score FROM documents""",
+)
+def score_batches(spark: SparkSession, sf: str) -> DataFrame:
+    docs = b.documents(spark, sf).select("id", "lang", scoring.model_text("body").alias("text"))
+    return scoring.score_batches(docs, "text", _length_model, "score", "bigint")
+
+
+_VECTOR = "CAST(embedding AS DOUBLE[])"
+
+
+@query(
+    "cosine_topk",
+    f"""WITH refs AS (SELECT label, vec_id AS ref_id, {_VECTOR} AS ref FROM embeddings
+  QUALIFY row_number() OVER (PARTITION BY label ORDER BY vec_id) = 1),
+scored AS (SELECT label, ref_id, vec_id, round(list_cosine_similarity({_VECTOR}, ref), 6) AS similarity
+  FROM embeddings JOIN refs USING (label) WHERE vec_id <> ref_id)
+SELECT label, ref_id, vec_id, similarity,
+  CAST(row_number() OVER (PARTITION BY label ORDER BY similarity DESC, vec_id) AS INTEGER) AS rank
+FROM scored QUALIFY rank <= 5""",
+)
+def cosine_topk(spark: SparkSession, sf: str) -> DataFrame:
+    return similarity.most_similar_per_group(
+        read(spark, sf, "embeddings"), "vec_id", "embedding", "label", 5
+    )
+
+
+@query(
+    "cosine_pairs",
+    """SELECT a.vec_id AS left_id, b.vec_id AS right_id,
+  round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS similarity
+FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1""",
+)
+def cosine_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = read(spark, sf, "embeddings")
+    pairs = vectors.select(
+        F.col("vec_id").alias("left_id"), (F.col("vec_id") + 1).alias("right_id")
+    )
+    found = similarity.pair_similarity(pairs, vectors, "vec_id", "embedding")
+    return found.withColumn("similarity", F.round("similarity", 6))
+
+
+@query(
+    "cosine_to_mean",
+    """WITH parts AS (SELECT vec_id, label, unnest(CAST(embedding AS DOUBLE[])) AS x, unnest(range(1, 65)) AS i FROM embeddings),
+means AS (SELECT label, list(m ORDER BY i) AS mean FROM (
+  SELECT label, i, avg(x) AS m FROM parts GROUP BY label, i) GROUP BY label)
+SELECT vec_id, label, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), mean), 6) AS similarity
+FROM embeddings JOIN means USING (label)""",
+)
+def cosine_to_mean(spark: SparkSession, sf: str) -> DataFrame:
+    """Every vector against the mean vector of its label."""
+    vectors = read(spark, sf, "embeddings")
+    parts = vectors.select("label", F.posexplode("embedding").alias("i", "x"))
+    per_slot = parts.groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("m"))
+    means = per_slot.groupBy("label").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("i", "m"))), lambda e: e["m"]).alias("mean")
+    )
+    return vectors.join(means, "label").select(
+        "vec_id", "label", F.round(cosine_similarity("embedding", "mean"), 6).alias("similarity")
+    )
+
+
+# ---- fuzzy keywords -------------------------------------------------------------------------------------------
+
+# Indel distance up to 2, which is all that the lengths in the part table allow:
+# one insertion; two insertions; or one deletion on each side (a common rest).
+_RESTS = "list_transform(range(1, length({0}) + 1), lambda i: substr({0}, 1, i - 1) || substr({0}, i + 1))"
+_INDEL = f"""CASE WHEN a = b THEN 0
+  WHEN abs(length(a) - length(b)) = 1 AND levenshtein(a, b) = 1 THEN 1
+  WHEN abs(length(a) - length(b)) = 2 AND levenshtein(a, b) = 2 THEN 2
+  WHEN length(a) = length(b) AND list_has_any({_RESTS.format('a')}, {_RESTS.format('b')}) THEN 2 END"""
+_FUZZY = f"""words_1 AS (SELECT p_name AS a FROM part UNION ALL SELECT p_brand FROM part),
+words_2 AS (SELECT p_brand AS b FROM part UNION ALL SELECT p_name || 's' FROM part),
+pairs AS (SELECT a, b, CAST(round(100 * (1 - d / (length(a) + length(b)))) AS INTEGER) AS ratio
+  FROM (SELECT a, b, {_INDEL} AS d FROM (SELECT DISTINCT a FROM words_1) CROSS JOIN (SELECT DISTINCT b FROM words_2))
+  WHERE d IS NOT NULL AND ratio > 90)"""
+
+
+def _keyword_sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    part = read(spark, sf, "part")
+    brands = part.select(F.col("p_brand").alias("word"))
+    names = part.select(F.col("p_name").alias("word"))
+    return names.unionAll(brands), brands.unionAll(
+        names.select(F.concat("word", F.lit("s")).alias("word"))
+    )
+
+
+@query("fuzzy_keyword_pairs", f"WITH {_FUZZY} SELECT a, b, ratio FROM pairs")
+def fuzzy_keyword_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    return fuzzy.fuzzy_pairs(*_keyword_sides(spark, sf))
+
+
+@query(
+    "fuzzy_keyword_matches",
+    f"""WITH {_FUZZY} SELECT CAST(sum(n_a * n_b) AS BIGINT) AS num_matches FROM pairs
+JOIN (SELECT a, count(*) AS n_a FROM words_1 GROUP BY a) USING (a)
+JOIN (SELECT b, count(*) AS n_b FROM words_2 GROUP BY b) USING (b)""",
+)
+def fuzzy_keyword_matches(spark: SparkSession, sf: str) -> DataFrame:
+    return fuzzy.count_matches(*_keyword_sides(spark, sf))
+
+
+@query(
+    "keyword_list_matches",
+    f"""WITH lists AS (SELECT p_partkey, [p_name, p_brand, p_type] AS l1,
+  [p_brand || '0', p_name || 's', p_type, 'x' || p_brand] AS l2 FROM part),
+crossed AS (SELECT p_partkey, a, unnest(l2) AS b FROM (SELECT p_partkey, unnest(l1) AS a, l2 FROM lists))
+SELECT p_partkey, count(*) FILTER (d IS NOT NULL AND round(100 * (1 - d / (length(a) + length(b)))) > 90) AS num_matches
+FROM (SELECT p_partkey, a, b, {_INDEL} AS d FROM crossed) GROUP BY p_partkey""",
+)
+def keyword_list_matches(spark: SparkSession, sf: str) -> DataFrame:
+    part = read(spark, sf, "part").select(
+        "p_partkey",
+        F.array("p_name", "p_brand", "p_type").alias("l1"),
+        F.array(
+            F.concat("p_brand", F.lit("0")), F.concat("p_name", F.lit("s")), "p_type",
+            F.concat(F.lit("x"), "p_brand"),
+        ).alias("l2"),
+    )
+    return fuzzy.match_keyword_lists(part, "p_partkey", "l1", "l2")
+
+
+# ---- the wide view ------------------------------------------------------------------------------------------------
+
+
+def _stamped(df: DataFrame, stale: dict) -> DataFrame:
+    """The rows as of now plus an older, outdated row for every id."""
+    now = df.withColumn("created_at", F.lit("2024-06-01").cast("timestamp_ntz"))
+    old = df.withColumns({c: F.lit(v).cast(df.schema[c].dataType) for c, v in stale.items()})
+    return now.unionByName(
+        old.withColumn("created_at", F.lit("2023-06-01").cast("timestamp_ntz"))
+    )
+
+
+_META_ENTITIES = ", ".join(
+    f"coalesce(se.{e}_entities, '') || ',' || coalesce(fe.{e}_entities, '') AS {e}_entities"
+    for e in SHARED_ENTITIES
+)
+_KEYWORD_CTES = _PHRASES.replace("tf AS", "ptf AS").replace("FROM tf", "FROM ptf").replace(
+    "idf AS (", "pidf AS ("
+).replace("JOIN idf", "JOIN pidf").replace("worded AS", "pworded AS").replace("FROM worded", "FROM pworded")
+
+
+@query(
+    "content_metadata_wide",
+    f"""WITH {cq.PIPE}, kept AS (SELECT *, h1 AS ngram_min_1 FROM gated JOIN minhash USING (id)
+  WHERE app = 'odysee' QUALIFY row_number() OVER (PARTITION BY h1 ORDER BY retrieved_at, id) = 1),
+{_ENTITIES}, {_VALUES}, {_WIDE_11}, {_WIDE_18}, {_KEYWORD_CTES}, {_TOPICS}, {_TOP_CATEGORY}
+SELECT kept.id, kept.created_at, kept.app, kept.body, alpha_token_count, ngram_min_1, {_META_ENTITIES},
+  fe.date_entities, top_categories AS top_category, topic_table.categories, keywords.keywords
+FROM kept LEFT JOIN wide_18 fe ON fe.id = kept.id LEFT JOIN wide_11 se ON se.id = kept.id
+LEFT JOIN keywords ON keywords.id = kept.id LEFT JOIN topic_table ON topic_table.id = kept.id""",
+)
+def content_metadata_wide(spark: SparkSession, sf: str) -> DataFrame:
+    content = quality_content(cq.content_with_stats(spark, sf), "odysee")
+    ids, named, values = _mentions(spark, sf)
+    se = entities.entity_table(ids, named, ENTITY_TYPES_11)
+    fe = entities.entity_table(ids, named.unionByName(values), ENTITY_TYPES_18, first_seen=False)
+    kw = phrases.keyphrases(b.documents(spark, sf), _n_docs(spark, sf))
+    wide = wide_metadata(
+        content,
+        _stamped(se, {"person_entities": "stale"}),
+        _stamped(fe, {"date_entities": "stale"}),
+        _stamped(kw, {"keywords": "stale"}),
+        _stamped(_topic_rows(spark, sf), {"top_categories": "stale"}),
+    )
+    parsed = wide.withColumn("_c", F.from_json("categories", "map<string,double>"))
+    return parsed.select(
+        "id", "created_at", "app", "body", "alpha_token_count", "ngram_min_1",
+        *[f"{e}_entities" for e in SHARED_ENTITIES],
+        "date_entities", "top_category", _flat_categories("_c").alias("categories"), "keywords",
+    )

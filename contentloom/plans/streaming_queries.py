@@ -1,3 +1,119 @@
+"""The incremental views as streams over the given files, run until all input is read."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from contentloom.functions.text import with_char_stats
+from contentloom.plans import bindings as b
 from contentloom.plans.registry import Family
+from contentloom.session import scratch_path, scratch_table
+from contentloom.sources import tables as tb
+from contentloom.sources.payloads import transcript_content
+from contentloom.streaming import views
 
 FAMILY = Family()
+query = FAMILY.query
+
+
+def _stream(spark: SparkSession, sf: str, table: str) -> DataFrame:
+    schema = tb.read(spark, sf, table).schema
+    return views.file_stream(spark, sf, schema, name_pattern=f"{table}.parquet")
+
+
+@query(
+    "stream_tracker",
+    f"""WITH {b.DOCS} SELECT id, created_at_dt, created_at, retrieved_at, n_chars AS data_size,
+  CASE WHEN app = 'lens' THEN CASE WHEN id % 2 = 0 THEN 'lenster' ELSE 'hey.xyz' END ELSE app END AS app
+FROM docs""",
+)
+def stream_tracker(spark: SparkSession, sf: str) -> DataFrame:
+    """Newly cached payloads joined to the index."""
+    retrieved = F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, doc_id)")
+    cache = _stream(spark, sf, "documents").select(
+        F.col("doc_id").alias("id"), retrieved.alias("retrieved_at")
+    )
+    return views.materialize(views.tracker(cache, b.index(spark, sf)), "tracker")
+
+
+@query(
+    "stream_transcripts",
+    f"""WITH t AS (SELECT conv_id * 1000 + turn AS id, text AS body FROM conversations), {b.stats_cte('t')}
+SELECT id, body, '' AS title, '' AS contributor, 'odysee' AS app, alpha_token_count, total_char_count,
+  round(non_alpha_ratio, 6) AS non_alpha_ratio FROM stats""",
+)
+def stream_transcripts(spark: SparkSession, sf: str) -> DataFrame:
+    """The batch transform of transcripts, applied to newly inserted transcripts."""
+    def transform(rows: DataFrame) -> DataFrame:
+        content = transcript_content(rows)
+        return with_char_stats(content).select(
+            "id", "body", "title", "contributor", "app", "alpha_token_count",
+            "total_char_count", F.round("non_alpha_ratio", 6).alias("non_alpha_ratio"),
+        )
+
+    inserted = _stream(spark, sf, "conversations").select(
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("source_url"),
+        F.col("text").alias("fulltext"),
+        F.lit("2024-01-01").cast("timestamp").alias("created_at"),
+    )
+    return views.materialize(views.transformed(inserted, transform), "transcripts")
+
+
+@query(
+    "stream_dedupe",
+    "SELECT DISTINCT user_id, event_type FROM events",
+)
+def stream_dedupe(spark: SparkSession, sf: str) -> DataFrame:
+    """First row per (user, type) within the delay."""
+    events = _stream(spark, sf, "events").select("user_id", "event_type", "ts")
+    first = views.first_seen(events, ["user_id", "event_type"], "ts", "60 days")
+    return views.materialize(first.select("user_id", "event_type"), "first-seen")
+
+
+@query(
+    "stream_latest",
+    """SELECT user_id, event_id, event_type, ts FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+)
+def stream_latest(spark: SparkSession, sf: str) -> DataFrame:
+    """Newest row per user, kept in a table by a keyed replace per micro-batch."""
+    events = _stream(spark, sf, "events").select("user_id", "event_id", "event_type", "ts")
+    table = scratch_table(spark, "latest")
+    spark.createDataFrame([], events.schema).write.format("parquet").saveAsTable(table)
+    keys, order = ["user_id"], ["ts", "event_id"]
+    views.keyed_replace_stream(
+        events, keys, order,
+        lambda batch: tb.keyed_replace(batch, table, keys, order),
+        scratch_path(spark, "latest-checkpoint"),
+    )
+    return spark.table(table)
+
+
+@query(
+    "stream_daily",
+    """SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, event_type, count(*) AS n FROM events
+WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) GROUP BY 1, 2""",
+)
+def stream_daily(spark: SparkSession, sf: str) -> DataFrame:
+    """Days that the watermark has closed; the last day stays open in the state."""
+    events = _stream(spark, sf, "events").select("ts", "user_id", "event_type")
+    days = views.daily_counts(events, "ts", "user_id", "0 seconds", "event_type")
+    closed = views.materialize(days, "daily")
+    return closed.select(F.col("day").cast("timestamp_ntz").alias("day"), "event_type", "n")
+
+
+@query(
+    "stream_index_load",
+    """SELECT event_id, CAST(date_trunc('day', ts) AS TIMESTAMP) AS created_at_dt, event_type FROM events
+WHERE contains(lower(event_type), 'click') OR event_type IN ('purchase', 'signup')""",
+)
+def stream_index_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Incremental index build: the checkpoint replaces the high-water mark."""
+    wanted = F.lower("event_type").contains("click") | F.col("event_type").isin(
+        "purchase", "signup"
+    )
+    day = F.date_trunc("day", "ts").cast("timestamp_ntz")
+    rows = _stream(spark, sf, "events").filter(wanted)
+    return views.materialize(
+        rows.select("event_id", day.alias("created_at_dt"), "event_type"), "index-load"
+    )

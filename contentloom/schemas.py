@@ -12,6 +12,10 @@ ENTITY_TYPES_18 = (
     "NORP", "ORDINAL", "ORG", "PERCENT", "PERSON", "PRODUCT", "QUANTITY", "TIME",
     "WORK_OF_ART",
 )
+ENTITY_TYPES_15 = (
+    "PERSON", "NORP", "FAC", "ORG", "GPE", "LOC", "PRODUCT", "EVENT", "WORK_OF_ART",
+    "LAW", "DATE", "LANGUAGE", "MONEY", "QUANTITY", "TIME",
+)
 # Topic labels, lower case.
 TOPIC_LABELS = (
     "pop culture", "artists", "education", "comedy", "lifestyle", "music", "sports",
@@ -61,6 +65,7 @@ QUALITY_SCORE = (
 )
 ENTITIES_11 = _entities(ENTITY_TYPES_11)
 ENTITIES_18 = _entities(ENTITY_TYPES_18)
+ENTITIES_15 = _entities(ENTITY_TYPES_15)
 TOPICS = (
     "id string, created_at timestamp, categories map<string, double>, top_categories string"
 )

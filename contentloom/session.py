@@ -29,6 +29,13 @@ def get_session(master: str | None = None, **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def apply_settings(spark: SparkSession) -> SparkSession:
+    """Set the same on a session made elsewhere."""
+    for key, value in DEFAULTS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 
@@ -53,6 +60,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/contentloom/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def scratch_table(spark: SparkSession, name: str) -> str:
+    """A fresh table name in a database that lives below the shared folder."""
+    spark.sql(
+        "CREATE DATABASE IF NOT EXISTS contentloom_scratch "
+        f"LOCATION '{scratch_root(spark)}/contentloom_scratch'"
+    )
+    return f"contentloom_scratch.{name}_{uuid.uuid4().hex[:12]}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise into the shared folder, so that a lost executor costs a re-read only."""
     scratch_root(df.sparkSession)

@@ -90,12 +90,14 @@ def keyed_replace_partitions(
     touched = [r[0] for r in fresh.select(day).distinct().collect()]
     same_days = old.filter(F.col(day).isin(touched))
     merged = cut_lineage(latest_per_key(same_days.unionByName(fresh), keys, order))
-    (
-        merged.select(*old.columns)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(table)
-    )
+    # The writer option is not read for catalog tables; the session setting is.
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        merged.select(*old.columns).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
 
 
 def deduplicate(table: str, spark: SparkSession, columns: Sequence[str]) -> None:

@@ -13,12 +13,19 @@ from contentloom.session import scratch_path
 
 
 def file_stream(
-    spark: SparkSession, path: str, schema: T.StructType | str, files_per_batch: int | None = None
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType | str,
+    name_pattern: str | None = None,
+    files_per_batch: int | None = None,
 ) -> DataFrame:
+    """New parquet files of a folder; ``name_pattern`` picks files by name."""
     reader = spark.readStream.schema(schema)
+    if name_pattern:
+        reader = reader.option("pathGlobFilter", name_pattern)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+    return reader.parquet(folder)
 
 
 def run_to_table(
