@@ -9,8 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from contentloom.functions.core import comma_free_join, let
 from contentloom.functions.text import word_ngrams
 from contentloom.operators.lookup import BROADCAST_ROWS, lookup
-
-MAX_MENTION_WORDS = 4
+from contentloom.session import cut_lineage
 
 MONTHS = (
     "January|February|March|April|May|June|July|August|September|October|November|December"
@@ -34,7 +33,7 @@ def mention_words(body: Column | str) -> Column:
 
 
 def candidate_mentions(
-    docs: DataFrame, body: str, key: str = "id", max_words: int = MAX_MENTION_WORDS
+    docs: DataFrame, body: str, key: str = "id", max_words: int = 4
 ) -> DataFrame:
     """(id, start, length, mention): every run of one to max_words words."""
     def spans(s: Column, n: int) -> Column:
@@ -61,11 +60,17 @@ def gazetteer_mentions(
 ) -> DataFrame:
     """(id, ent_type, pos, mention): longest gazetteer match per start word; matches
     inside an earlier one are dropped. ``gazetteer`` is (mention, ent_type)."""
-    names = gazetteer.select(
-        F.lower("mention").alias("_name"), F.col("ent_type")
-    ).distinct()
-    candidates = candidate_mentions(docs, body, key).withColumn("_name", F.lower("mention"))
-    found = lookup(candidates, names, "_name", spread_by=key, max_rows=max_rows)
+    names = cut_lineage(
+        gazetteer.select(F.lower("mention").alias("_name"), F.col("ent_type")).distinct()
+    )
+    # Runs longer than the longest name cannot match and are not formed.
+    longest = names.agg(F.max(F.size(F.split("_name", " ")))).first()[0] or 1
+    candidates = candidate_mentions(docs, body, key, longest).withColumn(
+        "_name", F.lower("mention")
+    )
+    found = lookup(
+        candidates, names, "_name", spread_by=key, max_rows=max_rows, materialized=True
+    )
     # Types of one span share its rank, so that an ambiguous name keeps all its types.
     w = Window.partitionBy(key).orderBy(F.asc("start"), F.desc("length"))
     return (

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from contentloom.functions.core import exploded
 from contentloom.functions.text import clean_for_scoring, term_counts, truncate
 from contentloom.operators.lookup import BROADCAST_ROWS, lookup
 
@@ -35,10 +36,8 @@ def english_quality(
     tokens = F.filter(
         F.split(clean_for_scoring(body), " ", -1), lambda w: w != F.lit("")
     )
-    rows = docs.select(
-        key,
-        F.char_length(body).alias("_chars"),
-        F.explode_outer(term_counts(tokens)).alias("_t"),
+    rows = exploded(
+        docs, [key, F.char_length(body).alias("_chars")], term_counts(tokens), "_t", outer=True
     ).select(key, "_chars", F.col("_t.term").alias("token"), F.col("_t.tf").alias("tf"))
     hits = lookup(
         rows, known.withColumn("_known", F.lit(1)), "token", spread_by=key, how="left",

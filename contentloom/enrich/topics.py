@@ -10,6 +10,7 @@ from contentloom.functions.core import let
 from contentloom.operators.lookup import BROADCAST_ROWS, lookup
 from contentloom.operators.terms import doc_terms
 from contentloom.schemas import TOPIC_LABELS
+from contentloom.session import cut_lineage
 
 # Fixed value: a label counts as a topic above this score.
 TOPIC_THRESHOLD = 0.7
@@ -30,6 +31,7 @@ def topic_scores(
     1 - exp(-sum(weight * share of the term in the text * idf)).
     """
     terms = doc_terms(docs, body, key=key)
+    seeds = cut_lineage(seeds)
     seed_terms = seeds.select("term").distinct()
     df = lookup(terms, seed_terms, "term", spread_by=key, max_rows=max_rows).groupBy(
         "term"

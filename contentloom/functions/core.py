@@ -31,6 +31,21 @@ def computed_once(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
     return df.select("*", F.inline_outer(F.array(row)))
 
 
+def exploded(
+    df: DataFrame, keep: Sequence[Column | str], items: Column, name: str, outer: bool = False
+) -> DataFrame:
+    """One row per array item with the kept columns only.
+
+    The kept columns and the array are computed first. In a single select they would be
+    computed after the explode, for every item, and their inputs, such as the whole text,
+    would be copied into every item's row.
+    """
+    slim = df.select(*keep, items.alias(name))
+    explode = F.explode_outer if outer else F.explode
+    others = [c for c in slim.columns if c != name]
+    return slim.select(*others, explode(name).alias(name))
+
+
 def ratio(part: Column, whole: Column) -> Column:
     """Division that is NULL (never an error) for an empty whole, so gates drop the row."""
     return F.try_divide(part.cast("double"), whole.cast("double"))

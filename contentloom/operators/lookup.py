@@ -24,6 +24,7 @@ def lookup(
     how: str = "inner",
     weight: str | None = None,
     max_rows: int = BROADCAST_ROWS,
+    materialized: bool = False,
 ) -> DataFrame:
     """Join facts to a dimension on ``key``.
 
@@ -33,9 +34,11 @@ def lookup(
     at most 1 / HOT_KEYS of the facts. ``weight`` names the dimension column that holds
     the fact count of a key; without it the facts are counted.
 
-    The dimension is materialised once, because the check, the hot keys and the join read it.
+    The check, the hot keys and the join read the dimension, so it is written once, unless
+    the caller has ``materialized`` it.
     """
-    dim = cut_lineage(dim)
+    if not materialized:
+        dim = cut_lineage(dim)
     if fits_broadcast(dim, max_rows):
         return facts.join(F.broadcast(dim), key, how)
     if weight:
@@ -58,5 +61,5 @@ def lookup(
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
         F.array(F.lit(0))
     )
-    salted_dim = dim.withColumn("_salt", F.explode(copies).cast("bigint"))
+    salted_dim = dim.withColumn("_salt", F.explode(copies.cast("array<bigint>")))
     return salted_facts.join(salted_dim, [key, "_salt"], how).drop("_salt")

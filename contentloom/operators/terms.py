@@ -6,22 +6,24 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from contentloom.functions.core import let
+from contentloom.functions.core import computed_once, exploded, let
 from contentloom.functions.text import term_counts, word_ngrams, word_string, words
 from contentloom.operators.lookup import BROADCAST_ROWS, lookup
 
 
 def doc_terms(docs: DataFrame, text: str, ngrams: Sequence[int] = (1,), key: str = "id") -> DataFrame:
-    """(id, term, tf, n_terms): counted inside the row, so no shuffle."""
+    """(id, n_terms, term, tf): counted inside the row, so no shuffle."""
     def terms(s: Column) -> Column:
         return F.concat(*[word_ngrams(s, n) for n in ngrams])
 
-    counted = let(word_string(text), lambda s: term_counts(terms(s)))
-    rows = docs.select(F.col(key), counted.alias("_terms"))
-    total = F.aggregate("_terms", F.lit(0).cast("bigint"), lambda a, t: a + t["tf"])
-    return rows.select(key, total.alias("n_terms"), F.explode("_terms").alias("_t")).select(
-        key, F.col("_t.term").alias("term"), F.col("_t.tf").alias("tf"), "n_terms"
+    listed = computed_once(docs.select(key, text), {"_terms": let(word_string(text), terms)})
+    rows = exploded(
+        listed,
+        [key, F.size("_terms").cast("bigint").alias("n_terms")],
+        term_counts(F.col("_terms")),
+        "_t",
     )
+    return rows.select(key, "n_terms", "_t.term", "_t.tf")
 
 
 def term_stats(terms: DataFrame, n_docs: int) -> DataFrame:

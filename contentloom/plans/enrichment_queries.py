@@ -28,7 +28,8 @@ from contentloom.schemas import (
     ENTITY_TYPES_18,
     TOPIC_LABELS,
 )
-from contentloom.sources.tables import read, spread
+from contentloom.session import cut_lineage
+from contentloom.sources.tables import read
 
 FAMILY = Family()
 query = FAMILY.query
@@ -642,6 +643,7 @@ LEFT JOIN keywords ON keywords.id = kept.id LEFT JOIN topic_table ON topic_table
 def content_metadata_wide(spark: SparkSession, sf: str) -> DataFrame:
     content = quality_content(cq.content_with_stats(spark, sf), "odysee")
     ids, named, values = _mentions(spark, sf)
+    named = cut_lineage(named)
     se = entities.entity_table(ids, named, ENTITY_TYPES_11)
     fe = entities.entity_table(ids, named.unionByName(values), ENTITY_TYPES_18, first_seen=False)
     kw = phrases.keyphrases(b.documents(spark, sf), _n_docs(spark, sf))
