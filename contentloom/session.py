@@ -15,6 +15,9 @@ DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+# Only possible before the session starts: no call site is recorded per column expression.
+START_ONLY = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def get_session(master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators are written for.
@@ -24,7 +27,7 @@ def get_session(master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName("contentloom")
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULTS, **conf}.items():
+    for key, value in {**DEFAULTS, **START_ONLY, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
