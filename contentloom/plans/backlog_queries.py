@@ -10,7 +10,8 @@ from contentloom.operators.keyed import batch_plan, first_per_key, latest_per_ke
 from contentloom.plans import bindings as b
 from contentloom.plans.registry import Family
 from contentloom.sources import blocks as blk
-from contentloom.sources.tables import read
+from contentloom.session import scratch_table
+from contentloom.sources.tables import read, write_bucketed
 
 FAMILY = Family()
 query = FAMILY.query
@@ -47,6 +48,24 @@ def composite_join(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "bucketed_join",
+    """SELECT l_orderkey, l_linenumber, o_custkey FROM lineitem JOIN orders ON o_orderkey = l_orderkey""",
+)
+def bucketed_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Both tables stored in buckets of the join key: the join itself shuffles nothing."""
+    orders, items = scratch_table(spark, "orders"), scratch_table(spark, "items")
+    write_bucketed(
+        read(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), "o_custkey"), orders, ["k"], 8
+    )
+    write_bucketed(
+        read(spark, sf, "lineitem").select(F.col("l_orderkey").alias("k"), "l_linenumber"),
+        items, ["k"], 8,
+    )
+    joined = spark.table(items).join(spark.table(orders), "k")
+    return joined.select(F.col("k").alias("l_orderkey"), "l_linenumber", "o_custkey")
+
+
 # ---- backlog -----------------------------------------------------------------------
 
 

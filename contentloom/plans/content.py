@@ -21,18 +21,21 @@ MIN_ENGLISH_SHARE = 0.9
 VOTE_PHRASE = "%i just voted%"
 
 
-def with_text_stats(df: DataFrame, profile: Profile, body: str = "body") -> DataFrame:
-    """All statistics columns of a content table, each an expression of its own row.
+def with_gate_stats(df: DataFrame, profile: Profile, body: str = "body") -> DataFrame:
+    """The statistics that the gate and the near-duplicate key need, row by row.
 
     Filters on the length columns run before the language mix, and filters on that before
-    the fingerprints, which Spark computes only where a query uses them.
+    the MinHash pair.
     """
     mixed = computed_once(
         with_char_stats(df, body), {"languages": language_mix(body, profile)}
     )
-    return mixed.withColumns(
-        {"ngram_min_hash": minhash_pair(body), "ngram_hash": simhash_chars(body)}
-    )
+    return mixed.withColumn("ngram_min_hash", minhash_pair(body))
+
+
+def with_text_stats(df: DataFrame, profile: Profile, body: str = "body") -> DataFrame:
+    """All statistics columns of a content table."""
+    return with_gate_stats(df, profile, body).withColumn("ngram_hash", simhash_chars(body))
 
 
 def content_union(frames: list[DataFrame]) -> DataFrame:
@@ -83,6 +86,33 @@ def gated(content: DataFrame, app: str = "any") -> DataFrame:
 
 
 def quality_content(content: DataFrame, app: str = "any") -> DataFrame:
-    """Gate first, then the earliest row of every near-duplicate key."""
+    """Gate first, then the earliest row of every near-duplicate key.
+
+    Give it ``with_gate_stats`` and add the SimHash to the survivors: whatever the rows
+    carry is computed before they are compared.
+    """
     keyed = gated(content, app).withColumn("ngram_min_1", F.col("ngram_min_hash.h1"))
     return first_per_key(keyed, ["ngram_min_1"], ["retrieved_at", "id"])
+
+
+def counts_by_app(content: DataFrame) -> DataFrame:
+    """(app, before_dedupe, after_dedupe) in one pass: only the keys and the order columns
+    are shuffled, and a key's list has one entry per application."""
+    keys = gated(content).select(
+        F.col("ngram_min_hash.h1").alias("h1"), "retrieved_at", "id", "app"
+    )
+    per_app = keys.groupBy("h1", "app").agg(
+        F.count("*").alias("n"), F.min(F.struct("retrieved_at", "id")).alias("first")
+    )
+    per_key = per_app.groupBy("h1").agg(
+        F.min_by("app", "first").alias("winner"),
+        F.collect_list(F.struct("app", "n")).alias("apps"),
+    )
+    return (
+        per_key.select("winner", F.explode("apps").alias("a"))
+        .groupBy(F.col("a.app").alias("app"))
+        .agg(
+            F.sum("a.n").alias("before_dedupe"),
+            F.count_if(F.col("winner") == F.col("a.app")).alias("after_dedupe"),
+        )
+    )

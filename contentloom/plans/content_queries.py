@@ -11,10 +11,10 @@ from contentloom.operators import analytics
 from contentloom.plans import bindings as b
 from contentloom.plans.content import (
     content_union,
-    gated,
+    counts_by_app,
     quality_content,
     strict_quality_gate,
-    with_text_stats,
+    with_gate_stats,
 )
 from contentloom.plans.registry import Family
 from contentloom.sources.payloads import (
@@ -65,38 +65,39 @@ def minhash_pair(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _simhash_sql(shingles: str) -> str:
+def _folded_cte(shingles: str, source: str, name: str = "folded") -> str:
+    """CTE ``folded(id, u)``: majority bits over the shingles of every text."""
     bits = " + ".join(
         f"CASE WHEN 2 * sum((h >> {i}) & 1) > count(*) THEN {1 << i}::HUGEINT ELSE 0 END"
         for i in range(64)
     )
-    return f"""WITH {b.DOCS},
-hashed AS (
-  SELECT id, CAST('0x' || substr(md5(g), 1, 16) AS UBIGINT) AS h
-  FROM (SELECT id, unnest({shingles}) AS g FROM (SELECT id, lower(body) AS t FROM docs))),
-folded AS (SELECT id, {bits} AS u FROM hashed GROUP BY id)
-SELECT id, CAST(coalesce(u - CASE WHEN u >= 9223372036854775808 THEN 18446744073709551616 ELSE 0 END, 0)
-  AS BIGINT) AS simhash
-FROM docs LEFT JOIN folded USING (id)"""
+    return f"""{name} AS (SELECT id, {bits} AS u FROM (
+    SELECT id, CAST('0x' || substr(md5(g), 1, 16) AS UBIGINT) AS h
+    FROM (SELECT id, unnest({shingles}) AS g FROM {source})) GROUP BY id)"""
 
 
-@query("simhash_chars", _simhash_sql("list_transform(range(1, length(t) - 1), lambda i: substr(t, i, 3))"))
-def simhash_chars(spark: SparkSession, sf: str) -> DataFrame:
-    return b.documents(spark, sf).select("id", fp.simhash_chars("body").alias("simhash"))
+_SIGNED = """CAST(coalesce(u - CASE WHEN u >= 9223372036854775808 THEN 18446744073709551616 ELSE 0 END, 0)
+  AS BIGINT)"""
+_CHAR_SHINGLES = "list_transform(range(1, length(t) - 1), lambda i: substr(t, i, 3))"
+_WORD_SHINGLES = (
+    "list_transform(range(1, len(w) - 1), lambda i: list_extract(w, i) || ' ' "
+    "|| list_extract(w, i + 1) || ' ' || list_extract(w, i + 2))"
+)
 
 
-_WORDS = b.sql_words("t")
+@query(
+    "simhash_chars",
+    f"""WITH {b.DOCS}, {_folded_cte(_CHAR_SHINGLES, '(SELECT id, lower(body) AS t FROM docs)')}
+SELECT id, {_SIGNED} AS simhash FROM docs LEFT JOIN folded USING (id)""",
+)
+def simhash_chars(spark: SparkSession, sf: str) -> DataFrame:
+    return b.documents(spark, sf).select("id", fp.simhash_chars("body").alias("simhash"))
 
 
 @query(
     "simhash_word_shingles",
-    _simhash_sql(
-        f"list_transform(range(1, len({_WORDS}) - 1), "
-        f"lambda i: list_extract({_WORDS}, i) || ' ' || list_extract({_WORDS}, i + 1) "
-        f"|| ' ' || list_extract({_WORDS}, i + 2))"
-    )
-    .replace("SELECT id, lower(body) AS t FROM docs", f"SELECT id, {b.sql_words('body')} AS w FROM docs")
-    .replace(_WORDS, "w")
+    f"""WITH {b.DOCS}, {_folded_cte(_WORD_SHINGLES, f"(SELECT id, {b.sql_words('body')} AS w FROM docs)")}
+SELECT id, {_SIGNED} AS simhash FROM docs LEFT JOIN folded USING (id)""",
 )
 def simhash_word_shingles(spark: SparkSession, sf: str) -> DataFrame:
     return b.documents(spark, sf).select("id", fp.simhash_words("body").alias("simhash"))
@@ -342,7 +343,7 @@ def _all_content(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def content_with_stats(spark: SparkSession, sf: str) -> DataFrame:
-    return with_text_stats(_all_content(spark, sf), b.language_profile(spark, sf))
+    return with_gate_stats(_all_content(spark, sf), b.language_profile(spark, sf))
 
 
 _FLAT = """SELECT id, created_at, app, body, content_timestamp, title, contributor, tags, retrieved_at"""
@@ -370,6 +371,7 @@ _QC_COLUMNS = """id, created_at, app, body, content_timestamp, title, contributo
   alpha_token_count, alpha_char_count, total_char_count, non_alpha_char_count,
   round(non_alpha_ratio, 6) AS non_alpha_ratio, round(alpha_ratio, 6) AS alpha_ratio,
   round(en, 6) AS en_share, h1 AS ngram_min_1, h2 AS ngram_min_2"""
+_KEPT_SIMHASH = _folded_cte(_CHAR_SHINGLES, "(SELECT id, lower(body) AS t FROM kept)")
 
 
 def _quality_columns(df: DataFrame) -> DataFrame:
@@ -380,13 +382,15 @@ def _quality_columns(df: DataFrame) -> DataFrame:
         r6("non_alpha_ratio").alias("non_alpha_ratio"), r6("alpha_ratio").alias("alpha_ratio"),
         r6(F.col("languages")["en"]).alias("en_share"), "ngram_min_1",
         F.col("ngram_min_hash.h2").alias("ngram_min_2"),
+        fp.simhash_chars("body").alias("ngram_hash"),
     )
 
 
 def _quality_sql(condition: str = "TRUE") -> str:
-    return f"""WITH {PIPE}
-SELECT {_QC_COLUMNS} FROM gated JOIN minhash USING (id) WHERE {condition}
-QUALIFY row_number() OVER (PARTITION BY h1 ORDER BY retrieved_at, id) = 1"""
+    return f"""WITH {PIPE},
+kept AS (SELECT {_QC_COLUMNS} FROM gated JOIN minhash USING (id) WHERE {condition}
+  QUALIFY row_number() OVER (PARTITION BY h1 ORDER BY retrieved_at, id) = 1), {_KEPT_SIMHASH}
+SELECT kept.*, {_SIGNED} AS ngram_hash FROM kept LEFT JOIN folded USING (id)"""
 
 
 @query("quality_content", _quality_sql())
@@ -409,21 +413,7 @@ FROM (SELECT app, count(*) AS before_dedupe FROM gated GROUP BY app)
 LEFT JOIN (SELECT app, count(*) AS after_dedupe FROM kept GROUP BY app) USING (app)"""
 )
 def quality_counts_by_app(spark: SparkSession, sf: str) -> DataFrame:
-    """Only keys and order columns are needed: the text does not reach the shuffle."""
-    keys = gated(content_with_stats(spark, sf)).select(
-        F.col("ngram_min_hash.h1").alias("h1"), "retrieved_at", "id", "app"
-    )
-    per_key = keys.groupBy("h1", "app").agg(
-        F.count("*").alias("n"), F.min(F.struct("retrieved_at", "id")).alias("first")
-    )
-    survivors = per_key.groupBy("h1").agg(F.min_by("app", "first").alias("winner"))
-    before = per_key.groupBy("app").agg(F.sum("n").alias("before_dedupe"))
-    after = survivors.groupBy(F.col("winner").alias("app")).agg(
-        F.count("*").alias("after_dedupe")
-    )
-    return before.join(after, "app", "left").select(
-        "app", "before_dedupe", F.coalesce("after_dedupe", F.lit(0)).alias("after_dedupe")
-    )
+    return counts_by_app(content_with_stats(spark, sf))
 
 
 @query(

@@ -47,6 +47,19 @@ def write_clustered(
     writer.format("parquet").saveAsTable(table)
 
 
+def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int) -> None:
+    """Create or replace a table bucketed and sorted by its join key. Tables with the same
+    buckets (payload cache, index, content, enrichment tables) join without a shuffle."""
+    (
+        df.repartition(buckets, *keys)
+        .write.mode("overwrite")
+        .bucketBy(buckets, *keys)
+        .sortBy(*keys)
+        .format("parquet")
+        .saveAsTable(table)
+    )
+
+
 def append(df: DataFrame, table: str) -> None:
     """Append, projected to the columns of the table."""
     target = df.sparkSession.table(table).schema

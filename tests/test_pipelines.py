@@ -265,6 +265,23 @@ def test_tables(spark):
         tb.append(new.drop("v").withColumn("d", F.lit(1)), table)
 
 
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    left, right = scratch_table(spark, "l"), scratch_table(spark, "r")
+    for table in (left, right):
+        tb.write_bucketed(spark.range(100), table, ["id"], 4)
+    joined = spark.table(left).hint("merge").join(spark.table(right), "id")
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.count() == 100
+
+
+def test_counts_by_app_match_the_tables(spark):
+    content = _content(spark)
+    before = {r.app: r["count"] for r in ct.gated(content).groupBy("app").count().collect()}
+    after = {r.app: r["count"] for r in ct.quality_content(content).groupBy("app").count().collect()}
+    got = {r.app: (r.before_dedupe, r.after_dedupe) for r in ct.counts_by_app(content).collect()}
+    assert got == {a: (n, after.get(a, 0)) for a, n in before.items()}
+
+
 def test_partition_merge_leaves_other_days_alone(spark):
     table = scratch_table(spark, "days")
     df = spark.createDataFrame([(1, 1, "d1"), (1, 1, "d2")], "k int, ver int, day string")
