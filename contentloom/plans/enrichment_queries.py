@@ -17,6 +17,7 @@ from contentloom.enrich import (
 from contentloom.functions.text import clean_for_scoring
 from contentloom.functions.vectors import cosine_similarity
 from contentloom.operators import fuzzy
+from contentloom.operators.lookup import lookup
 from contentloom.operators.terms import doc_terms
 from contentloom.plans import bindings as b, content_queries as cq
 from contentloom.plans.content import quality_content
@@ -544,7 +545,7 @@ def cosine_to_mean(spark: SparkSession, sf: str) -> DataFrame:
     means = per_slot.groupBy("label").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("i", "m"))), lambda e: e["m"]).alias("mean")
     )
-    return vectors.join(means, "label").select(
+    return lookup(vectors, means, "label", spread_by="vec_id").select(
         "vec_id", "label", F.round(cosine_similarity("embedding", "mean"), 6).alias("similarity")
     )
 
