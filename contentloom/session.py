@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -39,23 +40,26 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables.
+    """The shared folder for intermediate tables, which ``spark.checkpoint.dir`` names.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only where neither that setting nor a
-    checkpoint folder is present (local runs, tests) is a temporary one created.
+    Executors of a cluster do not see a temporary folder of the driver, so without the
+    setting this fails there. Only a single-process session (tests, local runs) gets one.
     """
     sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    current = sc._jsc.sc().getCheckpointDir()
-    if configured:
-        if current.isEmpty():
-            sc.setCheckpointDir(configured)
-        return configured.rstrip("/")
-    if current.isEmpty():
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="contentloom-"))
-        current = sc._jsc.sc().getCheckpointDir()
-    return current.get().rstrip("/")
+    root = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_ROOTS.get(sc.applicationId)
+    if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError(
+                "set spark.checkpoint.dir to a folder that the driver and all executors share"
+            )
+        root = _LOCAL_ROOTS[sc.applicationId] = tempfile.mkdtemp(prefix="contentloom-")
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
+    return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
