@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from contentloom.llm import oracles
 from contentloom.llm.packing import pack_documents
+from contentloom.llm.secrets import find_secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,5 +27,9 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), **tokenizer_files())
 
 
-QUERIES = {"op7_packing": op7_packing}
-ORACLES: dict[str, str] = {}
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(_table(spark, sf_dir, "documents")).drop("secret_spans")
+
+
+QUERIES = {"op7_packing": op7_packing, "op9_secrets": op9_secrets}
+ORACLES = {"op9_secrets": oracles.OP9}
