@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from contentloom.llm import oracles
+from contentloom.llm.decontamination import decontaminate
 from contentloom.llm.packing import pack_documents
 from contentloom.llm.secrets import find_secrets
 
@@ -31,5 +32,13 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(_table(spark, sf_dir, "documents")).drop("secret_spans")
 
 
-QUERIES = {"op7_packing": op7_packing, "op9_secrets": op9_secrets}
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {
+    "op7_packing": op7_packing,
+    "op9_secrets": op9_secrets,
+    "op10_decontamination": op10_decontamination,
+}
 ORACLES = {"op9_secrets": oracles.OP9}
