@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from contentloom.llm import oracles
 from contentloom.llm.decontamination import decontaminate
+from contentloom.llm.near_dedup import near_duplicates
 from contentloom.llm.packing import pack_documents
 from contentloom.llm.secrets import find_secrets
 
@@ -36,7 +37,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
+
+
 QUERIES = {
+    "op3_near_dedup": op3_near_dedup,
     "op7_packing": op7_packing,
     "op9_secrets": op9_secrets,
     "op10_decontamination": op10_decontamination,
