@@ -9,6 +9,7 @@ from contentloom.llm import oracles
 from contentloom.llm.decontamination import decontaminate
 from contentloom.llm.near_dedup import near_duplicates
 from contentloom.llm.packing import pack_documents
+from contentloom.llm.quality import score_quality
 from contentloom.llm.secrets import find_secrets
 
 
@@ -41,8 +42,20 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpus_pipeline import run  # it builds on this module
+
+    return run(spark, sf_dir)
+
+
 QUERIES = {
+    "pipeline": pipeline,
     "op3_near_dedup": op3_near_dedup,
+    "op4_quality": op4_quality,
     "op7_packing": op7_packing,
     "op9_secrets": op9_secrets,
     "op10_decontamination": op10_decontamination,
