@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from contentloom.llm import oracles
 from contentloom.llm.decontamination import decontaminate
+from contentloom.llm.language_model import score_texts
 from contentloom.llm.near_dedup import near_duplicates
 from contentloom.llm.packing import pack_documents
 from contentloom.llm.quality import score_quality
@@ -26,6 +27,10 @@ def tokenizer_files() -> dict[str, str]:
     }
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(_table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), **tokenizer_files())
 
@@ -56,6 +61,7 @@ QUERIES = {
     "pipeline": pipeline,
     "op3_near_dedup": op3_near_dedup,
     "op4_quality": op4_quality,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_packing": op7_packing,
     "op9_secrets": op9_secrets,
     "op10_decontamination": op10_decontamination,
