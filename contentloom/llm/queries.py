@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from contentloom.llm import oracles
 from contentloom.llm.decontamination import decontaminate
+from contentloom.llm.language_id import identify_languages
 from contentloom.llm.language_model import score_texts
 from contentloom.llm.near_dedup import near_duplicates
 from contentloom.llm.packing import pack_documents
@@ -43,6 +44,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(_table(spark, sf_dir, "documents"))
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
 
@@ -59,6 +64,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "pipeline": pipeline,
+    "op2_language_id": op2_language_id,
     "op3_near_dedup": op3_near_dedup,
     "op4_quality": op4_quality,
     "op6_lm_scoring": op6_lm_scoring,
