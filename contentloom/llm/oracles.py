@@ -49,3 +49,19 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
   coalesce(a, '') AS spans
 FROM d LEFT JOIN agg USING (uid)
 """
+
+OP8 = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id,
+    [floor(64 * x::DOUBLE) FOR x IN embedding] AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, c.r AS cr,
+    list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 20 = 0),
+k AS (
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id, cr)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM k WHERE rank <= 20
+"""

@@ -13,6 +13,7 @@ from contentloom.llm.near_dedup import near_duplicates
 from contentloom.llm.packing import pack_documents
 from contentloom.llm.quality import score_quality
 from contentloom.llm.secrets import find_secrets
+from contentloom.llm.topk import top_k
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +37,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), **tokenizer_files())
 
 
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(_table(spark, sf_dir, "embeddings"))
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(_table(spark, sf_dir, "documents")).drop("secret_spans")
 
@@ -69,7 +74,11 @@ QUERIES = {
     "op4_quality": op4_quality,
     "op6_lm_scoring": op6_lm_scoring,
     "op7_packing": op7_packing,
+    "op8_topk": op8_topk,
     "op9_secrets": op9_secrets,
     "op10_decontamination": op10_decontamination,
 }
-ORACLES = {"op9_secrets": oracles.OP9}
+ORACLES = {
+    "op8_topk": oracles.OP8,
+    "op9_secrets": oracles.OP9,
+}
