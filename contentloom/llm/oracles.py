@@ -65,3 +65,44 @@ k AS (
   SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id, cr)::INTEGER AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM k WHERE rank <= 20
 """
+
+OP5 = """
+WITH r AS (
+  SELECT 2 * page_id AS id, url, page_id * 3600 % 1000003 AS t, true AS isfull,
+    CASE WHEN page_id % 3 <> 1 THEN '"' || md5(coalesce(html, '')) || '"' END AS etag,
+    CASE WHEN page_id % 7 <> 1 THEN 'day ' || page_id % 365 END AS modified,
+    page_id FROM pages
+  UNION ALL
+  SELECT 2 * page_id + 1, url, page_id * 3600 % 1000003 + CASE WHEN page_id % 11 = 0 THEN -7 ELSE 86400 END,
+    false, CASE WHEN page_id % 3 <> 1 THEN 'W/"' || md5(coalesce(html, '') ||
+      CASE WHEN page_id % 5 = 0 THEN '!' ELSE '' END) || '"' END,
+    CASE WHEN page_id % 7 <> 1 THEN 'day ' || page_id % 365 END, page_id FROM pages),
+p AS (
+  SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(url, '://([^/?#]*)', 1)),
+      ':(80|443)$', ''), '^www[.]', '') AS host,
+    regexp_extract(url, '://[^/?#]*([^?#]*)', 1) AS path,
+    array_to_string(list_sort([x FOR x IN string_split(regexp_extract(url, '://[^?#]*[?]([^#]*)', 1), '&')
+      IF x <> '' AND NOT starts_with(x, 'utm_')]), '&') AS q FROM r),
+c AS (
+  SELECT *, CASE WHEN contains(url, '://') THEN host || CASE WHEN path = '' THEN '/' ELSE path END ||
+    CASE WHEN q = '' THEN '' ELSE '?' || q END END AS u FROM p),
+m AS (
+  SELECT v.*, f.id AS fid, f.etag AS fetag, f.modified AS fmodified, f.t AS ft
+  FROM (SELECT * FROM c WHERE NOT isfull) v LEFT JOIN (SELECT * FROM c WHERE isfull) f
+    ON v.u = f.u AND f.t < v.t
+  QUALIFY row_number() OVER (PARTITION BY v.id ORDER BY f.t DESC NULLS LAST, f.id DESC NULLS LAST) = 1),
+s AS (
+  SELECT *, CASE WHEN fid IS NULL THEN 'missing'
+    WHEN etag IS NOT NULL AND fetag IS NOT NULL THEN
+      CASE WHEN replace(etag, 'W/', '') = replace(fetag, 'W/', '') THEN 'resolved' ELSE 'mismatch' END
+    WHEN modified IS NOT NULL AND fmodified IS NOT NULL THEN
+      CASE WHEN modified = fmodified THEN 'resolved' ELSE 'mismatch' END
+    ELSE 'unchecked' END AS status FROM m)
+SELECT id AS record_id, u AS canonical_url, fid AS response_id, status,
+  CASE WHEN status = 'resolved' THEN
+      CASE WHEN fetag IS NOT NULL AND etag IS NULL THEN 'ETag=' || fetag || ';' ELSE '' END ||
+      'Content-Type=text/html;Date=' || t || CASE WHEN etag IS NOT NULL THEN ';ETag=' || etag ELSE '' END
+    ELSE 'Date=' || t || CASE WHEN etag IS NOT NULL THEN ';ETag=' || etag ELSE '' END || ';Content-Type=none'
+  END AS headers
+FROM s
+"""

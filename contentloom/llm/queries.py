@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from contentloom.llm import oracles
 from contentloom.llm.decontamination import decontaminate
@@ -12,8 +12,10 @@ from contentloom.llm.language_model import score_texts
 from contentloom.llm.near_dedup import near_duplicates
 from contentloom.llm.packing import pack_documents
 from contentloom.llm.quality import score_quality
+from contentloom.llm.revisits import captures_of, resolve_revisits
 from contentloom.llm.secrets import find_secrets
 from contentloom.llm.topk import top_k
+from contentloom.llm.urls import filter_urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +31,12 @@ def tokenizer_files() -> dict[str, str]:
     }
 
 
+def op5_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    resolved = resolve_revisits(captures_of(_table(spark, sf_dir, "pages")))
+    line = F.transform("headers", lambda h: F.concat_ws("=", h["name"], h["value"]))
+    return resolved.withColumn("headers", F.array_join(line, ";"))
+
+
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(_table(spark, sf_dir, "documents"))
 
@@ -49,6 +57,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = _table(spark, sf_dir, "labels")
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    return filter_urls(_table(spark, sf_dir, "pages"), labels, bad)
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(_table(spark, sf_dir, "documents"))
 
@@ -69,9 +83,11 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "pipeline": pipeline,
+    "op1_url_filter": op1_url_filter,
     "op2_language_id": op2_language_id,
     "op3_near_dedup": op3_near_dedup,
     "op4_quality": op4_quality,
+    "op5_revisits": op5_revisits,
     "op6_lm_scoring": op6_lm_scoring,
     "op7_packing": op7_packing,
     "op8_topk": op8_topk,
@@ -79,6 +95,7 @@ QUERIES = {
     "op10_decontamination": op10_decontamination,
 }
 ORACLES = {
+    "op5_revisits": oracles.OP5,
     "op8_topk": oracles.OP8,
     "op9_secrets": oracles.OP9,
 }
