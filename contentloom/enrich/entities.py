@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from contentloom.functions.core import comma_free_join, let
 from contentloom.functions.text import word_ngrams
-from contentloom.operators.lookup import BROADCAST_ROWS, lookup
+from contentloom.operators.lookup import BROADCAST_BYTES, lookup
 from contentloom.session import cut_lineage
 
 MONTHS = (
@@ -33,9 +33,9 @@ def mention_words(body: Column | str) -> Column:
 
 
 def candidate_mentions(
-    docs: DataFrame, body: str, key: str = "id", max_words: int = 4
+    docs: DataFrame, body: str, key: str = "id", lengths: Sequence[int] = (1, 2, 3, 4)
 ) -> DataFrame:
-    """(id, start, length, mention): every run of one to max_words words."""
+    """(id, start, length, mention): every run of as many words as ``lengths`` lists."""
     def spans(s: Column, n: int) -> Column:
         return F.transform(
             word_ngrams(s, n),
@@ -46,7 +46,7 @@ def candidate_mentions(
 
     all_spans = let(
         mention_words(body),
-        lambda s: F.concat(*[spans(s, n) for n in range(1, max_words + 1)]),
+        lambda s: F.concat(*[spans(s, n) for n in lengths]),
     )
     return docs.select(key, F.explode(all_spans).alias("_m")).select(key, "_m.*")
 
@@ -56,20 +56,21 @@ def gazetteer_mentions(
     gazetteer: DataFrame,
     body: str = "body",
     key: str = "id",
-    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """(id, ent_type, pos, mention): longest gazetteer match per start word; matches
     inside an earlier one are dropped. ``gazetteer`` is (mention, ent_type)."""
     names = cut_lineage(
         gazetteer.select(F.lower("mention").alias("_name"), F.col("ent_type")).distinct()
     )
-    # Runs longer than the longest name cannot match and are not formed.
-    longest = names.agg(F.max(F.size(F.split("_name", " ")))).first()[0] or 1
-    candidates = candidate_mentions(docs, body, key, longest).withColumn(
+    # Runs of a length that no name has cannot match and are not formed.
+    sizes = names.select(F.size(F.split("_name", " ")).alias("n")).distinct()
+    lengths = sorted(r[0] for r in sizes.collect()) or [1]
+    candidates = candidate_mentions(docs, body, key, lengths).withColumn(
         "_name", F.lower("mention")
     )
     found = lookup(
-        candidates, names, "_name", spread_by=key, max_rows=max_rows, materialized=True
+        candidates, names, "_name", spread_by=key, max_bytes=max_bytes, materialized=True
     )
     # Types of one span share its rank, so that an ambiguous name keeps all its types.
     w = Window.partitionBy(key).orderBy(F.asc("start"), F.desc("length"))

@@ -8,7 +8,7 @@ from contentloom.functions.core import col, let
 from contentloom.functions.fingerprint import md5_text
 from contentloom.functions.text import normalize_text, words
 from contentloom.operators.keyed import top_k_per_key
-from contentloom.operators.lookup import BROADCAST_ROWS
+from contentloom.operators.lookup import BROADCAST_BYTES
 from contentloom.operators.terms import (
     doc_terms,
     sentence_terms,
@@ -29,14 +29,14 @@ def keyphrases(
     body: str = "body",
     key: str = "id",
     k: int = KEY_PHRASES,
-    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """(id, keywords): the k best one- and two-word phrases by TF-IDF, best first.
 
     Scores are rounded before ranking, so that ties are ties on every engine.
     """
     terms = doc_terms(docs, body, ngrams=(1, 2), key=key)
-    scored = with_idf(terms, term_stats(terms, n_docs), key, max_rows).withColumn(
+    scored = with_idf(terms, term_stats(terms, n_docs), key, max_bytes).withColumn(
         "score", F.round(F.col("tf") * F.col("idf"), 6)
     )
     top = top_k_per_key(
@@ -54,12 +54,12 @@ def hashed_embeddings(
     body: str = "body",
     key: str = "id",
     dim: int = EMBEDDING_DIM,
-    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """(id, embedding): TF-IDF weights added up in hashed, signed slots, L2-normalised."""
     ready = docs.select(key, normalize_text(body).alias("_text"))
     terms = doc_terms(ready, "_text", key=key)
-    weighted = with_idf(terms, term_stats(terms, n_docs), key, max_rows)
+    weighted = with_idf(terms, term_stats(terms, n_docs), key, max_bytes)
     digest = md5_text(F.col("term"))
     slot = F.pmod(
         F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint"), F.lit(dim)
@@ -92,12 +92,12 @@ def sentence_scores(
     n_docs: int,
     body: str = "body",
     key: str = "id",
-    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """(id, pos, score): mean IDF of the words of each sentence; no sentence text moves."""
     terms = doc_terms(docs, body, key=key)
     weighted = with_idf(
-        sentence_terms(docs, body, key), term_stats(terms, n_docs), key, max_rows
+        sentence_terms(docs, body, key), term_stats(terms, n_docs), key, max_bytes
     )
     return weighted.groupBy(key, "pos").agg(
         F.round(
@@ -117,10 +117,10 @@ def summaries(
     body: str = "body",
     key: str = "id",
     k: int = SUMMARY_SENTENCES,
-    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """(id, summary): the k best sentences in text order; '' for a text without words."""
-    best = _best_positions(sentence_scores(docs, n_docs, body, key, max_rows), key, k)
+    best = _best_positions(sentence_scores(docs, n_docs, body, key, max_bytes), key, k)
     picked = let(
         sentences(body), lambda ss: F.transform("_best", lambda p: F.get(ss, p))
     )
@@ -135,10 +135,10 @@ def titles(
     body: str = "body",
     key: str = "id",
     n_words: int = TITLE_WORDS,
-    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """(id, title): the first words of the best sentence."""
-    best = _best_positions(sentence_scores(docs, n_docs, body, key, max_rows), key, 1)
+    best = _best_positions(sentence_scores(docs, n_docs, body, key, max_bytes), key, 1)
     sentence = let(sentences(body), lambda ss: F.get(ss, F.get("_best", F.lit(0))))
     cut = F.array_join(F.slice(F.split(sentence, " +", -1), 1, n_words), " ")
     return docs.select(key, body).join(best, key, "left").select(

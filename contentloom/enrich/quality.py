@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from contentloom.functions.core import exploded
 from contentloom.functions.text import clean_for_scoring, term_counts, truncate
-from contentloom.operators.lookup import BROADCAST_ROWS, lookup
+from contentloom.operators.lookup import BROADCAST_BYTES, lookup
 
-# Length of the stored excerpt and the suggested pass mark.
-CONTENT_SHORT_CHARS = 100_000
+# Fixed value: the suggested pass mark.
 TARGET_QUALITY_RATIO = 0.3
 
 
@@ -19,7 +18,7 @@ def english_quality(
     body: str = "body",
     key: str = "id",
     lemmas: DataFrame | None = None,
-    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """(id, eng_quality): length of the known words, joined by spaces, over the length of
     the original text in characters; 0.0 for an empty text.
@@ -41,7 +40,7 @@ def english_quality(
     ).select(key, "_chars", F.col("_t.term").alias("token"), F.col("_t.tf").alias("tf"))
     hits = lookup(
         rows, known.withColumn("_known", F.lit(1)), "token", spread_by=key, how="left",
-        max_rows=max_rows,
+        max_bytes=max_bytes,
     )
     n = F.when(F.col("_known") == 1, F.col("tf"))
     sums = hits.groupBy(key, "_chars").agg(
@@ -55,11 +54,19 @@ def english_quality(
     )
 
 
-def quality_rows(docs: DataFrame, scores: DataFrame, body: str = "body", key: str = "id") -> DataFrame:
-    """Rows of the quality table: scores with the stored excerpt, time stamp and a flag."""
+def quality_rows(
+    docs: DataFrame,
+    scores: DataFrame,
+    body: str = "body",
+    key: str = "id",
+    excerpt_chars: int | None = None,
+) -> DataFrame:
+    """Rows of the quality table: scores with the stored text (an excerpt if a length is
+    given), time stamp and a flag."""
+    stored = F.col(body) if excerpt_chars is None else truncate(body, excerpt_chars)
     return (
         docs.join(scores, key)
-        .withColumn("content_short", truncate(body, CONTENT_SHORT_CHARS))
+        .withColumn("content_short", stored)
         .withColumn("processed_at", F.current_timestamp())
         .withColumn("passes_target", F.col("eng_quality") >= TARGET_QUALITY_RATIO)
         .drop(body)

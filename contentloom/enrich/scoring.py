@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -10,26 +10,32 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from contentloom.functions.core import col
 from contentloom.functions.text import normalize_text, truncate
 
-# Size limit of a model call and the instructions that go before the text.
-MODEL_INPUT_CHARS = 15_000
+#: What a model is asked about a text; another mapping can be given.
 INSTRUCTIONS = {
-    "summary": "Generate me a short summary of text in brackets.",
-    "title": "Generate me a title for the text in brackets.",
-    "style": "In wihch style written text below?",
+    "summary": "Sum up the following text in a few sentences.",
+    "title": "Suggest a title for the following text.",
+    "style": "Name the writing style of the following text.",
 }
 
 
-def model_text(body: Column | str) -> Column:
-    """Cut to the model's input size, then normalised."""
-    return normalize_text(truncate(body, MODEL_INPUT_CHARS))
+def _whole(body: Column | str, max_chars: int | None) -> Column:
+    return col(body) if max_chars is None else truncate(col(body), max_chars)
 
 
-def prompt(body: Column | str, task: str) -> Column:
-    """Instruction and text of a model call; text is bracketed except for style."""
-    text = truncate(col(body), MODEL_INPUT_CHARS)
-    bracketed = text if task == "style" else F.concat(F.lit("<"), text, F.lit(">"))
-    head = f"{INSTRUCTIONS[task]}\n\n     Text: "
-    return F.concat(F.lit(head), bracketed, F.lit("\n     "))
+def model_text(body: Column | str, max_chars: int | None = None) -> Column:
+    """The normalised text, whole unless the model has an input limit."""
+    return normalize_text(_whole(body, max_chars))
+
+
+def prompt(
+    body: Column | str,
+    task: str,
+    max_chars: int | None = None,
+    instructions: Mapping[str, str] = INSTRUCTIONS,
+) -> Column:
+    """Instruction and text of a model call, the text between markers."""
+    head = f"{instructions[task]}\n<text>\n"
+    return F.concat(F.lit(head), _whole(body, max_chars), F.lit("\n</text>"))
 
 
 def score_batches(

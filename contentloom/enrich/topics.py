@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from contentloom.functions.core import let
-from contentloom.operators.lookup import BROADCAST_ROWS, lookup
+from contentloom.operators.lookup import BROADCAST_BYTES, lookup
 from contentloom.operators.terms import doc_terms
 from contentloom.schemas import TOPIC_LABELS
 from contentloom.session import cut_lineage
@@ -23,7 +23,7 @@ def topic_scores(
     body: str = "body",
     key: str = "id",
     labels: Sequence[str] = TOPIC_LABELS,
-    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """(id, categories, top_categories, categories_over_threshold).
 
@@ -33,7 +33,7 @@ def topic_scores(
     terms = doc_terms(docs, body, key=key)
     seeds = cut_lineage(seeds)
     seed_terms = seeds.select("term").distinct()
-    df = lookup(terms, seed_terms, "term", spread_by=key, max_rows=max_rows).groupBy(
+    df = lookup(terms, seed_terms, "term", spread_by=key, max_bytes=max_bytes).groupBy(
         "term"
     ).agg(F.count("*").alias("df"))
     idf = F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0
@@ -53,7 +53,7 @@ def topic_scores(
         key, F.lit("").alias("term"), F.lit(0).cast("bigint").alias("tf"),
         F.lit(1).cast("bigint").alias("n_terms"),
     )
-    hits = lookup(terms, by_term, "term", spread_by=key, max_rows=max_rows)
+    hits = lookup(terms, by_term, "term", spread_by=key, max_bytes=max_bytes)
     with_all = hits.unionByName(blank, allowMissingColumns=True)
     share = F.col("tf") / F.col("n_terms")
     sums = with_all.groupBy(key).agg(

@@ -8,7 +8,7 @@ from contentloom.functions.core import col, let, ratio
 from contentloom.functions.text import words
 
 PROFILE_WORDS = 40
-TOP_LANGUAGES = 3
+MAX_LANGUAGES = 1_000
 
 Profile = dict[str, list[str]]
 
@@ -37,15 +37,18 @@ def profile_table(labelled: DataFrame, text: str, lang: str, k: int = PROFILE_WO
 
 
 def collect_profile(table: DataFrame) -> Profile:
-    """At most k words per language by construction, hence small enough for literals."""
+    """At most k words per language by construction; more languages than any corpus has
+    point to a wrong label column and are refused before they reach the driver."""
+    if table.select("lang").distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages: is this a language column?")
     profile: Profile = {}
     for row in table.orderBy("lang", "token").collect():
         profile.setdefault(row["lang"], []).append(row["token"])
     return profile
 
 
-def language_mix(body: Column | str, profile: Profile) -> Column:
-    """map<language, share> of the three strongest languages.
+def language_mix(body: Column | str, profile: Profile, top: int | None = None) -> Column:
+    """map<language, share> of all languages found, or of the ``top`` strongest.
 
     Two set look-ups per word inside the row: no shuffle of the text. The first keeps the
     words any profile knows, the second counts each language among those.
@@ -70,7 +73,7 @@ def language_mix(body: Column | str, profile: Profile) -> Column:
         present = F.sort_array(F.filter(shares, lambda s: s["order"] < 0))
         return F.map_from_entries(
             F.transform(
-                F.slice(present, 1, TOP_LANGUAGES),
+                present if top is None else F.slice(present, 1, top),
                 lambda s: F.struct(s["lang"], -s["order"]),
             )
         )

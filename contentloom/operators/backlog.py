@@ -68,19 +68,12 @@ def backlog(
     done: DataFrame,
     keys: Sequence[str],
     limit: int | None = None,
-    prefix: int | None = None,
     seed: int | None = None,
     distinct_on: str | None = None,
     order: Sequence[str] = (),
 ) -> DataFrame:
-    """Anti join, optional one-row-per-id, then a random portion.
-
-    ``prefix`` keeps an arbitrary prefix before the random pick; it is cheaper and makes
-    the pick random within that prefix only, not over the whole backlog.
-    """
+    """Anti join, optional one-row-per-id, then a random portion of the whole backlog."""
     todo = not_done(source, done, keys)
-    if prefix is not None:
-        todo = todo.limit(prefix)
     if distinct_on:
         todo = first_per_key(todo, [distinct_on], order or [distinct_on])
     return random_subset(todo, limit, seed) if limit is not None else todo

@@ -6,10 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from contentloom.functions.core import col
-
-ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 512
+from contentloom.session import cut_lineage
 
 
 def _one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], pick) -> DataFrame:
@@ -44,46 +41,40 @@ def top_k_per_key(
 
 
 def with_ordinal(df: DataFrame, key: str, name: str = "ordinal") -> DataFrame:
-    """0-based global position by a unique numeric key, without a global window.
+    """0-based global position by a unique key, without a global window.
 
-    Quantile bounds cut the key range into even buckets, bucket counts give each bucket
-    its offset, and rows are numbered inside their bucket. The bounds are literals, so a
-    re-run task numbers its rows the same way. The offsets table has one row per bucket.
+    Ranges of the key, as many as the session has shuffle partitions, are numbered apart
+    and start where the ranges before them end. The ranges are written once, since the
+    bounds of a repeated range partitioning may differ. One window sees the ranges' sizes:
+    a row per shuffle partition.
     """
-    total = df.count()
-    buckets = max(1, min(MAX_BUCKETS, -(-total // ROWS_PER_BUCKET)))
-    bucket = F.lit(0)
-    if buckets > 1:
-        cuts = df.approxQuantile(key, [i / buckets for i in range(1, buckets)], 0.1 / buckets)
-        bounds = F.array(*[F.lit(c) for c in sorted(set(cuts))])
-        bucket = F.size(F.filter(bounds, lambda b: b <= F.col(key)))
-    return _number_in_buckets(df.withColumn("_bucket", bucket), key, name)
-
-
-def _number_in_buckets(df: DataFrame, key: str, name: str) -> DataFrame:
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = cut_lineage(
+        df.repartitionByRange(max(2, parts), key).withColumn("_bucket", F.spark_partition_id())
+    )
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        df.groupBy("_bucket")
+        ranged.groupBy("_bucket")
         .agg(F.count("*").alias("_rows"))
         .select("_bucket", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     )
     local = F.row_number().over(Window.partitionBy("_bucket").orderBy(key)) - 1
     return (
-        df.withColumn("_local", local)
-        .join(F.broadcast(offsets), "_bucket")
+        ranged.withColumn("_local", local)
+        .join(offsets, "_bucket")
         .withColumn(name, (F.col("_offset") + F.col("_local")).cast("bigint"))
         .drop("_bucket", "_local", "_offset")
     )
 
 
 def batch_plan(
-    df: DataFrame, key: Column | str, batch_size: int, max_batches: int
+    df: DataFrame, key: str, batch_size: int, max_batches: int | None = None
 ) -> DataFrame:
-    """Number the first ``batch_size * max_batches`` rows by key into batches.
+    """Number all rows by a unique key into batches of ``batch_size``.
 
-    The cap is the feature (a bounded work list per run); it also bounds the one window
-    partition that numbers the list.
+    ``max_batches`` asks for the first batches only, where a run should take no more.
     """
-    work = df.orderBy(col(key)).limit(batch_size * max_batches)
-    position = F.row_number().over(Window.orderBy(col(key))) - 1
-    return work.withColumn("batch_id", F.floor(position / batch_size).cast("bigint"))
+    batch = F.floor(F.col("_position") / batch_size).cast("bigint")
+    planned = with_ordinal(df, key, "_position").withColumn("batch_id", batch).drop("_position")
+    return planned if max_batches is None else planned.filter(F.col("batch_id") < max_batches)

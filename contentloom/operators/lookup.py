@@ -2,18 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from contentloom.session import cut_lineage
 
-BROADCAST_ROWS = 500_000
-HOT_KEYS = 256
-SALTS = 64
+BROADCAST_BYTES = 32 << 20
+ROW_OVERHEAD = 24
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """A bounded check: no more than max_rows + 1 rows are counted."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def _bytes_of(value: Column, kind: T.DataType) -> Column:
+    """About what a value takes in memory; NULL takes nothing."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        size = F.octet_length(value)
+    elif isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, (T.StringType, T.BinaryType, T.ArrayType, T.StructType)):
+            size = F.aggregate(
+                value, F.lit(0).cast("long"), lambda n, e: n + 8 + _bytes_of(e, kind.elementType).cast("long")
+            )
+        else:
+            size = F.size(value) * 8
+    elif isinstance(kind, T.StructType):
+        size = sum((_bytes_of(value[f.name], f.dataType) for f in kind), F.lit(8))
+    else:
+        size = F.lit(8)
+    return F.coalesce(size.cast("long"), F.lit(0))
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Size of a table's values, summed up where they are."""
+    row = sum((_bytes_of(F.col(f"`{f.name}`"), f.dataType) for f in df.schema), F.lit(ROW_OVERHEAD))
+    return df.agg(F.sum(row)).first()[0] or 0
+
+
+def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    return measured_bytes(df) <= max_bytes
 
 
 def lookup(
@@ -23,43 +45,45 @@ def lookup(
     spread_by: str,
     how: str = "inner",
     weight: str | None = None,
-    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
     materialized: bool = False,
 ) -> DataFrame:
     """Join facts to a dimension on ``key``.
 
-    A dimension whose counted size allows it is broadcast. Beyond that both sides are
-    shuffled, and the heaviest keys are salted: their facts go to SALTS tasks by the hash
-    of ``spread_by`` and only their dimension rows are copied. A key outside the list has
-    at most 1 / HOT_KEYS of the facts. ``weight`` names the dimension column that holds
-    the fact count of a key; without it the facts are counted.
+    A dimension whose measured size allows it is broadcast. Beyond that both sides are
+    shuffled. Keys with more than a task's share of the facts are salted, into as many
+    parts as they have such shares: their facts are dealt by the hash of ``spread_by`` and
+    only their dimension rows are copied. At most a key per shuffle partition can be that
+    hot, so the list of hot keys is small by construction. ``weight`` names the dimension
+    column that holds the fact count of a key; without it the facts are counted.
 
     The check, the hot keys and the join read the dimension, so it is written once, unless
     the caller has ``materialized`` it.
     """
     if not materialized:
         dim = cut_lineage(dim)
-    if fits_broadcast(dim, max_rows):
+    if fits_broadcast(dim, max_bytes):
         return facts.join(F.broadcast(dim), key, how)
-    if weight:
-        ranked = dim.select(key, F.col(weight).alias("_n"))
-    else:
-        ranked = facts.groupBy(key).agg(F.count("*").alias("_n"))
-    hot = [
-        r[0]
-        for r in ranked.filter(F.col(key).isNotNull())
-        .orderBy(F.desc("_n"), F.asc(key))
-        .limit(HOT_KEYS)
-        .select(key)
-        .collect()
-    ]
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    salted_facts = facts.withColumn(
-        "_salt",
-        F.when(is_hot, F.pmod(F.xxhash64(spread_by), F.lit(SALTS))).otherwise(F.lit(0)),
+    counts = (
+        dim.select(key, F.col(weight).alias("_n"))
+        if weight
+        else facts.groupBy(key).agg(F.count("*").alias("_n"))
+    ).filter(F.col(key).isNotNull())
+    parts = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    share = max(1, total // parts)
+    hot = cut_lineage(
+        counts.filter(F.col("_n") > share).select(key, F.ceil(F.col("_n") / share).alias("_parts"))
+    )
+    one = F.lit(1).cast("bigint")
+    salted_facts = (
+        facts.join(F.broadcast(hot), key, "left")
+        .withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.coalesce("_parts", one)))
+        .drop("_parts")
     )
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
-        F.array(F.lit(0))
+    salted_dim = (
+        dim.join(F.broadcast(hot), key, "left")
+        .withColumn("_salt", F.explode(F.sequence(one - 1, F.coalesce("_parts", one) - 1)))
+        .drop("_parts")
     )
-    salted_dim = dim.withColumn("_salt", F.explode(copies.cast("array<bigint>")))
     return salted_facts.join(salted_dim, [key, "_salt"], how).drop("_salt")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from contentloom.functions.core import computed_once, exploded, let
 from contentloom.functions.text import term_counts, word_ngrams, word_string, words
-from contentloom.operators.lookup import BROADCAST_ROWS, lookup
+from contentloom.operators.lookup import BROADCAST_BYTES, lookup
 
 
 def doc_terms(docs: DataFrame, text: str, ngrams: Sequence[int] = (1,), key: str = "id") -> DataFrame:
@@ -33,10 +33,10 @@ def term_stats(terms: DataFrame, n_docs: int) -> DataFrame:
     return df.withColumn("idf", idf)
 
 
-def with_idf(terms: DataFrame, stats: DataFrame, key: str = "id", max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def with_idf(terms: DataFrame, stats: DataFrame, key: str = "id", max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Attach df and idf; the vocabulary grows with the corpus, so hot terms are salted."""
     return lookup(
-        terms, stats, "term", spread_by=key, weight="df", max_rows=max_rows
+        terms, stats, "term", spread_by=key, weight="df", max_bytes=max_bytes
     )
 
 

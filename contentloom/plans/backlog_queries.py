@@ -10,7 +10,7 @@ from contentloom.operators.keyed import batch_plan, first_per_key, latest_per_ke
 from contentloom.plans import bindings as b
 from contentloom.plans.registry import Family
 from contentloom.sources import blocks as blk
-from contentloom.session import scratch_table
+from contentloom.session import cut_lineage, scratch_table
 from contentloom.sources.tables import read, write_bucketed
 
 FAMILY = Family()
@@ -211,10 +211,10 @@ def missing_heights(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "batch_plan",
     """SELECT o_orderkey, i // 200 AS batch_id FROM (
-  SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS i FROM orders) WHERE i < 200 * 200""",
+  SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS i FROM orders)""",
 )
 def batch_plan_query(spark: SparkSession, sf: str) -> DataFrame:
-    return batch_plan(read(spark, sf, "orders").select("o_orderkey"), "o_orderkey", 200, 200)
+    return batch_plan(read(spark, sf, "orders").select("o_orderkey"), "o_orderkey", 200)
 
 
 # ---- incremental loads -----------------------------------------------------------------
@@ -366,7 +366,7 @@ def block_parse(spark: SparkSession, sf: str) -> DataFrame:
 numbered AS (SELECT height, row_number() OVER (ORDER BY height) - 1 AS i FROM gaps)
 SELECT CAST(height AS INTEGER) AS height, i // 200 AS batch_id,
   make_timestamp((1700000000 + height * 120) * 1000000) AS block_timestamp FROM numbered
-WHERE i < 40000 AND height % 10 <> 9
+WHERE height % 10 <> 9
 UNION ALL SELECT DISTINCT CAST(l_orderkey AS INTEGER), NULL,
   make_timestamp((1600000000 + l_orderkey * 120) * 1000000) FROM lineitem""",
 )
@@ -374,8 +374,8 @@ def block_backfill(spark: SparkSession, sf: str) -> DataFrame:
     """Gaps, batches, fetched records (every tenth is malformed), gate, parse, load."""
     stored = read(spark, sf, "lineitem").select("l_orderkey")
     upper = stored.agg(F.max("l_orderkey")).first()[0] + 1
-    gaps = bl.missing_heights(spark, stored, upper, "l_orderkey", limit=100_000)
-    work = batch_plan(gaps, "height", 200, 200)
+    gaps = bl.missing_heights(spark, stored, upper, "l_orderkey")
+    work = cut_lineage(batch_plan(gaps, "height", 200))
     h = F.col("height")
     text = _block_text(h, h * 120 + 1700000000)
     fetched = work.select(

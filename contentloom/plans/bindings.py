@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from contentloom.functions.language import Profile, collect_profile, profile_table
-from contentloom.sources.tables import read, spread
+from contentloom.sources.tables import read
 
 APPS = ("paragraph", "lens", "mirrorxyz", "cyberconnect", "odysee")
 
@@ -18,9 +18,17 @@ def _source_number() -> Column:
     return F.substring("source", 4, 10).cast("int")
 
 
+def _given_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """The given documents. A test table is one file of one row group, which no reader can
+    split; only such a table is dealt to the cores here, by the binding and not by the library."""
+    df = read(spark, sf, "documents")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) == 1 else df
+
+
 def documents(spark: SparkSession, sf: str) -> DataFrame:
     """id, body, lang, source, app, created_at, created_at_dt, retrieved_at, cycle, n_chars."""
-    d = spread(read(spark, sf, "documents"))
+    d = _given_texts(spark, sf)
     app = F.element_at(
         F.array(*[F.lit(a) for a in APPS]), (_source_number() % len(APPS)) + 1
     )
@@ -169,7 +177,7 @@ EXTRACTED = (
 
 
 def language_profile(spark: SparkSession, sf: str) -> Profile:
-    return collect_profile(profile_table(spread(read(spark, sf, "documents")), "text", "lang"))
+    return collect_profile(profile_table(_given_texts(spark, sf), "text", "lang"))
 
 
 # Word list of a text column, and the profile made of the labelled documents.
@@ -190,13 +198,13 @@ PROFILE = f"""profile AS (
 
 
 def mix_cte(source: str) -> str:
-    """CTE ``mix(id, lang, share, pos)``: the three strongest languages of each text."""
+    """CTE ``mix(id, lang, share, pos)``: the languages of each text, strongest first."""
     return f"""mix AS (
   WITH tokens AS (SELECT id, unnest({sql_words('body')}) AS token FROM {source}),
   hits AS (SELECT id, lang, count(*) AS n FROM tokens JOIN profile USING (token) GROUP BY id, lang)
   SELECT id, lang, n / sum(n) OVER (PARTITION BY id) AS share,
     row_number() OVER (PARTITION BY id ORDER BY n DESC, lang) AS pos
-  FROM hits QUALIFY pos <= 3)"""
+  FROM hits)"""
 
 
 def stats_cte(source: str, name: str = "stats") -> str:

@@ -183,30 +183,26 @@ def style_profile(spark: SparkSession, sf: str) -> DataFrame:
 # ---- topics --------------------------------------------------------------------------------------
 
 
+def _benchmark_texts(spark: SparkSession, sf: str) -> DataFrame:
+    return read(spark, sf, "benchmark").select(F.col("item_id").alias("id"), F.col("text").alias("body"))
+
+
 def _seeds(spark: SparkSession, sf: str) -> DataFrame:
-    """The 140 most common longer words, dealt to the labels: a fixed-size table."""
-    terms = doc_terms(b.documents(spark, sf), "body").filter(F.char_length("term") >= 5)
-    top = (
-        terms.groupBy("term").agg(F.count("*").alias("df"))
-        .orderBy(F.desc("df"), "term").limit(140)
-    )
-    listed = top.agg(
-        F.sort_array(F.collect_list(F.struct((-F.col("df")).alias("o"), "term"))).alias("t")
-    )
-    ranked = listed.select(F.posexplode("t").alias("i", "e"))
+    """The longer words of the benchmark texts, dealt to the labels by their hash."""
+    terms = doc_terms(_benchmark_texts(spark, sf), "body").filter(F.char_length("term") >= 5)
+    i = F.conv(F.substring(F.md5(F.col("term").cast("binary")), 1, 4), 16, 10).cast("int")
     labels = F.array(*[F.lit(x) for x in TOPIC_LABELS])
-    return ranked.select(
-        F.get(labels, F.col("i") % len(TOPIC_LABELS)).alias("label"),
-        F.col("e.term").alias("term"),
-        (F.lit(5.0) + F.col("i") % 3).alias("weight"),
+    return terms.select("term").distinct().select(
+        F.get(labels, i % len(TOPIC_LABELS)).alias("label"), "term", (F.lit(5.0) + i % 3).alias("weight")
     )
 
 
 _LABELS = "[" + ", ".join(f"'{x}'" for x in TOPIC_LABELS) + "]"
 _TOPICS = f"""{_UNIGRAM_TF.replace('idf AS (', 'term_idf AS (')},
-seeds AS (SELECT term, idf, list_extract({_LABELS}, CAST(i % 14 + 1 AS INTEGER)) AS label, 5.0 + i % 3 AS weight FROM (
-  SELECT term, any_value(idf) AS idf, row_number() OVER (ORDER BY count(*) DESC, term) - 1 AS i
-  FROM tf JOIN term_idf USING (term) WHERE length(term) >= 5 GROUP BY term QUALIFY i < 140)),
+seeds AS (SELECT term, idf, list_extract({_LABELS}, i % 14 + 1) AS label, 5.0 + i % 3 AS weight FROM (
+  SELECT DISTINCT term, CAST('0x' || substr(md5(term), 1, 4) AS INTEGER) AS i
+  FROM (SELECT unnest({b.sql_words('text')}) AS term FROM benchmark) WHERE length(term) >= 5)
+  JOIN term_idf USING (term)),
 label_sums AS (SELECT id, label, CAST(sum(weight * tf / len(w) * idf) AS DOUBLE) AS s
   FROM tf JOIN seeds USING (term) JOIN worded USING (id) GROUP BY id, label),
 label_scores AS (SELECT id, label, 1 - exp(-coalesce(s, 0)) AS score
@@ -268,16 +264,13 @@ def _entity_docs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _gazetteer(spark: SparkSession, sf: str) -> DataFrame:
-    """The 300 most common capitalised words and pairs, typed by hash: a fixed-size table."""
-    names = entities.candidate_mentions(b.documents(spark, sf), "body", max_words=2).filter(
+    """The capitalised words and pairs of the benchmark texts, typed by their hash."""
+    names = entities.candidate_mentions(_benchmark_texts(spark, sf), "body", lengths=(1, 2)).filter(
         F.col("mention").rlike(r"^\p{Lu}\p{Ll}{2,}( \p{Ll}+)?$")
     )
-    top = names.groupBy("mention").agg(F.count("*").alias("n")).orderBy(
-        F.desc("n"), "mention"
-    ).limit(300)
     types = F.array(*[F.lit(t) for t in ENTITY_TYPES_11])
     digest = F.conv(F.substring(F.md5(F.col("mention").cast("binary")), 1, 4), 16, 10)
-    return top.select(
+    return names.select("mention").distinct().select(
         "mention", F.get(types, (digest.cast("int") % len(ENTITY_TYPES_11))).alias("ent_type")
     )
 
@@ -295,13 +288,13 @@ def _ngram_sql(n: int) -> str:
 
 _ENTITIES = f"""edocs AS (SELECT doc_id AS id,
   text || CASE WHEN doc_id % 3 = 0 THEN '{_RULE_TAIL}' ELSE '' END AS body, text FROM documents),
-plain AS (SELECT id, list_filter(string_split(trim(regexp_replace(text, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' '),
-  lambda w: w <> '') AS w FROM edocs),
+plain AS (SELECT item_id AS id, list_filter(string_split(trim(regexp_replace(text, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' '),
+  lambda w: w <> '') AS w FROM benchmark),
 gazetteer AS (SELECT mention, lower(mention) AS name,
     list_extract({_TYPES}, CAST('0x' || substr(md5(mention), 1, 4) AS INTEGER) % 11 + 1) AS ent_type
   FROM ({_ngram_sql(1).replace('FROM named', 'FROM plain')} UNION ALL {_ngram_sql(2).replace('FROM named', 'FROM plain')})
   WHERE regexp_matches(mention, '^\\p{{Lu}}\\p{{Ll}}{{2,}}( \\p{{Ll}}+)?$')
-  GROUP BY mention ORDER BY count(*) DESC, mention LIMIT 300),
+  GROUP BY mention),
 named AS (SELECT id, list_filter(string_split(trim(regexp_replace(body, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' '),
   lambda w: w <> '') AS w FROM edocs),
 spans AS ({' UNION ALL '.join(_ngram_sql(n) for n in range(1, 5))}),
@@ -458,19 +451,14 @@ def keyword_lookup(spark: SparkSession, sf: str) -> DataFrame:
 # ---- model hook and vectors --------------------------------------------------------------------------------
 
 
-def _prompt_sql(task: str, opening: str, closing: str) -> str:
-    nl = "chr(10)"
-    head = scoring.INSTRUCTIONS[task]
-    return (
-        f"'{head}' || {nl} || {nl} || '     Text: {opening}' || substr(text, 1, 15000) "
-        f"|| '{closing}' || {nl} || '     '"
-    )
+def _prompt_sql(task: str) -> str:
+    return f"'{scoring.INSTRUCTIONS[task]}' || chr(10) || '<text>' || chr(10) || text || chr(10) || '</text>'"
 
 
 @query(
     "prompt_batch",
-    f"""SELECT doc_id AS id, {_prompt_sql('summary', '<', '>')} AS summary_prompt,
-  {_prompt_sql('title', '<', '>')} AS title_prompt, {_prompt_sql('style', '', '')} AS style_prompt
+    f"""SELECT doc_id AS id, {_prompt_sql('summary')} AS summary_prompt,
+  {_prompt_sql('title')} AS title_prompt, {_prompt_sql('style')} AS style_prompt
 FROM documents""",
 )
 def prompt_batch(spark: SparkSession, sf: str) -> DataFrame:
@@ -487,7 +475,7 @@ def _length_model():
 @query(
     "score_batches",
     """SELECT doc_id AS id, lang, length(trim(replace(replace(replace(replace(
-  regexp_replace(trim(regexp_replace(substr(text, 1, 15000), '\\s+', ' ', 'g')), '. ,', '', 'g'),
+  regexp_replace(trim(regexp_replace(text, '\\s+', ' ', 'g')), '. ,', '', 'g'),
   '..', '.'), '. .', '.'), chr(10), ''), '$.', ''))) AS score FROM documents""",
 )
 def score_batches(spark: SparkSession, sf: str) -> DataFrame:

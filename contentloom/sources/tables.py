@@ -14,16 +14,6 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of a table that comes in fewer splits than there are cores.
-
-    For text columns, whose work per row is heavy: a small file is one split. A table of
-    any size has more splits than cores, and is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def to_schema(df: DataFrame, schema: T.StructType | str) -> DataFrame:
     """The columns of a table schema in order and type; a missing one is an error."""
     if isinstance(schema, str):

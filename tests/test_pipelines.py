@@ -118,7 +118,7 @@ def test_english_quality(spark):
     lemmas = spark.createDataFrame([("cats", "cat"), ("sat", "sit")], "token string, lemma string")
     with_lemmas = quality.english_quality(docs, vocabulary, lemmas=lemmas)
     assert {r.id: r.eng_quality for r in with_lemmas.collect()}[4] == 1.0
-    salted = quality.english_quality(docs, vocabulary, max_rows=0)
+    salted = quality.english_quality(docs, vocabulary, max_bytes=0)
     assert {r.id: r.eng_quality for r in salted.collect()} == got
     stored = quality.quality_rows(docs, quality.english_quality(docs, vocabulary))
     assert "body" not in stored.columns and stored.filter("passes_target").count() == 1
@@ -147,7 +147,7 @@ def test_entities(spark):
     wide18 = entities.entity_table(docs.select("id"), both, schemas.ENTITY_TYPES_18, first_seen=False)
     three = next(r for r in wide18.collect() if r.id == 3)
     assert (three.percent_entities, three.money_entities, three.date_entities) == ("7%", "$5", "2024-01-02")
-    assert rows(entities.gazetteer_mentions(docs, gazetteer, max_rows=1)) == rows(named)
+    assert rows(entities.gazetteer_mentions(docs, gazetteer, max_bytes=1)) == rows(named)
 
 
 def test_mention_with_comma_loses_it(spark):
@@ -183,7 +183,7 @@ def test_phrases_summaries_titles_styles(spark):
     )
     kw = {r.id: r.keywords for r in phrases.keyphrases(docs, 3, k=2).collect()}
     assert set(kw) == {1, 3} and kw[3] == "the,the the"
-    assert {r.id: r.keywords for r in phrases.keyphrases(docs, 3, k=2, max_rows=1).collect()} == kw
+    assert {r.id: r.keywords for r in phrases.keyphrases(docs, 3, k=2, max_bytes=1).collect()} == kw
     summary = {r.id: r.summary for r in phrases.summaries(docs, 3, k=2).collect()}
     assert summary == {1: "Rare zebra runs. The rare quagga sleeps!", 2: "", 3: "the the the"}
     title = {r.id: r.title for r in phrases.titles(docs, 3, n_words=2).collect()}
