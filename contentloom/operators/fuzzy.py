@@ -42,29 +42,28 @@ def may_match(a: Column, b: Column, threshold: int = FUZZY_THRESHOLD) -> Column:
     return F.levenshtein(a, b) < total * (1 - threshold / 100)
 
 
-def _max_deletions(length: int, threshold: int) -> int:
-    """How many characters a word of this length can lose on the way to a partner."""
-    share, most = _edit_share(threshold), 0
-    for other in range(1, 2 * length + 1):
-        gap = abs(length - other)
-        for d in range(gap, length + other, 2):
-            if d < share * (length + other):
-                most = max(most, (d + length - other) // 2)
-    return most
-
-
-def _deletion_keys(word: str, max_len: int, threshold: int) -> Column:
-    """The word and everything left of it after the deletions its length allows."""
-    shorter = (
-        "array_distinct(flatten(transform({level}, s -> transform(sequence(1, length(s)), "
-        "p -> concat(substring(s, 1, p - 1), substring(s, p + 1))))))"
-    )
-    level, every = f"array({word})", [f"array({word})"]
-    for n in range(1, _max_deletions(max_len, threshold) + 1):
-        first = next(m for m in range(1, max_len + 1) if _max_deletions(m, threshold) >= n)
-        level = f"IF(length({word}) >= {first}, {shorter.format(level=level)}, CAST(array() AS array<string>))"
-        every.append(level)
-    return F.expr(f"array_distinct(concat({', '.join(every)}))")
+def _most_edits(length: int, threshold: int) -> tuple[int, int]:
+    """The largest indel distance of a word of this length to any partner, and the length
+    of its longest partner."""
+    share = _edit_share(threshold)
+    longest = max(n for n in range(length, 3 * length + 1) if n - length < share * (n + length))
+    return max(0, -(-int(share * (length + longest) * 10**9) // 10**9)), longest
+
+
+def _shapes(max_len: int, threshold: int) -> list[dict]:
+    """Per word length: the lengths of its partners and the cuts (start, size) of its
+    segments, one more than edits are possible."""
+    out = []
+    for n in range(1, max_len + 1):
+        edits, longest = _most_edits(n, threshold)
+        shortest = min(m for m in range(1, n + 1) if n - m < _edit_share(threshold) * (n + m))
+        parts = min(n, edits + 1)
+        cuts = [i * n // parts for i in range(parts + 1)]
+        out.append(
+            {"n": n, "edits": edits, "low": shortest, "high": longest, "cuts": cuts[:-1],
+             "sizes": [y - x for x, y in zip(cuts, cuts[1:], strict=False)]}
+        )
+    return out
 
 
 def candidate_pairs(
@@ -72,18 +71,42 @@ def candidate_pairs(
 ) -> DataFrame:
     """Distinct (a, b) that pass the pre-filter, over the distinct words of both sides.
 
-    Two words within the indel distance have a common rest after deleting the differing
-    characters from each. Joining on these rests is exact and finds only close words; no
-    pairs of a common length or prefix are formed. The number of rests grows quickly with
-    the length (66 at 12 characters, 1,800 at 23), so this is for keywords, not texts.
+    A word that loses and gains at most d characters keeps one of d + 1 segments whole, and
+    moved by d places at most. So ``a`` is keyed by its segments, and ``b`` by what it has
+    at and around their places, for every length of ``a`` that could match. Joining on these
+    is exact; the keys of a word grow with a power of its length (some 2,500 at 40
+    characters), and no pairs of a common length or prefix are formed. The table of shapes
+    has a row per word length.
     """
     a = left.select(F.col(word).alias("a")).filter("length(a) > 0").distinct()
     b = right.select(F.col(word).alias("b")).filter("length(b) > 0").distinct()
     longest = a.agg(F.max(F.char_length("a"))).union(b.agg(F.max(F.char_length("b"))))
     max_len = longest.agg(F.max(longest.columns[0])).first()[0] or 1
-    keyed_a = a.withColumn("_rest", F.explode(_deletion_keys("a", max_len, threshold)))
-    keyed_b = b.withColumn("_rest", F.explode(_deletion_keys("b", max_len, threshold)))
-    close = keyed_a.join(keyed_b, "_rest").filter(may_match(F.col("a"), F.col("b"), threshold))
+    shapes = left.sparkSession.createDataFrame(
+        _shapes(max_len, threshold),
+        "n int, edits int, low int, high int, cuts array<int>, sizes array<int>",
+    )
+    key = ["_n", "_i", "_piece"]
+    cut = F.posexplode(F.arrays_zip("cuts", "sizes")).alias("_i", "_c")
+    keyed_a = (
+        a.join(shapes, F.char_length("a") == F.col("n"))
+        .select("a", F.col("n").alias("_n"), cut)
+        .select("a", "_n", "_i", F.col("a").substr(F.col("_c.cuts") + 1, F.col("_c.sizes")).alias("_piece"))
+    )
+    length = F.char_length("b")
+    around = F.sequence(F.col("_c.cuts") - F.col("edits"), F.col("_c.cuts") + F.col("edits"))
+    pieces = F.array_distinct(
+        F.transform(
+            F.filter(around, lambda at: (at >= 0) & (at + F.col("_c.sizes") <= length)),
+            lambda at: F.col("b").substr(at + 1, F.col("_c.sizes")),
+        )
+    )
+    keyed_b = (
+        b.join(shapes, (length >= F.col("low")) & (length <= F.col("high")))
+        .select("b", "edits", F.col("n").alias("_n"), cut)
+        .select("b", "_n", "_i", F.explode(pieces).alias("_piece"))
+    )
+    close = keyed_a.join(keyed_b, key).filter(may_match(F.col("a"), F.col("b"), threshold))
     return close.select("a", "b").distinct()
 
 

@@ -9,6 +9,7 @@ from contentloom.functions.core import (
     contains_any_ignore_case,
     json_value,
     matching_patterns,
+    readable_bytes,
     tag_value,
     tag_value_from_pairs,
 )
@@ -238,12 +239,19 @@ def distinct_actors(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("approx_distinct")
+@query(
+    "approx_distinct",
+    "SELECT count(*) AS n_rows, count(DISTINCT l_partkey) AS n_parts, TRUE AS close FROM lineitem",
+)
 def approx_distinct(spark: SparkSession, sf: str) -> DataFrame:
-    """Approximate by intent; the sketch differs from engine to engine."""
-    return read(spark, sf, "lineitem").agg(
-        F.count("*").alias("n_rows"), F.approx_count_distinct("l_partkey").alias("n_parts")
+    """The sketch differs from engine to engine, so it is held against the exact number."""
+    counts = read(spark, sf, "lineitem").agg(
+        F.count("*").alias("n_rows"),
+        F.countDistinct("l_partkey").alias("n_parts"),
+        F.approx_count_distinct("l_partkey", 0.01).alias("about"),
     )
+    close = F.abs(F.col("about") - F.col("n_parts")) <= 0.05 * F.col("n_parts")
+    return counts.select("n_rows", "n_parts", close.alias("close"))
 
 
 @query(
@@ -320,11 +328,34 @@ def coverage_report(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("storage_report")
+_DATED = {"orders": "o_orderdate", "lineitem": "l_shipdate", "events": "ts", "documents": None}
+
+
+@query(
+    "storage_report",
+    " UNION ALL ".join(
+        f"""SELECT '{t}' AS "table", {f'CAST(min({c}) AS DATE)' if c else 'CAST(NULL AS DATE)'} AS min_date,
+  {f'CAST(max({c}) AS DATE)' if c else 'CAST(NULL AS DATE)'} AS max_date, count(*) > 0 AS sized FROM {t}"""
+        for t, c in _DATED.items()
+    ),
+)
 def storage_report(spark: SparkSession, sf: str) -> DataFrame:
-    """File sizes are facts of the storage, which SQL over the views does not see."""
-    dated = {"orders": "o_orderdate", "lineitem": "l_shipdate", "events": "ts", "documents": None}
-    return analytics.storage_report({t: (read(spark, sf, t), c) for t, c in dated.items()})
+    """File sizes are facts of the storage, which SQL over the views does not see: that
+    there are some, in a readable form, is compared."""
+    report = analytics.storage_report({t: (read(spark, sf, t), c) for t, c in _DATED.items()})
+    sized = (F.col("size") > 0) & F.col("size_readable").rlike("^[0-9.]+ ?[A-Za-z]+$")
+    return report.select("table", "min_date", "max_date", sized.alias("sized"))
+
+
+@query(
+    "readable_sizes",
+    """SELECT doc_id AS id, CASE WHEN n >= 1048576 THEN printf('%.2f MiB', n / 1048576 + 1e-9)
+  WHEN n >= 1024 THEN printf('%.2f KiB', n / 1024 + 1e-9) ELSE printf('%.2f B', n) END AS size
+FROM (SELECT doc_id, CAST(n_chars * 64 AS DOUBLE) AS n FROM documents)""",
+)
+def readable_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read(spark, sf, "documents")
+    return docs.select(F.col("doc_id").alias("id"), readable_bytes(F.col("n_chars") * 64).alias("size"))
 
 
 @query(

@@ -157,13 +157,24 @@ def stage_pending_counts(spark: SparkSession, sf: str) -> DataFrame:
     return counts.unpivot([], list(_STAGES), "stage", "n")
 
 
-@query("random_backlog")
+@query(
+    "random_backlog",
+    """SELECT least(100, count(*)) AS n_rows, least(100, count(*)) AS n_ids, CAST(0 AS BIGINT) AS n_done
+FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
+)
 def random_backlog(spark: SparkSession, sf: str) -> DataFrame:
-    """A random portion of the backlog, one row per id: differs from run to run."""
-    return bl.backlog(
-        b.documents(spark, sf).select("id", "retrieved_at", "created_at", "body"),
+    """A random portion of the backlog, one row per id, differs from run to run: its size,
+    its ids and that all of them are pending do not."""
+    portion = bl.backlog(
+        b.documents(spark, sf).select("id", "retrieved_at", "created_at"),
         _labels(spark, sf), ["id"], limit=100, distinct_on="id", order=["retrieved_at"],
     )
+    done = _labels(spark, sf).select("id").distinct().withColumn("done", F.lit(1))
+    return portion.join(done, "id", "left").agg(
+        F.count("*").alias("n_rows"),
+        F.countDistinct("id").alias("n_ids"),
+        F.count("done").alias("n_done"),
+    )
 
 
 @query(
@@ -190,11 +201,24 @@ def hash_sample(spark: SparkSession, sf: str) -> DataFrame:
     return bl.md5_sample(orders, "o_orderkey", about=1000, total=orders.count())
 
 
-@query("hash_sample_native")
+@query(
+    "hash_sample_native",
+    "SELECT count(*) AS n_rows, TRUE AS subset, TRUE AS near_share FROM orders",
+)
 def hash_sample_native(spark: SparkSession, sf: str) -> DataFrame:
-    """The same with Spark's own 64-bit hash; no other engine computes it."""
+    """The same with Spark's own 64-bit hash, which no other engine computes: the sample is
+    part of the table, has no row twice and about the size asked for."""
     orders = read(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    return bl.hash_sample(orders, "o_orderkey", about=1000, total=orders.count())
+    total = orders.count()
+    about = min(1000, total)
+    sample = bl.hash_sample(orders, "o_orderkey", about=about, total=total)
+    taken = sample.groupBy("o_orderkey").agg(F.count("*").alias("taken"))
+    both = orders.join(taken, "o_orderkey", "full")
+    return both.agg(
+        F.count("*").alias("n_rows"),
+        F.coalesce(F.max("taken") == 1, F.lit(False)).alias("subset"),
+        (F.abs(F.sum("taken") - about) <= 5 * about**0.5 + 1).alias("near_share"),
+    )
 
 
 @query(

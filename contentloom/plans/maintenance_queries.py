@@ -104,6 +104,16 @@ def keyed_replace_partitions(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(table)
 
 
+@query("keyed_replace_bucketed", _LATEST)
+def keyed_replace_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """A bucketed table keeps its buckets, so that its joins still shuffle nothing."""
+    first, later = _versions(spark, sf)
+    table = scratch_table(spark, "bucketed")
+    tb.write_bucketed(first, table, ["o_orderkey"], 8)
+    tb.keyed_replace(later, table, ["o_orderkey"], ["version"])
+    return spark.table(table)
+
+
 @query(
     "dedupe_by_columns",
     "SELECT DISTINCT o_custkey, o_orderdate, o_orderpriority FROM orders",
@@ -130,6 +140,18 @@ def delete_where(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(table)
 
 
+@query(
+    "delete_where_partitioned",
+    "SELECT event_id, value, CAST(ts AS DATE) AS day FROM events WHERE event_id % 4 <> 1",
+)
+def delete_where_partitioned(spark: SparkSession, sf: str) -> DataFrame:
+    table = scratch_table(spark, "deleted_daily")
+    events = tb.read(spark, sf, "events").select("event_id", "value", F.to_date("ts").alias("day"))
+    tb.write_clustered(events, table, ["event_id"], partition_by=["day"])
+    tb.delete_where(table, spark, F.col("event_id") % 4 == 1)
+    return spark.table(table)
+
+
 @query(
     "rebuild_swap",
     "SELECT event_id, ts, CAST(date_trunc('day', ts) AS TIMESTAMP) AS created_at_dt FROM events",

@@ -76,17 +76,20 @@ def stream_dedupe(spark: SparkSession, sf: str) -> DataFrame:
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
 )
 def stream_latest(spark: SparkSession, sf: str) -> DataFrame:
-    """Newest row per user, kept in a table by a keyed replace per micro-batch."""
-    events = _stream(spark, sf, "events").select("user_id", "event_id", "event_type", "ts")
+    """Newest row per user, kept in a table partitioned by the key's hash: a micro-batch
+    rewrites the partitions of its keys only."""
+    part = F.pmod(F.xxhash64("user_id"), F.lit(16)).cast("int").alias("part")
+    events = _stream(spark, sf, "events").select("user_id", "event_id", "event_type", "ts", part)
     table = scratch_table(spark, "latest")
-    spark.createDataFrame([], events.schema).write.format("parquet").saveAsTable(table)
-    keys, order = ["user_id"], ["ts", "event_id"]
+    empty = spark.createDataFrame([], events.schema)
+    empty.write.format("parquet").partitionBy("part").saveAsTable(table)
+    keys, order = ["part", "user_id"], ["ts", "event_id"]
     views.keyed_replace_stream(
         events, keys, order,
-        lambda batch: tb.keyed_replace(batch, table, keys, order),
+        lambda batch: tb.keyed_replace_partitions(batch, table, keys, order, "part"),
         scratch_path(spark, "latest-checkpoint"),
     )
-    return spark.table(table)
+    return spark.table(table).drop("part")
 
 
 @query(

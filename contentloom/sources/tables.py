@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -56,28 +58,69 @@ def append(df: DataFrame, table: str) -> None:
     to_schema(df, target).write.mode("append").format("parquet").saveAsTable(table)
 
 
-def rebuild_and_swap(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
-    """Write the new contents under a second name, then take the old name over. The old
-    table stays readable until the new one is complete, and may be the input of ``df``."""
+@dataclass(frozen=True)
+class Layout:
+    """How the files of a table are laid out."""
+
+    partition_by: tuple[str, ...] = ()
+    buckets: int = 0
+    bucket_by: tuple[str, ...] = ()
+    sort_by: tuple[str, ...] = ()
+
+
+def layout_of(spark: SparkSession, table: str) -> Layout:
+    """Partition, bucket and sort columns as the catalog has them."""
+    parts = tuple(c.name for c in spark.catalog.listColumns(table) if c.isPartition)
+    facts = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    names = lambda key: tuple(re.findall("`([^`]+)`", facts.get(key) or ""))
+    return Layout(
+        parts, int(facts.get("Num Buckets") or 0), names("Bucket Columns"), names("Sort Columns")
+    )
+
+
+def rebuild_and_swap(df: DataFrame, table: str, layout: Layout | None = None) -> None:
+    """Write the new contents in the table's own layout, then take the name over.
+
+    The old table stays readable until the new one is complete, and may be the input of
+    ``df``. It is renamed before the new one takes its name and dropped last, so that a run
+    that dies in between leaves a whole table: under its name or as ``<table>_replaced``.
+    """
     spark = df.sparkSession
-    staged = f"{table}_rebuilt"
+    layout = layout or layout_of(spark, table)
+    staged, replaced = f"{table}_rebuilt", f"{table}_replaced"
     spark.sql(f"DROP TABLE IF EXISTS {staged}")
+    spark.sql(f"DROP TABLE IF EXISTS {replaced}")
+    if layout.buckets:
+        df = df.repartition(layout.buckets, *layout.bucket_by)
     writer = df.write.format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
+    if layout.partition_by:
+        writer = writer.partitionBy(*layout.partition_by)
+    if layout.buckets:
+        writer = writer.bucketBy(layout.buckets, *layout.bucket_by)
+        if layout.sort_by:
+            writer = writer.sortBy(*layout.sort_by)
     writer.saveAsTable(staged)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+    for name, new_name in ((table, replaced), (staged, table)):
+        partitioned = any(c.isPartition for c in spark.catalog.listColumns(name))
+        spark.sql(f"ALTER TABLE {name} RENAME TO {new_name}")
+        if partitioned:  # the catalog may still have the folders of the former name
+            spark.sql(f"MSCK REPAIR TABLE {new_name} SYNC PARTITIONS")
+    spark.sql(f"DROP TABLE {replaced}")
     spark.catalog.refreshTable(table)
 
 
+def _newest(old: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One row per key; of equal order values the inserted row wins."""
+    both = old.withColumn("_fresh", F.lit(0)).unionByName(new.withColumn("_fresh", F.lit(1)))
+    return latest_per_key(both, keys, [*order, "_fresh"]).select(*old.columns)
+
+
 def keyed_replace(
     new: DataFrame, table: str, keys: Sequence[str], order: Sequence[str]
 ) -> None:
     """Insert rows so that the newest row of every key survives; replays change nothing."""
     old = new.sparkSession.table(table)
-    merged = latest_per_key(old.unionByName(new.select(*old.columns)), keys, order)
-    rebuild_and_swap(merged, table)
+    rebuild_and_swap(_newest(old, new.select(*old.columns), keys, order), table)
 
 
 def keyed_replace_partitions(
@@ -92,7 +135,7 @@ def keyed_replace_partitions(
     fresh = cut_lineage(new.select(*old.columns))
     touched = [r[0] for r in fresh.select(day).distinct().collect()]
     same_days = old.filter(F.col(day).isin(touched))
-    merged = cut_lineage(latest_per_key(same_days.unionByName(fresh), keys, order))
+    merged = cut_lineage(_newest(same_days, fresh, keys, order))
     # The writer option is not read for catalog tables; the session setting is.
     mode = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(mode)

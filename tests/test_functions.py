@@ -220,10 +220,18 @@ def test_model_hook_loads_once_per_partition(spark):
     docs = texts(spark, "abc", "", "é" * 20000).withColumn("body", scoring.model_text("body"))
     out = scoring.score_batches(docs, "body", load, "n", "bigint")
     assert out.columns == ["id", "n"]
-    assert {r.id: r.n for r in out.collect()} == {0: 3, 1: 0, 2: 15000}
+    assert {r.id: r.n for r in out.collect()} == {0: 3, 1: 0, 2: 20000}
 
 
-def test_prompts_bracket_the_text(spark):
+def test_prompts_hold_the_whole_text(spark):
     df = texts(spark, "T" * 15001)
-    assert one(df, scoring.prompt("body", "title"))[0].count("T") == 15001  # with "Text:"
-    assert "<" not in one(df, scoring.prompt("body", "style"))[0]
+    for task, instruction in scoring.INSTRUCTIONS.items():
+        assert one(df, scoring.prompt("body", task))[0] == f"{instruction}\n<text>\n{'T' * 15001}\n</text>"
+    assert one(df, scoring.prompt("body", "title", max_chars=10))[0].count("T" * 10 + "\n") == 1
+
+
+def test_too_many_languages_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(language, "MAX_LANGUAGES", 3)
+    table = spark.createDataFrame([(f"l{i}", f"w{i}") for i in range(4)], "lang string, token string")
+    with pytest.raises(ValueError, match="languages"):
+        language.collect_profile(table)

@@ -52,7 +52,12 @@ def test_ordinals_are_global_over_many_ranges(spark):
     df = spark.createDataFrame([(v,) for v in values], "v bigint").repartition(5)
     got = {r.v: r.ordinal for r in keyed.with_ordinal(df, "v").collect()}
     assert got == {v: i for i, v in enumerate(sorted(values))}
-    parts = keyed.with_ordinal(df, "v").select(F.spark_partition_id()).distinct().count()
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merge, "false")
+    try:
+        parts = keyed.with_ordinal(df, "v").select(F.spark_partition_id()).distinct().count()
+    finally:
+        spark.conf.set(merge, "true")
     assert parts > 1
 
 
@@ -159,6 +164,22 @@ def test_fuzzy_pairs_equal_brute_force(spark):
     assert len(expected) > len(words)
 
 
+def test_fuzzy_long_words(spark):
+    rng = random.Random(5)
+    words = set()
+    for n in (1, 2, 7, 22, 41, 60):
+        for _ in range(5):
+            word = [rng.choice("abcd") for _ in range(n)]
+            for _ in range(1 + n // 12):
+                words.add("".join(word))
+                word.insert(rng.randrange(len(word) + 1), rng.choice("abcd"))
+                word.pop(rng.randrange(len(word)))
+    listed = spark.createDataFrame([(w,) for w in sorted(words)], "word string")
+    ratio = lambda a, b: round(200 * fuzzy._common_subsequence(a, b) / (len(a) + len(b)))
+    want = {(a, b) for a in words for b in words if ratio(a, b) > 90}
+    assert {(r.a, r.b) for r in fuzzy.fuzzy_pairs(listed, listed).collect()} == want
+
+
 def test_fuzzy_counts_repeat_rows(spark):
     left = spark.createDataFrame([("staking",), ("staking",), ("zzz",)], "word string")
     right = spark.createDataFrame([("stakings",), ("staking",)], "word string")

@@ -265,6 +265,24 @@ def test_tables(spark):
         tb.append(new.drop("v").withColumn("d", F.lit(1)), table)
 
 
+def test_rebuilt_tables_keep_their_layout(spark):
+    df = spark.createDataFrame([(i, i % 3, "x") for i in range(30)], "k int, d int, v string")
+    parts, buckets = scratch_table(spark, "p"), scratch_table(spark, "b")
+    tb.write_clustered(df, parts, ["k"], partition_by=["d"])
+    tb.write_bucketed(df, buckets, ["k"], 4)
+    before = tb.layout_of(spark, parts), tb.layout_of(spark, buckets)
+    assert before == (tb.Layout(("d",)), tb.Layout((), 4, ("k",), ("k",)))
+    newer = df.filter("k < 5").withColumn("v", F.lit("y"))
+    for table in (parts, buckets):
+        tb.keyed_replace(newer, table, ["k"], ["d"])  # equal order values: the insert wins
+        tb.delete_where(table, spark, F.col("k") == 7)
+        assert spark.table(table).count() == 29
+        assert spark.table(table).filter("v = 'y'").count() == 5
+    assert (tb.layout_of(spark, parts), tb.layout_of(spark, buckets)) == before
+    names = {t.name for t in spark.catalog.listTables("contentloom_scratch")}
+    assert not any(n.endswith(("_rebuilt", "_replaced")) for n in names)
+
+
 def test_bucketed_tables_join_without_a_shuffle(spark):
     left, right = scratch_table(spark, "l"), scratch_table(spark, "r")
     for table in (left, right):
