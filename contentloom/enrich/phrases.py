@@ -31,7 +31,8 @@ def keyphrases(
     k: int = KEY_PHRASES,
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """(id, keywords): the k best one- and two-word phrases by TF-IDF, best first.
+    """(id, keywords): the k best one- and two-word phrases by TF-IDF, best first; '' for a
+    text without words, so that it counts as done.
 
     Scores are rounded before ranking, so that ties are ties on every engine.
     """
@@ -42,8 +43,10 @@ def keyphrases(
     top = top_k_per_key(
         scored.select(key, "term", "score"), [key], [F.desc("score"), F.asc("term")], k
     )
-    listed = F.sort_array(F.collect_list(F.struct("rank", "term")))
-    return top.groupBy(key).agg(
+    blank = docs.select(key, F.lit(None).cast("int").alias("rank"), F.lit(None).cast("string").alias("term"))
+    found = F.when(F.col("rank").isNotNull(), F.struct("rank", "term"))
+    listed = F.sort_array(F.collect_list(found))
+    return top.select(key, "rank", "term").unionByName(blank).groupBy(key).agg(
         F.array_join(F.transform(listed, lambda e: e["term"]), ",").alias("keywords")
     )
 
@@ -56,7 +59,11 @@ def hashed_embeddings(
     dim: int = EMBEDDING_DIM,
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """(id, embedding): TF-IDF weights added up in hashed, signed slots, L2-normalised."""
+    """(id, embedding): TF-IDF weights added up in hashed, signed slots, L2-normalised; zeros
+    for a text without words.
+
+    A task adds up its terms before the shuffle, to at most ``dim`` slots a text.
+    """
     ready = docs.select(key, normalize_text(body).alias("_text"))
     terms = doc_terms(ready, "_text", key=key)
     weighted = with_idf(terms, term_stats(terms, n_docs), key, max_bytes)
@@ -65,12 +72,11 @@ def hashed_embeddings(
         F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint"), F.lit(dim)
     ).cast("int")
     sign = F.when(F.substring(digest, 9, 1) < "8", F.lit(1.0)).otherwise(F.lit(-1.0))
-    # Partitioned by id once; both groupings below reuse that partitioning.
     slots = (
         weighted.select(
             key, slot.alias("slot"), (sign * F.col("tf") * F.col("idf")).alias("w")
         )
-        .repartition(key)
+        .unionByName(docs.select(key, F.lit(0).alias("slot"), F.lit(0.0).alias("w")))
         .groupBy(key, "slot")
         .agg(F.sum("w").alias("w"))
     )

@@ -95,7 +95,8 @@ tf AS (SELECT id, term, count(*) AS tf FROM terms GROUP BY id, term),
 idf AS (SELECT term, CAST({_IDF} AS DOUBLE) AS idf FROM tf GROUP BY term),
 best AS (SELECT id, term, row_number() OVER (PARTITION BY id ORDER BY round(tf * idf, 6) DESC, term) AS rank
   FROM tf JOIN idf USING (term)),
-keywords AS (SELECT id, string_agg(term, ',' ORDER BY rank) AS keywords FROM best WHERE rank <= 5 GROUP BY id)"""
+keywords AS (SELECT id, coalesce(string_agg(term, ',' ORDER BY rank), '') AS keywords
+  FROM worded LEFT JOIN (SELECT * FROM best WHERE rank <= 5) USING (id) GROUP BY id)"""
 
 
 @query("keyphrases", f"WITH {_PHRASES} SELECT id, keywords FROM keywords")
@@ -112,7 +113,7 @@ def keyphrases(spark: SparkSession, sf: str) -> DataFrame:
 slots AS (SELECT id, CAST('0x' || substr(md5(term), 1, 8) AS BIGINT) % 64 AS slot,
   sum(CASE WHEN substr(md5(term), 9, 1) < '8' THEN tf * idf ELSE -tf * idf END) AS w
   FROM tf JOIN idf USING (term) GROUP BY 1, 2),
-norms AS (SELECT id, sqrt(sum(w * w)) AS n FROM slots GROUP BY id),
+norms AS (SELECT id, nullif(sqrt(sum(w * w)), 0) AS n FROM (SELECT id FROM worded) LEFT JOIN slots USING (id) GROUP BY id),
 grid AS (SELECT id, n, range AS slot FROM norms, range(64))
 SELECT id, string_agg(CAST(CAST(round(coalesce(w / n, 0) * 10000) AS BIGINT) AS VARCHAR), ',' ORDER BY slot) AS embedding
 FROM grid LEFT JOIN slots USING (id, slot) GROUP BY id""",

@@ -147,8 +147,9 @@ def extract_all(payloads: DataFrame, raw: str = "content", label: str = "app") -
         app = F.when(F.col(label).isin(*fmt.labels), F.lit(name)).otherwise(app)
     known = [x for fmt in FORMATS.values() for x in fmt.labels]
     doc = "_doc"
+    # The application is a plain column below the parsing, so a filter on it goes there too.
     rows = payloads.filter(F.col(label).isin(*known)).select(
-        "id", "created_at", "retrieved_at", F.col(raw), F.col(label)
+        "id", "created_at", "retrieved_at", F.col(raw), F.col(label), app.alias("_app")
     )
     rows = computed_once(rows, {"_doc": per_app(lambda fmt: _document(fmt, raw))})
     rows = rows.filter(per_app(lambda fmt: _accepted(fmt, doc)))
@@ -156,7 +157,7 @@ def extract_all(payloads: DataFrame, raw: str = "content", label: str = "app") -
         n: per_app(lambda fmt, n=n: json_value(doc, getattr(fmt, n))) for n in SCALAR_FIELDS
     }
     fields["tags"] = per_app(lambda fmt: _tags(fmt, doc))
-    return computed_once(rows, {**fields, "_app": app}).select(
+    return computed_once(rows, fields).select(
         "id", "created_at", *CONTENT_FIELDS, "retrieved_at", F.col("_app").alias("app")
     )
 
