@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from contentloom.functions.fingerprint import md5_text
 from contentloom.operators.keyed import first_per_key
+from contentloom.session import cut_lineage
+from contentloom.sources.tables import append
 
 
 def not_done(source: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -52,6 +54,33 @@ def pending_for(flagged: DataFrame, stage: str) -> DataFrame:
     return flagged.filter(F.col(f"has_{stage}") == 0)
 
 
+def run_pending(
+    source: DataFrame,
+    stages: Mapping[str, tuple[str, Callable[[DataFrame], DataFrame]]],
+    key: str = "id",
+) -> dict[str, int]:
+    """Run every stage on the rows its table lacks and append the results.
+
+    ``stages`` maps a name to its table and its function. The flags of all stages come from
+    one stacked aggregate. A stage without pending rows is skipped. Returns the number of
+    rows appended per stage; a second run appends none.
+    """
+    spark = source.sparkSession
+    tables = {name: spark.table(table) for name, (table, _) in stages.items()}
+    flags = stage_flags(source.select(key), tables, key)
+    flags = cut_lineage(any_pending(flags, list(stages)))
+    added = {}
+    for name, (table, enrich) in stages.items():
+        pending = pending_for(flags, name).select(key)
+        if pending.isEmpty():
+            added[name] = 0
+            continue
+        rows = cut_lineage(enrich(source.join(pending, key, "left_semi")))
+        append(rows, table)
+        added[name] = rows.count()
+    return added
+
+
 def random_subset(df: DataFrame, n: int, seed: int | None = None) -> DataFrame:
     """n random rows; each task keeps its own n smallest draws only."""
     return df.orderBy(F.rand(seed)).limit(n)

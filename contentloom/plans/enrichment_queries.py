@@ -16,7 +16,7 @@ from contentloom.enrich import (
 )
 from contentloom.functions.text import clean_for_scoring
 from contentloom.functions.vectors import cosine_similarity
-from contentloom.operators import fuzzy
+from contentloom.operators import backlog, fuzzy
 from contentloom.operators.lookup import lookup
 from contentloom.operators.terms import doc_terms
 from contentloom.plans import bindings as b, content_queries as cq
@@ -29,7 +29,7 @@ from contentloom.schemas import (
     ENTITY_TYPES_18,
     TOPIC_LABELS,
 )
-from contentloom.session import cut_lineage
+from contentloom.session import cut_lineage, scratch_table
 from contentloom.sources.tables import read
 
 FAMILY = Family()
@@ -78,6 +78,20 @@ def english_quality(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "quality_table",
+    f"""SELECT doc_id AS id, text AS content_short, eng_quality, passes AS passes_target, TRUE AS stamped
+FROM documents JOIN ({FAMILY.oracles['english_quality']}) ON id = doc_id""",
+)
+def quality_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows of the quality table: id, text, score, flag, time."""
+    rows = quality.quality_rows(b.documents(spark, sf).select("id", "body"), _scored(spark, sf))
+    return rows.select(
+        "id", "content_short", F.round("eng_quality", 6).alias("eng_quality"), "passes_target",
+        F.col("processed_at").isNotNull().alias("stamped"),
+    )
+
+
 # ---- key phrases, vectors, summaries, titles, style -------------------------------------------
 
 _W = b.sql_words("text")
@@ -181,6 +195,29 @@ def style_profile(spark: SparkSession, sf: str) -> DataFrame:
     return phrases.style_profile(b.documents(spark, sf))
 
 
+_RUNS = "CAST(0 AS BIGINT) AS added_again"
+
+
+@query("enrich_pending", f"SELECT id, n_words, style, {_RUNS} FROM ({FAMILY.oracles['style_profile']})")
+def enrich_pending(spark: SparkSession, sf: str) -> DataFrame:
+    """Two stages of which a part is done already: each runs on what its table lacks, a
+    second run on nothing. The rows of one stage, with what the second run added."""
+    docs = b.documents(spark, sf).select("id", "body", "lang")
+    profile = lambda d: phrases.style_profile(d).select("id", "n_words", "style")
+    sizes = lambda d: d.select("id", F.char_length("body").alias("n"))
+    stages = {}
+    for name, stage, done in (("style", profile, "en"), ("size", sizes, "de")):
+        table = scratch_table(spark, name)
+        stage(docs.filter(F.col("lang") == done)).write.format("parquet").saveAsTable(table)
+        stages[name] = table, stage
+    backlog.run_pending(docs, stages)
+    again = sum(backlog.run_pending(docs, stages).values())
+    styles, sizes_done = (spark.table(t) for t, _ in stages.values())
+    return styles.join(sizes_done, "id").select(
+        "id", "n_words", "style", F.lit(again).cast("bigint").alias("added_again")
+    )
+
+
 # ---- topics --------------------------------------------------------------------------------------
 
 
