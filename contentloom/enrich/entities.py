@@ -14,15 +14,16 @@ from contentloom.session import cut_lineage
 MONTHS = (
     "January|February|March|April|May|June|July|August|September|October|November|December"
 )
-# Patterns of the value-like types; no look-around, so any regex engine runs them.
+# Patterns of the value-like types, the more telling first: a span has the type of the
+# first that matches there. No look-around, so any regex engine runs them.
 VALUE_PATTERNS = {
-    "CARDINAL": r"[0-9]+",
+    "TIME": r"[0-9]{1,2}:[0-9]{2}(?: ?[ap]m)?",
     "DATE": rf"[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}|(?:{MONTHS}) [0-9]{{1,2}}(?:, [0-9]{{4}})?",
+    "PERCENT": r"[0-9]+(?:[.][0-9]+)?%",
     "MONEY": r"[$€£] ?[0-9]+(?:[.,][0-9]+)*",
     "ORDINAL": r"[0-9]+(?:st|nd|rd|th)|[Ff]irst|[Ss]econd|[Tt]hird",
-    "PERCENT": r"[0-9]+(?:[.][0-9]+)?%",
     "QUANTITY": r"[0-9]+(?:[.][0-9]+)? ?(?:kg|km|cm|mm|miles|tons|liters)",
-    "TIME": r"[0-9]{1,2}:[0-9]{2}(?: ?[ap]m)?",
+    "CARDINAL": r"[0-9]+",
 }
 
 
@@ -96,18 +97,32 @@ def value_mentions(
     key: str = "id",
     patterns: Mapping[str, str] = VALUE_PATTERNS,
 ) -> DataFrame:
-    """(id, ent_type, pos, mention) of numbers, dates, amounts and the like."""
-    def hits(ent_type: str, pattern: str) -> Column:
-        found = F.regexp_extract_all(F.col(body), F.lit(pattern), F.lit(0))
-        return F.transform(
-            found,
-            lambda m, i: F.struct(
-                F.lit(ent_type).alias("ent_type"), i.alias("pos"), m.alias("mention")
-            ),
-        )
+    """(id, ent_type, pos, mention) of numbers, dates, amounts and the like.
 
-    every = F.concat(*[hits(t, p) for t, p in patterns.items()])
-    return docs.select(key, F.explode(every).alias("_m")).select(key, "_m.*")
+    One pass with the patterns as alternatives finds the spans; each gets one type, the
+    first whose pattern is the whole span. ``pos`` counts the words before it, as for
+    gazetteer mentions: the words between the spans and in them, added up in the order of
+    the text. Only those numbers are shuffled, a window holds the spans of one text.
+    """
+    joined = "|".join(f"(?:{p})" for p in patterns.values())
+    count = lambda s: F.size(F.regexp_extract_all(s, F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
+    gaps = F.transform(F.split(body, joined, -1), count)
+    found = F.regexp_extract_all(F.col(body), F.lit(joined), F.lit(0))
+    spans = docs.select(
+        key, F.posexplode(F.arrays_zip(found.alias("m"), gaps.alias("g"))).alias("_i", "_s")
+    ).select(key, "_i", F.col("_s.m").alias("mention"), F.col("_s.g").alias("_gap"))
+    ent_type = F.lit(None).cast("string")
+    for name, pattern in reversed(patterns.items()):
+        ent_type = F.when(F.col("mention").rlike(f"^(?:{pattern})$"), name).otherwise(ent_type)
+    order = Window.partitionBy(key).orderBy("_i")
+    before = F.sum("_gap").over(order.rowsBetween(Window.unboundedPreceding, 0)) + F.coalesce(
+        F.sum("_inner").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    )
+    return (
+        spans.filter("mention IS NOT NULL")
+        .withColumn("_inner", count(F.col("mention")))
+        .select(key, ent_type.alias("ent_type"), before.cast("int").alias("pos"), "mention")
+    )
 
 
 def entity_table(

@@ -341,10 +341,20 @@ mentions AS (SELECT id, ent_type, start AS pos, mention FROM (
     SELECT *, max(start + length) OVER (PARTITION BY id ORDER BY start, length DESC
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM found)
   WHERE reach IS NULL OR start + length > reach)"""
-_VALUES = "value_mentions AS (" + " UNION ALL ".join(
-    f"SELECT id, '{t}' AS ent_type, unnest(regexp_extract_all(body, '{p}')) AS mention FROM edocs"
-    for t, p in entities.VALUE_PATTERNS.items()
-) + ")"
+_SPANS = (
+    "\\d{1,2}:\\d{2}(?: ?[ap]m)?|\\d{4}-\\d{2}-\\d{2}"
+    "|(?:January|February|March|April|May|June|July|August|September|October|November|December)"
+    " \\d{1,2}(?:, \\d{4})?|\\d+(?:[.]\\d+)?%|[$€£] ?\\d+(?:[.,]\\d+)*|\\d+(?:st|nd|rd|th)"
+    "|[Ff]irst|[Ss]econd|[Tt]hird|\\d+(?:[.]\\d+)? ?(?:kg|km|cm|mm|miles|tons|liters)|\\d+"
+)
+_VALUES = f"""value_mentions AS (
+  SELECT id, mention, CASE WHEN mention LIKE '%:%' THEN 'TIME'
+    WHEN regexp_matches(mention, '^\\d+-|^[A-Z][a-z]+ \\d') THEN 'DATE'
+    WHEN mention LIKE '%\\%' ESCAPE '\\' THEN 'PERCENT'
+    WHEN regexp_matches(mention, '^[$€£]') THEN 'MONEY'
+    WHEN regexp_matches(mention, '^\\d+(st|nd|rd|th)$|^[A-Za-z]+$') THEN 'ORDINAL'
+    WHEN regexp_matches(mention, '[a-z]$') THEN 'QUANTITY' ELSE 'CARDINAL' END AS ent_type
+  FROM (SELECT id, unnest(regexp_extract_all(body, '{_SPANS}')) AS mention FROM edocs))"""
 
 
 def _wide_sql(name: str, source: str, types, first_seen: bool) -> str:

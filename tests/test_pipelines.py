@@ -150,6 +150,16 @@ def test_entities(spark):
     assert rows(entities.gazetteer_mentions(docs, gazetteer, max_bytes=1)) == rows(named)
 
 
+def test_a_value_has_one_type_and_its_place(spark):
+    text = "On 2024-01-05 paid $1,200.50 for the 3rd time, 12 km at 10:30 am, 5 of 7%."
+    docs = spark.createDataFrame([(1, text), (2, None), (3, "")], "id int, body string")
+    got = sorted((r.pos, r.ent_type, r.mention) for r in entities.value_mentions(docs).collect())
+    assert got == [
+        (1, "DATE", "2024-01-05"), (5, "MONEY", "$1,200.50"), (10, "ORDINAL", "3rd"), (12, "QUANTITY", "12 km"),
+        (15, "TIME", "10:30 am"), (18, "CARDINAL", "5"), (20, "PERCENT", "7%"),
+    ]
+
+
 def test_mention_with_comma_loses_it(spark):
     mentions = spark.createDataFrame(
         [(1, "ORG", 4, "A, Inc"), (1, "ORG", 0, "B"), (1, "ORG", 9, "B")],
