@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from numpy.lib.stride_tricks import sliding_window_view
@@ -20,9 +21,9 @@ BANDS, ROWS = 42, 6
 #: Size of the permuted universe that shingle hashes are folded into.
 UNIVERSE_BITS = 22
 SEED = 20_240_229
-#: Pivots of a bucket per round, and pairs per bucket row up to which all are enumerated.
-PIVOTS = 8
-PAIRS_PER_ROW = 32
+#: Rows of a bucket's block that a task compares with another block, rows of a task's bin
+#: on average, columns of a piece of the incidence matrix.
+CELL, BIN_ROWS, COLUMNS = 512, 1024, 4096
 
 _MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
 
@@ -87,28 +88,28 @@ def band_keys(low: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 def features(docs: DataFrame, id_col: str, text_col: str, shingle: int, bands: int, rows: int) -> DataFrame:
     """One written row per document: id, n (set size), s1 and s2 (fingerprint of the set),
-    keys (one per band; none for an empty set)."""
+    keys (one per band; none for an empty set), sketch (a byte of every coordinate)."""
     source = slim(docs, id=id_col, text=text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, s1, s2, keys = [], [], [], []
+            n, s1, s2, keys, sketch = [], [], [], [], []
             for text in batch.column(1):
                 shingles = shingle_set(text.as_py(), shingle)
+                low = signature(shingles, bands * rows)
                 n.append(len(shingles))
                 s1.append(int(_mix(shingles + np.uint64(1)).sum(dtype=np.uint64).view(np.int64)))
                 s2.append(int(_mix(shingles + np.uint64(2)).sum(dtype=np.uint64).view(np.int64)))
-                keys.append(
-                    band_keys(signature(shingles, bands * rows), bands, rows) if n[-1] else []
-                )
+                keys.append(band_keys(low, bands, rows) if n[-1] else [])
+                sketch.append(low.astype(np.uint8).tobytes())
             columns = [batch.column(0), *(pa.array(c, pa.int64()) for c in (n, s1, s2))]
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(keys, pa.list_(pa.int64()))], names=["id", "n", "s1", "s2", "keys"]
+                [*columns, pa.array(keys, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
+                names=["id", "n", "s1", "s2", "keys", "sketch"],
             )
 
-    return materialize(
-        source.mapInArrow(run, "id long, n long, s1 long, s2 long, keys array<long>"), "minhash"
-    )
+    schema = "id long, n long, s1 long, s2 long, keys array<long>, sketch binary"
+    return materialize(source.mapInArrow(run, schema), "minhash")
 
 
 def stored_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
@@ -183,66 +184,159 @@ def _compatible(n: str, m: str, percent: int):
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
 
+def _in_cells(rows: DataFrame, value: str) -> DataFrame:
+    """Rows (key, id, label, n, size and a bytes column) dealt to ``bin``: cells of a bucket
+    that every pair of its rows shares one of.
+
+    A bucket of up to CELL rows is one cell. A larger one is cut into blocks, and each pair
+    of blocks is a cell, so no task holds a large bucket whole. Cells are put into bins of
+    a bounded number of rows on average.
+    """
+    blocks = F.ceil(F.col("size") / CELL).cast("long")
+    zero = F.lit(0).cast("long")
+    dealt = (
+        rows.withColumn("_block", F.pmod(F.xxhash64("id", "key"), blocks))
+        .withColumn("_other", F.explode(F.sequence(zero, blocks - 1)))
+        .withColumn("i", F.least("_block", "_other"))
+        .withColumn("j", F.greatest("_block", "_other"))
+    )
+    cells = rows.agg(F.sum(blocks)).first()[0] or 0
+    bins = max(1, -(-cells // BIN_ROWS))
+    return dealt.select(
+        "key", "i", "j", "id", "label", "n", value, F.pmod(F.xxhash64("key", "i", "j"), F.lit(bins)).alias("bin")
+    )
+
+
+def _per_cell(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    for _, cell in rows.groupby(["key", "i", "j"], sort=False):
+        if len(cell) > 1:
+            yield cell
+
+
+def _open_pairs(cell: pd.DataFrame, percent: int) -> np.ndarray:
+    """Which pairs of a cell are still apart and have sizes that allow a link."""
+    label, n = cell["label"].to_numpy(), cell["n"].to_numpy()
+    fits = 100 * np.minimum(n[:, None], n) >= percent * np.maximum(n[:, None], n)
+    return np.triu(fits & (label[:, None] != label), 1)
+
+
+def likely_members(rows: DataFrame, percent: int, coordinates: int) -> DataFrame:
+    """The rows that some row of another component resembles by its sketch.
+
+    A sketch has a byte of every coordinate; the share of equal ones is compared with the
+    threshold less five standard deviations of the estimate.
+    """
+    share = percent / 100
+    least = coordinates * (share - 5 * (share * (1 - share) / coordinates) ** 0.5)
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for cell in _per_cell(rows):
+            sketch = np.frombuffer(b"".join(cell["sketch"]), np.uint8).reshape(len(cell), -1)
+            left = _open_pairs(cell, percent)
+            near = np.zeros(len(cell), bool)
+            for x in np.flatnonzero(left.any(axis=1)):
+                y = np.flatnonzero(left[x])
+                y = y[(sketch[y] == sketch[x]).sum(axis=1) >= least]
+                near[y] = True
+                near[x] |= len(y) > 0
+            out.append(cell.loc[near, ["key", "i", "j", "bin", "id", "label", "n"]])
+        return pd.concat(out) if out else rows.head(0)[["key", "i", "j", "bin", "id", "label", "n"]]
+
+    schema = "key long, i long, j long, bin long, id long, label long, n long"
+    found = _in_cells(rows, "sketch").groupBy("bin").applyInPandas(run, schema)
+    return materialize(found, "likely")
+
+
+def _common(sets: list[np.ndarray], pairs: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the pairs asked for (0 elsewhere)."""
+    n = len(sets)
+    out = np.zeros((n, n), np.int64)
+    asked = np.argwhere(pairs)
+    if len(asked) <= 4 * n:
+        for x, y in asked:
+            out[x, y] = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+        return out
+    owner = np.repeat(np.arange(n), [len(s) for s in sets])
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(times > 1)
+    place = np.full(len(times), -1)
+    place[shared] = np.arange(len(shared))
+    at = place[column]
+    for low in range(0, len(shared), COLUMNS):
+        part = (at >= low) & (at < low + COLUMNS)
+        has = np.zeros((n, min(COLUMNS, len(shared) - low)), np.float32)
+        has[owner[part], at[part] - low] = 1
+        out += (has @ has.T).astype(np.int64)
+    return out
+
+
+def linked_members(likely: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that the full sets confirm: one for every two components that a cell
+    joins, however many pairs do."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for cell in _per_cell(rows):
+            shingles = [np.frombuffer(x, np.uint64) for x in cell["shingles"]]
+            left = _open_pairs(cell, percent)
+            common, n = _common(shingles, left), cell["n"].to_numpy()
+            x, y = np.nonzero(left & (100 * common >= percent * (n[:, None] + n - common)))
+            label, ids = cell["label"].to_numpy(), cell["id"].to_numpy()
+            both = np.sort(np.stack([label[x], label[y]], axis=1), axis=1)
+            first = np.unique(both, axis=0, return_index=True)[1]
+            out.append(np.stack([ids[x[first]], ids[y[first]]], axis=1))
+        found = np.concatenate(out) if out else np.empty((0, 2), np.int64)
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    full = likely.join(sets.select("id", "shingles"), "id")
+    return materialize(full.groupBy("bin").applyInPandas(run, "a long, b long"), "links")
+
+
 def link_representatives(
     docs: DataFrame, found: DataFrame, id_col: str, text_col: str, shingle: int, percent: int
 ) -> DataFrame:
     """id, label of the representatives that a chain of links joins.
 
-    A pair is a candidate if it shares a bucket (a band's key). Pairs are not enumerated:
-    each representative is first compared with the most central member of its buckets, then
-    only pairs that are still in different components count. As long as those are too many
-    to enumerate, every bucket compares a few more central members with all others and
-    retires them; the rest is enumerated. So no candidate link between different components
-    is left out, and the copies of one text cost one comparison each.
+    A pair is a candidate if it shares a bucket (a band's key). First every representative
+    is compared with the most central member of its buckets, which joins most copies of a
+    text at one comparison each. Buckets whose members are then in one component are done.
+    In the others, members of different components are compared by sketch and, where those
+    are alike, by their full sets, inside tasks that hold a bounded part of a bucket. Pairs
+    of one component need no comparison, and no pairs are written but links.
     """
     groups = found.filter("n > 0 AND id IS NOT NULL").groupBy("n", "s1", "s2").agg(F.min("id").alias("id"))
     reps = found.join(groups, ["id", "n", "s1", "s2"], "left_semi")
     keyed = reps.select("id", "n", "s1", F.explode("keys").alias("key"))
     buckets = keyed.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
     shared = materialize(keyed.join(buckets, "key"), "buckets")
-    central = shared.groupBy("id").agg(F.sum("size").alias("score"))
-    shared = materialize(shared.join(central, "id").select("key", "id", "n", "s1", "score"), "buckets")
     if shared.isEmpty():
         return docs.sparkSession.createDataFrame([], "id long, label long")
+    central = shared.groupBy("id").agg(F.sum("size").alias("score"))
+    shared = materialize(shared.join(central, "id"), "buckets")
     sets = stored_sets(docs, shared.select("id", "s1"), id_col, text_col, shingle)
 
     best = F.max(F.struct("score", (-F.col("id")).alias("low"), "id", "n"))
     pivot = shared.groupBy("key").agg(best.alias("p")).select(
         "key", F.col("p.id").alias("pivot"), F.col("p.n").alias("m"), F.col("p.score").alias("rank")
     )
-    star = shared.join(pivot, "key").filter(F.col("id") != F.col("pivot"))
-    star = star.filter(_compatible("n", "m", percent))
+    fits = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
+    star = shared.join(pivot, "key").filter(fits & (F.col("id") != F.col("pivot")))
     first = star.groupBy("id").agg(F.max(F.struct("rank", (-F.col("pivot")).alias("low"))).alias("p"))
-    links = verified(
-        _ordered(first.select("id", (-F.col("p.low")).alias("pivot"))), sets, percent
+    pairs = first.select("id", (-F.col("p.low")).alias("pivot"))
+    pairs = pairs.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
+    links = verified(pairs, sets, percent)
+
+    marked = shared.join(components(links), "id", "left").withColumn("label", F.coalesce("label", "id"))
+    marked = materialize(marked.select("key", "id", "n", "label"), "marked")
+    open_buckets = marked.groupBy("key").agg(
+        F.min("label").alias("l"), F.max("label").alias("h"), F.count("*").alias("size")
+    ).filter("l != h")
+    apart = marked.join(open_buckets.select("key", "size"), "key").join(
+        reps.select("id", "sketch").distinct(), "id"
     )
-    live = shared
-    while True:
-        labels = components(links)
-        marked = live.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-        mixed = marked.groupBy("key").agg(
-            F.min("label").alias("l"), F.max("label").alias("h"), F.count("*").alias("size")
-        ).filter("l != h")
-        live = materialize(marked.join(mixed.select("key", "size"), "key"), "mixed")
-        rows, pairs = live.agg(F.count("*"), F.sum("size")).first()
-        if not rows:
-            return labels
-        other = live.select("key", F.col("id").alias("pivot"), F.col("n").alias("m"), F.col("label").alias("its"))
-        last = pairs <= PAIRS_PER_ROW * rows
-        if not last:
-            central = Window.partitionBy("key").orderBy(F.desc("score"), "id")
-            top = live.withColumn("r", F.row_number().over(central)).filter(F.col("r") <= PIVOTS)
-            top = materialize(top.select("key", "id"), "pivots")
-            other = other.join(top.withColumnRenamed("id", "pivot"), ["key", "pivot"], "left_semi")
-        crossing = live.join(other, "key").filter("label != its").filter(_compatible("n", "m", percent))
-        links = materialize(links.union(verified(_ordered(crossing), sets, percent)), "links")
-        if last:
-            return components(links)
-        live = live.join(top, ["key", "id"], "left_anti").select("key", "id", "n", "s1", "score")
-
-
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
+    likely = likely_members(materialize(apart, "apart"), percent, len(found.first()["sketch"]))
+    return components(links.union(linked_members(likely, sets, percent)))
 
 
 def near_duplicates(

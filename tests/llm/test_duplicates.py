@@ -36,11 +36,9 @@ def test_links_are_whole(spark, documents):
     check(documents, rows, 85)
 
 
-@pytest.mark.parametrize("retire", [False, True])
-def test_groups_of_variants(spark, monkeypatch, retire):
-    if retire:  # make every bucket retire central members round by round
-        monkeypatch.setattr(near_dedup, "PAIRS_PER_ROW", 0)
-        monkeypatch.setattr(near_dedup, "PIVOTS", 2)
+@pytest.mark.parametrize("cell", [512, 7])
+def test_groups_of_variants(spark, monkeypatch, cell):
+    monkeypatch.setattr(near_dedup, "CELL", cell)
     rows = variants(40, 1) + variants(25, 2)
     check(spark.createDataFrame(rows, "doc_id long, text string"), rows, 80)
 
