@@ -19,7 +19,8 @@ def media_url(pages: DataFrame, html: str = "html") -> DataFrame:
 
 
 def transcripts(segments: DataFrame) -> DataFrame:
-    """(source_url, download_url, transcription_json, fulltext, length_in_s) per file.
+    """(source_url, download_url, transcription_json, fulltext, length_in_s, created_at) per
+    file.
 
     Segments may arrive in any order. The full text of a file is one value of the result
     table, so one file's segments meet in one row.
@@ -42,4 +43,5 @@ def transcripts(segments: DataFrame) -> DataFrame:
         F.to_json("_segments").alias("transcription_json"),
         F.array_join(F.transform("_segments", lambda s: s["text"]), " ").alias("fulltext"),
         "length_in_s",
+        F.current_timestamp().alias("created_at"),
     )

@@ -410,11 +410,17 @@ def entities_merged(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _segments(spark: SparkSession, sf: str) -> DataFrame:
-    turns = read(spark, sf, "conversations")
+    """Turns as segments; the page of a conversation names its media file, else the page's
+    own address stands in."""
+    pages = transcripts.media_url(read(spark, sf, "pages")).select(
+        F.col("page_id").alias("conv_id"),
+        F.when(F.col("file_url") != "", F.col("file_url")).otherwise(F.col("url")).alias("file_url"),
+    )
+    turns = read(spark, sf, "conversations").join(pages, "conv_id", "left")
     return transcripts.with_segment_ids(
         turns.select(
             F.col("conv_id").alias("file_id"),
-            F.concat(F.lit("https://example.org/media/"), "conv_id").alias("file_url"),
+            F.coalesce("file_url", F.lit("")).alias("file_url"),
             "text",
             (F.col("turn") * 10.0).cast("double").alias("segment_start"),
             (F.col("turn") * 10.0 + 7.5).cast("double").alias("segment_end"),
@@ -423,21 +429,24 @@ def _segments(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _TRANSCRIPTS = """transcripts AS (
-  SELECT conv_id AS source_url, 'https://example.org/media/' || conv_id AS download_url,
+  SELECT conv_id AS source_url, coalesce(any_value(CASE WHEN regexp_matches(html, 'contentUrl"') THEN
+      regexp_extract(html, 'contentUrl"[^"]*"([^"]*)"', 1) ELSE url END), '') AS download_url,
     string_agg(text, ' ' ORDER BY turn) AS fulltext,
     CAST(ceil(max(turn) * 10 + 7.5) AS INTEGER) AS length_in_s, count(*) AS n_segments
-  FROM conversations GROUP BY conv_id)"""
+  FROM conversations LEFT JOIN pages ON page_id = conv_id GROUP BY conv_id)"""
 
 
 @query(
     "transcript_fulltext",
-    f"WITH {_TRANSCRIPTS} SELECT source_url, download_url, fulltext, length_in_s, n_segments FROM transcripts",
+    f"""WITH {_TRANSCRIPTS} SELECT source_url, download_url, fulltext, length_in_s, n_segments, TRUE AS stamped
+FROM transcripts""",
 )
 def transcript_fulltext(spark: SparkSession, sf: str) -> DataFrame:
     rows = transcripts.transcripts(_segments(spark, sf))
     n = F.json_array_length("transcription_json").cast("bigint")
     return rows.select(
-        "source_url", "download_url", "fulltext", "length_in_s", n.alias("n_segments")
+        "source_url", "download_url", "fulltext", "length_in_s", n.alias("n_segments"),
+        F.col("created_at").isNotNull().alias("stamped"),
     )
 
 

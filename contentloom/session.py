@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import tempfile
 import uuid
@@ -68,12 +69,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def scratch_table(spark: SparkSession, name: str) -> str:
-    """A fresh table name in a database that lives below the shared folder."""
-    spark.sql(
-        "CREATE DATABASE IF NOT EXISTS contentloom_scratch "
-        f"LOCATION '{scratch_root(spark)}/contentloom_scratch'"
-    )
-    return f"contentloom_scratch.{name}_{uuid.uuid4().hex[:12]}"
+    """A fresh table name in a database that lives below the shared folder. The database is
+    named after the folder, since a persistent catalog keeps it for sessions with another."""
+    root = scratch_root(spark)
+    database = f"contentloom_scratch_{hashlib.md5(root.encode()).hexdigest()[:8]}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}/{database}'")
+    return f"{database}.{name}_{uuid.uuid4().hex[:12]}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
