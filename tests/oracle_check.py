@@ -17,7 +17,7 @@ import duckdb
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from contentloom.plans.queries import all_oracles, all_queries  # noqa: E402
+from __spark_entry__ import oracle_sql, queries  # noqa: E402
 from contentloom.session import get_session  # noqa: E402
 
 
@@ -61,10 +61,10 @@ def connect(sf_dir: str):
 
 def compare(spark, con, name: str, sf_dir: str) -> tuple[bool, str]:
     start = time.time()
-    df = all_queries()[name](spark, sf_dir)
+    df = queries()[name](spark, sf_dir)
     got = df.collect()
     took = time.time() - start
-    sql = all_oracles().get(name)
+    sql = oracle_sql().get(name)
     if sql is None:
         return True, f"rows-only {len(got)} rows, spark {took:.1f}s"
     start = time.time()
@@ -100,7 +100,7 @@ def main() -> int:
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(args.sf)
     bad = 0
-    for name in args.names or all_queries():
+    for name in args.names or queries():
         try:
             ok, note = compare(spark, con, name, args.sf)
         except Exception as e:  # report and go on with the next query
