@@ -13,6 +13,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, Window, functions as F
 
 from contentloom.llm.common import materialize, slim
+from contentloom.operators.lookup import fits_broadcast
 
 SHINGLE = 5
 #: Bands of ROWS coordinates. A pair at Jaccard 0.85 misses all of them once in 10^8 cases,
@@ -113,9 +114,15 @@ def features(docs: DataFrame, id_col: str, text_col: str, shingle: int, bands: i
 
 
 def stored_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """id, shingles (sorted 64-bit values as bytes) of the documents named in ``ids`` (id,
-    s1, s2). Only their texts are hashed again."""
-    source = slim(docs, id=id_col, text=text_col).join(ids.select("id").distinct(), "id", "left_semi")
+    """id, shingles (sorted 64-bit values as bytes) of the documents named in ``ids`` (id, s1).
+
+    Only their texts are hashed again. Ids whose measured size allows it go to the texts;
+    otherwise both are shuffled by id.
+    """
+    wanted = materialize(ids.select("id", "s1").distinct(), "wanted")
+    if fits_broadcast(wanted):
+        wanted = F.broadcast(wanted)
+    source = slim(docs, id=id_col, text=text_col).join(wanted, "id", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -127,7 +134,7 @@ def stored_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, shi
             )
 
     found = source.mapInArrow(run, "id long, s1 long, shingles binary")
-    return materialize(found.join(ids.select("id", "s1").distinct(), ["id", "s1"], "left_semi"), "shingles")
+    return materialize(found.join(wanted, ["id", "s1"], "left_semi"), "shingles")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
