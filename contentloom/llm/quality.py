@@ -66,7 +66,7 @@ def text_features(text: str | None) -> np.ndarray:
 
 
 def features(docs: DataFrame, id_col: str, text_col: str, keep: list[str]) -> DataFrame:
-    """One written row per document: the id, ``_x`` and the columns to keep."""
+    """One row per document: the id, ``_x`` and the columns to keep."""
     names = list(dict.fromkeys([id_col, *keep]))
     source = docs.select(
         *[F.col(f"`{c}`").alias(f"_keep_{c}") for c in names], F.col(f"`{text_col}`").alias("_text")
@@ -82,7 +82,7 @@ def features(docs: DataFrame, id_col: str, text_col: str, keep: list[str]) -> Da
                 names=[*(f.name for f in kept), "_x"],
             )
 
-    return materialize(source.mapInArrow(run, schema), "quality")
+    return source.mapInArrow(run, schema)
 
 
 def preference_pairs(rows: DataFrame) -> DataFrame:
@@ -147,9 +147,9 @@ def score_quality(
     count each; without labels of both kinds every score is 0.5 and nothing is rejected.
     NULL and empty texts are scored as texts of no words; an empty table gives no rows;
     other columns are ignored. The ranking is learned from ``max_labelled`` rows at most,
-    in expectation; the features of all documents are written once.
+    in expectation, whose ids are sent to the documents. Nothing is written but the sample:
+    every text is scored where it is read.
     """
-    found = features(docs, id_col, text_col, keep or [])
     known = labels.select(
         F.col(f"`{label_id_col}`").alias("id"), F.col(f"`{label_col}`").alias("value")
     ).filter("id IS NOT NULL AND value IS NOT NULL")
@@ -157,13 +157,18 @@ def score_quality(
     share = max_labelled / max(known.count(), 1)
     if share < 1:
         known = known.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    known = materialize(known, "known")
+    sample = F.broadcast(known.select(F.col("id").alias(id_col)).distinct())
+    asked = docs.select(id_col, text_col).join(sample, id_col, "left_semi")
     taught = materialize(
-        found.select(F.col(f"`_keep_{id_col}`").alias("id"), F.col("_x").alias("x"))
+        features(asked, id_col, text_col, [])
+        .select(F.col(f"`_keep_{id_col}`").alias("id"), F.col("_x").alias("x"))
         .join(known, "id")
         .select("id", "x", (F.col("value") > 0).alias("good")),
         "labelled",
     )
     learned = learn(taught)
+    found = features(docs, id_col, text_col, keep or [])
     score = F.lit(0.5)
     if learned:
         model, cut = learned
