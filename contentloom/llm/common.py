@@ -2,22 +2,52 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from contentloom.session import scratch_path
+from contentloom.session import scratch_table
+
+
+#: Rows that Spark hands to Python at a time.
+BATCH_ROWS = "2000"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write into the shared folder and read back.
+    """Write a table into the shared folder and read it back.
 
     Later jobs read the files instead of repeating the work, and a lost executor costs the
-    re-reading of its splits only.
+    re-reading of its splits only. Batches for Python are kept small, as they hold texts.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    table = scratch_table(df.sparkSession, name)
+    df.write.format("parquet").saveAsTable(table)
+    for made in _COLLECTED:
+        made.append(table)
+    return df.sparkSession.table(table)
+
+
+_COLLECTED: list[list[str]] = []
+
+
+@contextmanager
+def collected(made: list[str]) -> Iterator[None]:
+    """Within, ``made`` gets the names of all tables that are materialized."""
+    _COLLECTED.append(made)
+    try:
+        yield
+    finally:
+        _COLLECTED.remove(made)
+
+
+def release(made: list[str], docs: DataFrame) -> None:
+    """Drop the tables of ``made``, but for those that ``docs`` still reads."""
+    files = docs.inputFiles()
+    for table in list(made):
+        if not any(f"/{table.split('.')[1]}/" in f for f in files):
+            docs.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
+            made.remove(table)
 
 
 def id_part(id_col: str, parts: int) -> Column:
