@@ -2,28 +2,24 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from contentloom.llm.common import joined_digest, materialize, slim
 
 WINDOW = 10
-#: Rarest positions of every window that must line up before a text is compared.
-PROBES = 3
 #: Words of a window that must be at their places for a proximity match.
 NEAR_WORDS = 8
-#: Size of the term filter; the same for every benchmark, false positives go at the join.
-FILTER_BITS = 22
-#: Partial counts that a task holds before it passes them on.
-HELD_TERMS = 500_000
+#: Size of the run filter; the same for every benchmark, false positives go at the join.
+FILTER_BITS = 24
 
 _SEPARATORS = bytes([*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
 _SPACED = bytes.maketrans(_SEPARATORS, b" " * len(_SEPARATORS))
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -31,13 +27,41 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().translate(_SPACED).split()
 
 
-def _term_filter(terms: DataFrame) -> bytes:
-    """One byte per hash value, set where a term has it. Fixed size, whatever the number of
-    terms."""
-    slots = terms.select((F.crc32("term") % (1 << FILTER_BITS)).cast("int").alias("s")).distinct()
-    found = np.zeros(1 << FILTER_BITS, np.uint8)
-    found[slots.toPandas()["s"].to_numpy(np.int64)] = 1
-    return found.tobytes()
+def run_length(width: int, window: int, near: int) -> int:
+    """Words in a row that every match of a window of ``width`` words has at their places.
+
+    At most ``width - near`` words of a match differ. They cannot lie in all of one more
+    disjoint runs, so one of these is whole (3 + 3 + 3 of ten words, two of which differ).
+    Windows of short items have no longer runs than whole ones, to keep the lengths few.
+    """
+    runs = width - min(near, width) + 1
+    longest = window // (window - min(near, window) + 1)
+    return max(1, min(width // runs, longest))
+
+
+def run_keys(words: list[bytes], length: int) -> np.ndarray:
+    """A 64-bit hash of every ``length`` words in a row, by their first word's place."""
+    codes = np.fromiter(map(crc32, words), np.uint64, len(words))
+    places = max(len(words) - length + 1, 0)
+    keys = np.zeros(places, np.uint64)
+    for i in range(length):
+        keys = keys * _FACTOR + (codes[i : i + places] + np.uint64(length)) * _FACTOR
+    return keys.view(np.int64)
+
+
+def _slots(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two places of every key in the run filter: its highest and its lowest bits."""
+    return keys.view(np.uint64) >> np.uint64(64 - FILTER_BITS), keys & ((1 << FILTER_BITS) - 1)
+
+
+def _run_filter(runs: DataFrame) -> bytes:
+    """One bit per slot, set where a run has it. Fixed size, whatever the number of runs."""
+    high = F.shiftrightunsigned("key", 64 - FILTER_BITS)
+    low = F.col("key").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    slots = runs.select(F.explode(F.array(high.cast("int"), low.cast("int"))).alias("s")).distinct()
+    found = np.zeros(1 << FILTER_BITS, bool)
+    found[slots.toPandas()["s"].to_numpy(np.int64)] = True
+    return np.packbits(found).tobytes()
 
 
 def benchmark_texts(benchmark: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
@@ -66,87 +90,51 @@ def benchmark_texts(benchmark: DataFrame, id_col: str, text_col: str) -> tuple[D
     return texts, texts.join(items, "words").select("tid", "item")
 
 
-def term_counts(docs: DataFrame, text_col: str, wanted: bytes) -> DataFrame:
-    """term, n over all documents, for the terms that pass the filter. Each task adds up
-    its counts before they are shuffled."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mask, held = len(wanted) - 1, Counter()
-
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([w.decode() for w in held], pa.string()),
-                    pa.array(list(held.values()), pa.int64()),
-                ],
-                names=["term", "n"],
-            )
+def benchmark_runs(texts: DataFrame, window: int, near: int) -> DataFrame:
+    """key, tid, off: the runs of every text, at all places, as its windows begin at all."""
 
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text in batch.column(0):
-                held.update([w for w in words_of(text.as_py()) if wanted[crc32(w) & mask]])
-                if len(held) > HELD_TERMS:
-                    yield out()
-                    held.clear()
-        yield out()
+            for tid, words in zip(batch.column("tid").to_pylist(), batch.column("words").to_pylist(), strict=True):
+                keys = run_keys([w.encode() for w in words], run_length(min(window, len(words)), window, near))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys), pa.array([tid] * len(keys), pa.int64()), pa.array(range(len(keys)), pa.int32())],
+                    names=["key", "tid", "off"],
+                )
 
-    partial = slim(docs, text=text_col).mapInArrow(count, "term string, n long")
-    return partial.groupBy("term").agg(F.sum("n").alias("n"))
+    return texts.select("tid", "words").mapInArrow(split, "key long, tid long, off int")
 
 
-def choose_probes(texts: DataFrame, counts: DataFrame, window: int, probes: int) -> DataFrame:
-    """tid, off, term: of every window the positions of its rarest words in the corpus.
+def build_index(docs: DataFrame, text_col: str, keep: list[str], wanted: bytes, lengths: list[int]) -> DataFrame:
+    """Positional postings of the benchmark's runs, written with the documents' rows.
 
-    A window with a word that the corpus lacks cannot occur and asks for nothing. Windows
-    are ranked apart, at most ``window`` rows each.
-    """
-    places = texts.select("tid", F.size("words").alias("size"), F.posexplode("words").alias("off", "term"))
-    last = F.greatest(F.col("size") - window, F.lit(0))
-    first = F.greatest(F.col("off") - window + 1, F.lit(0))
-    spread = places.join(counts, "term", "left").withColumn(
-        "start", F.explode(F.sequence(F.least(first, last), F.least(F.col("off"), last)))
-    )
-    one = Window.partitionBy("tid", "start")
-    return (
-        spread.withColumn("missing", F.max(F.col("n").isNull()).over(one))
-        .filter(~F.col("missing"))
-        .withColumn("rank", F.row_number().over(one.orderBy("n", "off")))
-        .filter(F.col("rank") <= probes)
-        .select("tid", "off", "term", F.least(F.col("size"), F.lit(probes)).alias("need"))
-        .distinct()
-    )
-
-
-def build_index(
-    docs: DataFrame, text_col: str, keep: list[str], wanted: bytes, need: int, width: int
-) -> DataFrame:
-    """Positional postings of the probe terms, written with the documents' rows.
-
-    One row per document: ``_row``, n_words, ``postings`` (term, pos), ``words`` and the
-    columns to keep. Only places where ``need`` probe terms stand within ``width`` words
-    can lie in a match, so others are not stored, and the words of a document without such
-    a place are not either.
+    One row per document: ``_row``, n_words, ``postings`` (key, pos), ``words`` and the
+    columns to keep. A match holds one run of ``lengths`` whole, so the words of a document
+    without any are not stored.
     """
     source = docs.select(
         F.monotonically_increasing_id().alias("_row"),
         F.col(f"`{text_col}`").alias("_text"),
         *[F.col(f"`{c}`").alias(f"_keep_{c}") for c in keep],
     )
-    posting = T.ArrayType(T.StructType([T.StructField("term", T.StringType()), T.StructField("pos", T.IntegerType())]))
+    posting = T.ArrayType(T.StructType([T.StructField("key", T.LongType()), T.StructField("pos", T.IntegerType())]))
     kept = [f for f in source.schema if f.name != "_text"]
     schema = T.StructType(
         [*kept, T.StructField("n_words", T.LongType()), T.StructField("postings", posting), T.StructField("words", T.StringType())]
     )
-    arrow_posting = pa.list_(pa.struct([("term", pa.string()), ("pos", pa.int32())]))
-
-    def places(words: list[bytes]) -> list[int]:
-        mask = len(wanted) - 1
-        at = [i for i, w in enumerate(words) if wanted[crc32(w) & mask]]
-        if need == 1 or len(at) < need:
-            return at if need == 1 else []
-        p = np.array(at)
-        close = np.flatnonzero(p[need - 1 :] - p[: len(p) - need + 1] < width)
-        return p[np.unique(np.add.outer(close, np.arange(need)))].tolist()
+    arrow_posting = pa.list_(pa.struct([("key", pa.int64()), ("pos", pa.int32())]))
+
+    def places(words: list[bytes]) -> list[dict]:
+        found, bits = [], np.frombuffer(wanted, np.uint8)
+        for length in lengths:
+            keys = run_keys(words, length)
+            seen = np.ones(len(keys), bool)
+            for slot in _slots(keys):
+                slot = slot.astype(np.int64)
+                seen &= (bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1).astype(bool)
+            at = np.flatnonzero(seen)
+            found += [{"key": k, "pos": i} for k, i in zip(keys[at].tolist(), at.tolist(), strict=True)]
+        return found
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,7 +143,7 @@ def build_index(
                 words = words_of(text.as_py())
                 at = places(words)
                 sizes.append(len(words))
-                postings.append([{"term": words[i].decode(), "pos": i} for i in at])
+                postings.append(at)
                 stored.append(b" ".join(words).decode() if at else None)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -187,25 +175,24 @@ def _compare(words: list[str], item: list[str], at: int, window: int, near: int,
     return kind
 
 
-def find_matches(index: DataFrame, probes: DataFrame, texts: DataFrame, window: int, near: int) -> DataFrame:
+def find_matches(index: DataFrame, runs: DataFrame, texts: DataFrame, window: int, near: int) -> DataFrame:
     """_row, n_hit, phrases (tids), nears (tids) of documents with a match.
 
-    Postings and probes meet by term; the places of a text's probes, less their offsets,
-    must agree on where the text begins. What lines up is compared word by word. Every
-    step is keyed by document and text, so no list of a frequent term is ever whole in one
-    task; adaptive skew handling splits the join's hot terms.
+    Postings and the texts' runs meet by key; the place of a run, less its offset, says where
+    the text begins. What lines up in one run is compared word by word. Every step is keyed
+    by document and text, so no list of a frequent run is ever whole in one task; adaptive
+    skew handling splits the join's hot keys.
     """
     postings = index.filter(F.size("postings") > 0).select("_row", F.inline("postings"))
     aligned = (
-        postings.join(probes, "term")
-        .groupBy("_row", "tid", (F.col("pos") - F.col("off")).alias("at"))
-        .agg(F.count("*").alias("n"), F.first("need").alias("need"))
-        .filter(F.col("n") >= F.col("need"))
+        postings.join(runs, "key")
+        .groupBy("_row", "tid")
+        .agg(F.collect_set(F.col("pos") - F.col("off")).alias("ats"))
     )
     by_row = (
         aligned.join(texts, "tid")
         .groupBy("_row")
-        .agg(F.collect_list(F.struct("tid", "at", F.col("words").alias("item"))).alias("todo"))
+        .agg(F.collect_list(F.struct("tid", "ats", F.col("words").alias("item"))).alias("todo"))
     )
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,8 +203,8 @@ def find_matches(index: DataFrame, probes: DataFrame, texts: DataFrame, window:
                 hit, found = bytearray(len(words)), {"phrase": set(), "near": set(), "": set()}
                 for one in todo:
                     item = one["item"].as_py()
-                    kind = _compare(words, item, one["at"].as_py(), window, near, hit)
-                    found[kind].add(one["tid"].as_py())
+                    for at in one["ats"].as_py():
+                        found[_compare(words, item, at, window, near, hit)].add(one["tid"].as_py())
                 hits.append(sum(hit))
                 phrases.append(sorted(found["phrase"]))
                 nears.append(sorted(found["near"] - found["phrase"]))
@@ -243,7 +230,6 @@ def decontaminate(
     *,
     keep: list[str] | None = None,
     window: int = WINDOW,
-    probes: int = PROBES,
     near_words: int = NEAR_WORDS,
 ) -> DataFrame:
     """Which words of a document lie in a window of a benchmark item, and of which items.
@@ -253,17 +239,16 @@ def decontaminate(
     item; a shorter item is one window. NULL and wordless texts have no words and no hits;
     wordless items match nothing; repeated documents are judged each; a benchmark id that is
     NULL is not listed; empty tables give no rows, or no hits; other columns are ignored.
-    n_near counts different item texts of which only ``near_words`` words of a window stand
-    at their places, among the alignments that the probes find.
+    n_near counts all different item texts of which only ``near_words`` words or more of a
+    window stand at their places; a window that is shorter than that must be whole.
     """
     names = list(dict.fromkeys([id_col, *(keep or [])]))
     texts, items = benchmark_texts(benchmark, item_id_col, item_text_col)
-    terms = texts.select(F.explode("words").alias("term")).distinct()
-    counts = term_counts(docs, text_col, _term_filter(terms)).join(terms, "term", "left_semi")
-    chosen = materialize(choose_probes(texts, counts, window, probes), "probes")
-    least = chosen.agg(F.min("need")).first()[0] or probes
-    index = build_index(docs, text_col, names, _term_filter(chosen.select("term")), least, window)
-    matches = materialize(find_matches(index, chosen, texts, window, near_words), "matches")
+    runs = materialize(benchmark_runs(texts, window, near_words), "runs")
+    widths = texts.select(F.least(F.size("words"), F.lit(window))).distinct().collect()
+    lengths = sorted({run_length(r[0], window, near_words) for r in widths})
+    index = build_index(docs, text_col, names, _run_filter(runs), lengths)
+    matches = materialize(find_matches(index, runs, texts, window, near_words), "matches")
     listed = (
         matches.select("_row", F.explode("phrases").alias("tid"))
         .join(items, "tid")

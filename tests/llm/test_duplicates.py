@@ -1,5 +1,6 @@
 """Near-duplicates, decontamination, quality."""
 
+import itertools
 import random
 
 import brute
@@ -97,6 +98,40 @@ def test_contamination_odd(spark, odd, odd_rows, empty):
     assert {r[1] for r in decontaminated(docs, bench.limit(0))} == {0}
 
 
+def near_items(text, items, window=10, near=8):
+    """Number of items with a near window and no whole one, by comparing at every place."""
+    words, found = text.split(), 0
+    for item in {tuple(t.split()) for t in items}:
+        k = min(window, len(item))
+        same = [
+            sum(a == b for a, b in zip(words[i : i + k], item[j : j + k], strict=True))
+            for i in range(len(words) - k + 1)
+            for j in range(len(item) - k + 1)
+        ]
+        found += max(same, default=0) >= min(near, k) and max(same) < k
+    return found
+
+
+def test_near_matches_are_whole(spark):
+    """Every one- and two-word substitution, some of three, by words that occur or not."""
+    ten, nine, eight = (" ".join(f"{c}{i}" for i in range(n)) for c, n in (("t", 10), ("n", 9), ("e", 8)))
+    long = " ".join(f"l{i}" for i in range(14))
+    items = [ten, nine, eight, long, "two words", "one", ten + " lost", "same " * 12]
+    texts = []
+    for item in (ten, nine, eight, long):
+        words = item.split()
+        places = [set(p) for n in (1, 2, 3) for p in itertools.combinations(range(len(words)), n)]
+        for k, at in enumerate(places if item != long else places[::3]):
+            new = "l3" if k % 2 else f"new{k}"
+            texts.append("a b " + " ".join(new if i in at else w for i, w in enumerate(words)) + " c")
+    texts += [ten, long, "x two words", "two", "same " * 9 + "other same same", "n1 n2 n3 n4 n5 n6 n7 n8 c"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {r.doc_id: r.n_near for r in decontaminate(docs, bench).collect()}
+    assert got == {i: near_items(t, items) for i, t in enumerate(texts)}
+    assert sum(n > 0 for n in got.values()) > 100
+
+
 def test_quality_held_out(spark, sf_dir):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
