@@ -11,22 +11,25 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from contentloom.functions.language import MAX_LANGUAGES
 from contentloom.llm.common import in_other_part, is_part, materialize, slim
 
 #: Documents per language that the field is learned from, about, chosen by their id's hash.
 DOCS_PER_LANGUAGE = 300
-#: Share of the labelled documents that a language needs; bounds the number of languages.
-MIN_SHARE = 0.002
 UNKNOWN = "und"
 HASH_BITS = 16
 #: Shards that learn apart before their weights are averaged, and how often.
 SHARDS, MIXINGS, EPOCHS = 6, 2, 3
 SEQUENCE, BATCH = 48, 128
 RATE, DECAY = 0.25, 1e-6
+#: Rows of the weights that are averaged at a time.
+FEATURES_AT_ONCE = 4096
 LEXICON_SEEN, LEXICON_SHARE = 3, 0.95
 BLOCK = 32
 #: Words whose scores a worker keeps, and documents that it labels at a time.
 CACHED_WORDS, DOCS_AT_ONCE = 200_000, 500
+#: Numbers in the transfer matrices of the documents that are labelled at a time.
+CELLS_AT_ONCE = 20_000_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -122,9 +125,9 @@ def forward_backward(
         return posterior
     f, g = forward.reshape(-1, labels)[place], (backward * psi).reshape(-1, labels)[place]
     inner = np.flatnonzero(~still.reshape(-1)[place])
-    joint = f[inner - 1][:, :, None] * step * g[inner][:, None, :]
-    joint /= joint.sum(axis=(1, 2), keepdims=True)
-    return posterior, joint.sum(axis=0)
+    f, g = f[inner - 1], g[inner]
+    f = f / ((f @ step) * g).sum(axis=1, keepdims=True)
+    return posterior, step * (f.T @ g)
 
 
 def _learn_shard(rows: pd.DataFrame, languages: list[str], lexicon: dict, weights, transitions):
@@ -185,16 +188,23 @@ def _learn_shard(rows: pd.DataFrame, languages: list[str], lexicon: dict, weight
 def _shard_learner(*field):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         weights, transitions = _learn_shard(rows, *field)
-        return pd.DataFrame({"w": [weights.tobytes()], "t": [transitions.tobytes()]})
+        cuts = range(0, len(weights), FEATURES_AT_ONCE)
+        parts = [*(weights[i : i + FEATURES_AT_ONCE].tobytes() for i in cuts), transitions.tobytes()]
+        return pd.DataFrame({"block": range(len(parts)), "shard": rows["shard"].iloc[0], "w": parts})
 
     return run
 
 
+def _mean_block(rows: pd.DataFrame) -> pd.DataFrame:
+    each = [np.frombuffer(w) for w in rows.sort_values("shard")["w"]]
+    return pd.DataFrame({"block": rows["block"].iloc[:1], "w": [np.mean(each, axis=0).tobytes()]})
+
+
 def learn(taught: DataFrame) -> dict | None:
     """The field from rows of ``lang``, ``text`` and ``shard``; None without any.
 
-    Shards learn side by side and their weights are averaged, ``MIXINGS`` times. The driver
-    sees the lexicon and the weights, whose sizes the sample bounds.
+    Shards learn side by side and their weights are averaged in blocks, ``MIXINGS`` times. The
+    driver sees the lexicon and the mean weights, whose sizes the sample bounds.
     """
     languages = sorted(r[0] for r in taught.select("lang").distinct().collect())
     if not languages:
@@ -209,9 +219,10 @@ def learn(taught: DataFrame) -> dict | None:
     transitions = np.zeros((len(languages), len(languages)))
     for _ in range(MIXINGS):
         run = _shard_learner(languages, lexicon, weights, transitions)
-        learned = taught.groupBy("shard").applyInPandas(run, "w binary, t binary").collect()
-        weights = np.mean([np.frombuffer(r["w"]).reshape(weights.shape) for r in learned], axis=0)
-        transitions = np.mean([np.frombuffer(r["t"]).reshape(transitions.shape) for r in learned], axis=0)
+        learned = taught.groupBy("shard").applyInPandas(run, "block int, shard int, w binary")
+        means = learned.groupBy("block").applyInPandas(_mean_block, "block int, w binary").collect()
+        *parts, last = [np.frombuffer(r["w"]) for r in sorted(means, key=lambda r: r["block"])]
+        weights, transitions = np.concatenate(parts).reshape(weights.shape), last.reshape(transitions.shape)
     return {"languages": languages, "lexicon": lexicon, "weights": weights.astype(np.float32), "transitions": transitions}
 
 
@@ -254,7 +265,6 @@ def identify_languages(
     held_parts: int = 4,
     held_part: int = 2,
     docs_per_language: int = DOCS_PER_LANGUAGE,
-    min_share: float = MIN_SHARE,
 ) -> DataFrame:
     """Label the words of whole texts and sum up.
 
@@ -265,23 +275,23 @@ def identify_languages(
     nothing could be learned. Ties go to the first language in order. Rows without id are
     neither held out nor learned from; rows without language teach nothing; repeated rows
     are labelled each; an empty table gives no rows; other columns are ignored. Learned from
-    about ``docs_per_language`` whole texts of every language with at least ``min_share`` of
-    the labelled documents.
+    about ``docs_per_language`` whole texts of every language, all texts of one that has no
+    more. More languages than any corpus has point to a wrong label column and are refused.
     """
     source = slim(docs, id=id_col, text=text_col, lang=lang_col).withColumn("lang", F.col("lang").cast("string"))
     known = source.filter(
         in_other_part("id", held_parts, held_part) & F.col("lang").isNotNull() & F.col("text").isNotNull()
     )
     counts = known.groupBy("lang").agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    rates = {
-        r["lang"]: min(1.0, docs_per_language / r["n"])
-        for r in counts.filter(F.col("n") >= min_share * total).collect()
-    }
+    found = counts.limit(MAX_LANGUAGES + 1).collect()
+    if len(found) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages: is this a language column?")
+    rates = {r["lang"]: min(1.0, docs_per_language / r["n"]) for r in found}
     chance = F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 30)) / (1 << 30)
     chosen = F.lit(False)
-    for lang, rate in rates.items():
-        chosen = F.when(F.col("lang") == lang, chance < rate).otherwise(chosen)
+    if rates:
+        rate = F.create_map(*[F.lit(x) for pair in rates.items() for x in pair])
+        chosen = chance < rate[F.col("lang")]
     taught = materialize(
         known.filter(chosen).select("lang", "text", F.pmod(F.hash("id"), F.lit(SHARDS)).alias("shard")),
         "languages",
@@ -290,12 +300,25 @@ def identify_languages(
     id_type = source.schema["id"].dataType.simpleString()
     schema = f"id {id_type}, held_out boolean, lang_pred string, score double, n_words long, n_switches long"
 
+    def portions(whole: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[list[str]]]]:
+        """Rows and their words, so many that their transfer matrices fit, one at least."""
+        each = len(field["languages"]) ** 2 if field else 1
+        begin, texts, cells = 0, [], 0
+        for text in whole.column("text"):
+            words = words_of(text.as_py())
+            more = -(-len(words) // BLOCK) * each
+            if texts and (len(texts) == DOCS_AT_ONCE or cells + more > CELLS_AT_ONCE):
+                yield whole.slice(begin, len(texts)), texts
+                begin, texts, cells = begin + len(texts), [], 0
+            texts.append(words)
+            cells += more
+        if texts:
+            yield whole.slice(begin, len(texts)), texts
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(field) if field else None
         for whole in batches:
-            for at in range(0, whole.num_rows, DOCS_AT_ONCE):
-                batch = whole.slice(at, DOCS_AT_ONCE)
-                texts = [words_of(t.as_py()) for t in batch.column("text")]
+            for batch, texts in portions(whole):
                 n = len(texts)
                 pred, score, switches = [UNKNOWN] * n, np.zeros(n), np.zeros(n, np.int64)
                 full = [i for i, words in enumerate(texts) if words and labeller]

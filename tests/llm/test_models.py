@@ -74,6 +74,36 @@ def test_texts_without_letters(odd):
     assert got[7].lang_pred == "en" and got[7].n_words == 30_000
 
 
+def test_rare_languages_are_learned(spark):
+    """Three documents of 3,003 (less than 0.2 %) and their copies elsewhere get their language."""
+    common = [(i, f"the house and garden number {'abcdefghij'[i % 10]} near some river", "en") for i in range(3000)]
+    held = [i for i in range(4000, 4100) if brute.part(i, 4) == 2][:2]
+    rare = [i for i in range(4000, 4100) if brute.part(i, 4) != 2][:3]
+    rows = common + [(i, "zwykly dom oraz ogrod przy rzece wsrod drzew " * 3, "pl") for i in rare + held]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in identify_languages(docs).filter("doc_id >= 4000 OR doc_id < 5").collect()}
+    assert got == {**dict.fromkeys(range(5), "en"), **dict.fromkeys(rare + held, "pl")}
+
+
+def test_dirty_language_column_is_refused(spark):
+    docs = spark.range(3000).selectExpr("id AS doc_id", "'some text' AS text", "concat('x', id) AS lang")
+    with pytest.raises(ValueError, match="languages"):
+        identify_languages(docs)
+
+
+def test_pair_counts_are_exact(monkeypatch):
+    monkeypatch.setattr(language_id, "BLOCK", 3)
+    rng = np.random.default_rng(1)
+    scores, t = rng.normal(size=(5, 3)), rng.normal(size=(3, 3))
+    want, total = np.zeros((3, 3)), 0.0
+    for path in np.ndindex(*[3] * 5):
+        w = np.exp(sum(scores[i, y] for i, y in enumerate(path)) + sum(t[a, b] for a, b in zip(path, path[1:])))
+        total += w
+        for a, b in zip(path, path[1:]):
+            want[a, b] += w
+    assert np.allclose(forward_backward(scores, np.array([5]), t, edges=True)[1], want / total)
+
+
 def same_model(df, rows):
     got = sorted((r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in score_texts(df).collect())
     for ours, theirs in zip(got, sorted(brute.language_model(rows)), strict=True):
