@@ -21,7 +21,7 @@ CURATED = (
 #: Share and number of the labelled pages that a rule must be right on, and share of its
 #: pages that must be bad.
 MIN_SUPPORT, MIN_PAGES, MIN_CONFIDENCE = 0.002, 20, 0.5
-BAD, GOOD = "=bad", "=good"
+BAD = "=bad"
 
 
 def host_of(url: Column) -> Column:
@@ -42,53 +42,64 @@ def curated_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str
 
 
 def url_items(url: Column, host: Column, path: Column) -> Column:
-    """The tokens of a URL by their place: scheme, top domain, registered domain, first label,
-    path segments, file type, query keys, fragment.
+    """The tokens of a URL: scheme, every label and every suffix domain of the host, every
+    path segment, file type, every query key, fragment; each once, digits as 0."""
+
+    def tokens(kind: str, values: Column) -> Column:
+        values = F.transform(values, lambda v: F.regexp_replace(ascii_lower(v), F.lit("[0-9]+"), F.lit("0")))
+        return F.transform(F.filter(values, lambda v: v != ""), lambda v: F.concat(F.lit(f"{kind}:"), v))
+
+    labels = F.filter(F.split(host, "[.]"), lambda x: x != "")
+    domains = F.transform(labels, lambda _, i: F.array_join(F.slice(labels, i + 1, F.size(labels)), "."))
+    found = F.concat(
+        tokens("scheme", F.array(F.regexp_extract(url, "^([A-Za-z]+)://", 1))),
+        tokens("label", labels),
+        tokens("domain", domains),
+        tokens("path", F.split(path, "/")),
+        tokens("type", F.array(F.regexp_extract(path, "[.]([A-Za-z0-9]{1,5})$", 1))),
+        tokens("query", F.regexp_extract_all(url, F.lit("[?&]([^=&#]+)"), F.lit(1))),
+        F.when(url.contains("#"), F.array(F.lit("fragment:"))).otherwise(F.array()),
+    )
+    return F.coalesce(F.array_distinct(found), F.array().cast("array<string>"))
+
+
+def token_classes(labelled: DataFrame, min_pages: int) -> DataFrame:
+    """item, class: the tokens of at least ``min_pages`` bad pages, which all tokens of a rule are.
 
-    One token per place, ten at most, so that a page belongs to 2^10 combinations at most
-    however long its URL is.
+    Tokens of the same labelled pages are one class, as a rule with two of them is no surer
+    than with either one. Both steps lose no rule and keep the combinations few.
     """
-    labels, segments = F.split(host, "[.]"), F.filter(F.split(path, "/"), lambda s: s != "")
-    keys = F.array_sort(F.array_distinct(F.regexp_extract_all(url, F.lit("[?&]([^=&#]+)"), F.lit(1))))
-    number = F.lit("[0-9]+")
-
-    def item(place: str, value: Column) -> Column:
-        value = F.regexp_replace(ascii_lower(value), number, F.lit("0"))
-        return F.when(value != "", F.concat(F.lit(f"{place}:"), value))
-
-    found = F.array(
-        item("scheme", F.regexp_extract(url, "^([A-Za-z]+)://", 1)),
-        item("top", F.element_at(labels, -1)),
-        item("domain", F.when(F.size(labels) > 1, F.array_join(F.slice(labels, -2, 2), "."))),
-        item("label", F.when(F.size(labels) > 2, F.get(labels, F.lit(0)))),
-        item("first", F.get(segments, F.lit(0))),
-        item("second", F.get(segments, F.lit(1))),
-        item("type", F.regexp_extract(path, "[.]([A-Za-z0-9]{1,5})$", 1)),
-        item("query", F.array_join(keys, ",")),
-        F.when(url.contains("#"), F.lit("fragment:")),
-    )
-    return F.coalesce(F.array_compact(found), F.array().cast("array<string>"))
+    rows = labelled.select("_row", "bad", F.explode("items").alias("item"))
+    pages = [F.bit_xor(F.xxhash64("_row", F.lit(i))).alias(f"h{i}") for i in range(2)]
+    counted = rows.groupBy("item").agg(F.count("*").alias("n"), F.count_if("bad").alias("n_bad"), *pages)
+    same = counted.filter(F.col("n_bad") >= min_pages).groupBy("n", "h0", "h1")
+    classes = same.agg(F.min("item").alias("class"), F.collect_list("item").alias("members"))
+    return materialize(classes.select(F.explode("members").alias("item"), "class"), "tokens")
+
+
+def in_classes(pages: DataFrame, classes: DataFrame) -> DataFrame:
+    """``pages`` (with ``_row``) whose ``items`` are the classes of their tokens."""
+    columns = [c for c in pages.columns if c != "items"]
+    tokens = pages.select(*columns, F.explode_outer("items").alias("item"))
+    return tokens.join(classes, "item", "left").groupBy(*columns).agg(F.collect_set("class").alias("items"))
 
 
 def mine_rules(
-    labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE
+    baskets: DataFrame, min_support: float, min_pages: int, min_confidence: float = MIN_CONFIDENCE
 ) -> DataFrame:
-    """rule_items, confidence, support, key: rules "these tokens, therefore bad".
+    """rule_items, confidence, key: rules "these classes, therefore bad".
 
-    ``labelled`` has ``items`` and ``bad``. A rule goes if leaving out one of its tokens
-    gives a rule that is at least as sure. ``key`` is the rule's rarest token. With at most
-    ten tokens a page, 2^10 / min_support bounds the number of rules.
+    ``baskets`` has ``items`` and ``bad``. A rule goes if leaving out one of its classes
+    gives a rule that is at least as sure. ``key`` is the rule's rarest class.
     """
-    baskets = labelled.select(
-        F.concat("items", F.array(F.when(F.col("bad"), F.lit(BAD)).otherwise(F.lit(GOOD)))).alias("items")
-    )
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
-    rules = (
-        model.associationRules.filter(F.col("consequent") == F.array(F.lit(BAD)))
-        .filter(~F.array_contains("antecedent", GOOD))
-        .select(F.array_sort("antecedent").alias("rule_items"), "confidence", "support")
-    )
-    rules = materialize(rules, "rules")
+    marked = F.when(F.col("bad"), F.array_append("items", F.lit(BAD))).otherwise(F.col("items"))
+    model = FPGrowth(itemsCol="items", minSupport=min_support).fit(baskets.select(marked.alias("items")))
+    sets = materialize(model.freqItemsets.select(F.array_sort("items").alias("items"), "freq"), "itemsets")
+    right = sets.filter(F.array_contains("items", BAD) & (F.size("items") > 1) & (F.col("freq") >= min_pages))
+    right = right.select(F.array_remove("items", BAD).alias("rule_items"), F.col("freq").alias("right"))
+    counted = right.join(sets.withColumnRenamed("items", "rule_items"), "rule_items")
+    rules = counted.select("rule_items", (F.col("right") / F.col("freq")).alias("confidence"))
+    rules = materialize(rules.filter(F.col("confidence") >= min_confidence), "rules")
     smaller = rules.select(F.col("rule_items").alias("parent"), F.col("confidence").alias("surer"))
     redundant = (
         rules.select("rule_items", "confidence", F.explode("rule_items").alias("item"))
@@ -98,9 +109,7 @@ def mine_rules(
         .select("rule_items")
         .distinct()
     )
-    single = model.freqItemsets.filter(F.size("items") == 1).select(
-        F.get("items", F.lit(0)).alias("item"), "freq"
-    )
+    single = sets.filter(F.size("items") == 1).select(F.get("items", F.lit(0)).alias("item"), "freq")
     kept = rules.join(redundant, "rule_items", "left_anti")
     rarest = (
         kept.select("rule_items", F.explode("rule_items").alias("item"))
@@ -111,16 +120,16 @@ def mine_rules(
     return materialize(kept.join(rarest, "rule_items"), "rules")
 
 
-def match_rules(pages: DataFrame, rules: DataFrame) -> DataFrame:
+def match_rules(pages: DataFrame, classes: DataFrame, rules: DataFrame) -> DataFrame:
     """``pages`` (with ``items``) and ``confidence``: that of the surest rule that fits, else NULL.
 
-    The rules are an inverted index under their rarest token: a page looks up its tokens and
-    keeps the rules whose other tokens it has as well. Spark broadcasts the index after its
-    own check of the size, and otherwise splits hot tokens of the join.
+    The rules are an inverted index under their rarest class: a page looks up its classes and
+    keeps the rules whose other classes it has as well. Spark broadcasts the index after its
+    own check of the size, and otherwise splits hot classes of the join.
     """
     columns = [c for c in pages.columns if c != "items"]
     looked_up = (
-        pages.withColumn("_row", F.monotonically_increasing_id())
+        in_classes(pages.withColumn("_row", F.monotonically_increasing_id()), classes)
         .withColumn("key", F.explode_outer("items"))
         .join(rules.select("key", "rule_items", "confidence"), "key", "left")
     )
@@ -160,17 +169,18 @@ def filter_urls(
     taught = (
         parsed.filter("_url IS NOT NULL")
         .join(labels.select(F.col(f"`{label_id_col}`").alias("_id"), F.coalesce(bad, F.lit(False)).alias("bad")), "_id")
-        .select(items.alias("items"), "bad")
+        .select(F.monotonically_increasing_id().alias("_row"), items.alias("items"), "bad")
     )
     taught = materialize(taught, "labelled_urls")
-    support = min(1.0, max(min_support, min_pages / max(taught.count(), 1)))
-    mined = mine_rules(taught, support, min_confidence)
+    classes = token_classes(taught, min_pages)
+    support = min(1.0, max(min_support, (min_pages - 0.5) / max(taught.count(), 1)))  # rounded up to pages
+    mined = mine_rules(in_classes(taught, classes), support, min_pages, min_confidence)
     ruled = parsed.withColumn("_rule", curated_rule(F.col("host"), F.col("path"), rules))
     by_rule = ruled.filter("_rule IS NOT NULL").select(
         "_id", "host", "path", "_rule.rule", "_rule.verdict", F.lit(None).cast("double").alias("confidence")
     )
     rest = ruled.filter("_rule IS NULL").select("_id", "host", "path", items.alias("items"))
-    by_method = match_rules(rest, mined).select(
+    by_method = match_rules(rest, classes, mined).select(
         "_id",
         "host",
         "path",

@@ -57,6 +57,40 @@ def test_mined_rules_generalise(spark):
     assert filter_urls(pages.limit(0), labels, F.col("quality") == 0).count() == 0
 
 
+def verdicts(spark, rows, bad, labelled):
+    """Verdicts of URLs, of which every one whose id is ``labelled`` teaches."""
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(not bad(u))) for i, u in rows if labelled(i)], "doc_id long, quality int")
+    got = filter_urls(pages, labels, F.col("quality") == 0).collect()
+    return {r.page_id: r.verdict for r in got}
+
+
+@pytest.mark.parametrize("place", ["inner label", "deep segment", "query key"])
+def test_tokens_of_every_place(spark, place):
+    """A bad site between labels, a bad section far down the path, one bad query key of many."""
+
+    def url(i):
+        name = "badplace" if i % 5 == 0 else f"fine{'abc'[i % 3]}"
+        pre = ("www.", "m.", "blog.")[i % 3]
+        return {
+            "inner label": f"http://{pre}{name}.example.org/{'de' if i % 2 else 'en'}/{i}",
+            "deep segment": f"http://{pre}x.org/a/b/c/{name}/{i}.html",
+            "query key": f"http://{pre}x.org/a?{'z=1&' * (i % 2)}{name}={i}&{'y=1&' * (i % 3)}q",
+        }[place]
+
+    rows = [(i, url(i)) for i in range(500)]
+    got = verdicts(spark, rows, lambda u: "badplace" in u, lambda i: i < 300)
+    assert got == {i: "block" if i % 5 == 0 else "allow" for i in range(500)}
+
+
+def test_tokens_that_go_together_stand_for_each_other(spark):
+    """Under a host that no label has shown, its known inner label is enough."""
+    rows = [(i, f"http://{'good' if i % 4 else 'spamsite'}.example.org/{i}") for i in range(100)]
+    rows += [(1000, "http://spamsite.elsewhere.io/1"), (1001, "http://good.elsewhere.io/1")]
+    got = verdicts(spark, rows, lambda u: "spam" in u, lambda i: i < 1000)
+    assert got[1000] == "block" and got[1001] == "allow"
+
+
 def test_plan_is_native(spark, sf_dir):
     for name in ("op1_url_filter", "op9_secrets"):
         plan = queries.QUERIES[name](spark, sf_dir)._jdf.queryExecution().toString()
