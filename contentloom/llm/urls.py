@@ -18,9 +18,9 @@ CURATED = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
-#: Share and number of the labelled pages that a rule must be right on, and share of its
-#: pages that must be bad.
-MIN_SUPPORT, MIN_PAGES, MIN_CONFIDENCE = 0.002, 20, 0.5
+#: Number of the labelled pages that a rule must be right on, however many there are, and
+#: share of its pages that must be bad.
+MIN_PAGES, MIN_CONFIDENCE = 20, 0.5
 BAD = "=bad"
 
 
@@ -148,7 +148,6 @@ def filter_urls(
     label_id_col: str = "doc_id",
     *,
     rules: Sequence[tuple[str, str, str]] = CURATED,
-    min_support: float = MIN_SUPPORT,
     min_pages: int = MIN_PAGES,
     min_confidence: float = MIN_CONFIDENCE,
 ) -> DataFrame:
@@ -173,7 +172,7 @@ def filter_urls(
     )
     taught = materialize(taught, "labelled_urls")
     classes = token_classes(taught, min_pages)
-    support = min(1.0, max(min_support, (min_pages - 0.5) / max(taught.count(), 1)))  # rounded up to pages
+    support = min(1.0, (min_pages - 0.5) / max(taught.count(), 1))  # rounded up to pages
     mined = mine_rules(in_classes(taught, classes), support, min_pages, min_confidence)
     ruled = parsed.withColumn("_rule", curated_rule(F.col("host"), F.col("path"), rules))
     by_rule = ruled.filter("_rule IS NOT NULL").select(

@@ -91,6 +91,15 @@ def test_tokens_that_go_together_stand_for_each_other(spark):
     assert got[1000] == "block" and got[1001] == "allow"
 
 
+def test_support_does_not_grow_with_the_table(spark):
+    """25 bad pages of one site are enough among 20,000 labels as well; 19 are not."""
+    name = "CASE WHEN id < 25 THEN 'bad-site' WHEN id < 44 THEN 'seldom' ELSE concat('fine', chr(97 + id % 20)) END"
+    pages = spark.range(20_000).selectExpr("id AS page_id", f"concat('http://', {name}, '.example.org/', id) AS url")
+    labels = spark.range(20_000).selectExpr("id AS doc_id", "int(id >= 44) AS quality")
+    got = filter_urls(pages, labels, F.col("quality") == 0).filter("verdict = 'block'").collect()
+    assert {r.page_id for r in got} == set(range(25))
+
+
 def test_plan_is_native(spark, sf_dir):
     for name in ("op1_url_filter", "op9_secrets"):
         plan = queries.QUERIES[name](spark, sf_dir)._jdf.queryExecution().toString()
