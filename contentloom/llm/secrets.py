@@ -17,8 +17,9 @@ ASSIGN_VALUE_CHARS = 8
 WIDE_PATTERN = r"[A-Za-z0-9+/_-]{20,}"
 WIDE_KIND = "owned"
 KINDS = [*BASE_PATTERNS, WIDE_KIND]
-#: From so many owners on, a value is a widely copied example.
-EXAMPLE_OWNERS = 3
+#: From so many owners, or so many repositories of whatever owners, on, a value is a widely
+#: copied example.
+EXAMPLE_OWNERS, EXAMPLE_REPOS = 3, 10
 
 
 def _hits(kind: str, text: Column) -> Column:
@@ -88,11 +89,14 @@ def candidate_spans(scanned: DataFrame) -> DataFrame:
     )
 
 
-def ownership(candidates: DataFrame, example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
+def ownership(
+    candidates: DataFrame, example_owners: int = EXAMPLE_OWNERS, example_repos: int = EXAMPLE_REPOS
+) -> DataFrame:
     """hash, n_repos, n_owners, class of every candidate value of the corpus.
 
-    ``example``: at least ``example_owners`` owners have it; ``live``: one owner only;
-    ``shared``: between. Missing owners count as one. A value that a third of all documents
+    ``example``: at least ``example_owners`` owners or ``example_repos`` repositories have it,
+    be these of one owner; ``live``: one owner has it, in fewer repositories; ``shared``:
+    between. Missing owners count as one. A value that a third of all documents
     hold is counted in three steps that each combine before they shuffle.
     """
     return (
@@ -104,7 +108,7 @@ def ownership(candidates: DataFrame, example_owners: int = EXAMPLE_OWNERS) -> Da
         .agg(F.sum("n").alias("n_repos"), F.count("*").alias("n_owners"))
         .withColumn(
             "class",
-            F.when(F.col("n_owners") >= example_owners, "example")
+            F.when((F.col("n_owners") >= example_owners) | (F.col("n_repos") >= example_repos), "example")
             .when(F.col("n_owners") == 1, "live")
             .otherwise("shared"),
         )
@@ -112,7 +116,7 @@ def ownership(candidates: DataFrame, example_owners: int = EXAMPLE_OWNERS) -> Da
 
 
 def classified_spans(candidates: DataFrame, owners: DataFrame) -> DataFrame:
-    """_row, k, start, end, hash, class: all base spans, and those wide ones that are live
+    """_row, k, start, end, hash, class, n_owners, n_repos: all base spans, and those wide ones that are live
     and touch no base span of their document.
 
     Joining values to their owners splits a hot value by adaptive skew handling, since both
@@ -130,10 +134,10 @@ def classified_spans(candidates: DataFrame, owners: DataFrame) -> DataFrame:
         F.coalesce(right, F.col("end")) >= F.col("end")
     )
     return (
-        candidates.join(owners.select("hash", "class"), "hash")
+        candidates.join(owners, "hash")
         .withColumn("_apart", apart)
         .filter(~wide | (F.col("_apart") & (F.col("class") == "live")))
-        .select("_row", "k", "start", "end", "hash", "class")
+        .select("_row", "k", "start", "end", "hash", "class", "n_owners", "n_repos")
     )
 
 
@@ -155,24 +159,26 @@ def find_secrets(
     repo_col: str = "doc_id",
     keep: list[str] | None = None,
     example_owners: int = EXAMPLE_OWNERS,
+    example_repos: int = EXAMPLE_REPOS,
 ) -> DataFrame:
-    """Scan whole texts and judge every candidate by how many owners the corpus shows.
+    """Scan whole texts and judge every candidate by how many owners and repositories the
+    corpus shows.
 
     One row per input row: id (and the columns of ``keep``), ``secret_spans`` (array of k,
-    start, end, class by start and kind; code points, end exclusive), n_assign, n_access,
+    start, end, class, n_owners, n_repos by start and kind; code points, end exclusive), n_assign, n_access,
     n_hex, n_owned, n_example, base_sha256, spans. NULL text is empty; NULL owner or
     repository is a value of its own; repeated rows are judged each, and count as one
     repository; an empty table gives no rows; other columns are ignored.
     """
     scanned = scan(docs, text_col, owner_col, repo_col, list(dict.fromkeys([id_col, *(keep or [])])))
     candidates = candidate_spans(scanned)
-    owners = ownership(candidates, example_owners)
+    owners = ownership(candidates, example_owners, example_repos)
     count = lambda k: F.count_if(F.col("k") == KINDS.index(k)).alias(f"n_{k}")
     per_row = (
         classified_spans(candidates, owners)
         .groupBy("_row")
         .agg(
-            F.array_sort(F.collect_list(F.struct("start", "k", "end", "class"))).alias("secret_spans"),
+            F.array_sort(F.collect_list(F.struct("start", "k", "end", "class", "n_owners", "n_repos"))).alias("secret_spans"),
             *[count(k) for k in KINDS],
             F.count_if(F.col("class") == "example").alias("n_example"),
         )

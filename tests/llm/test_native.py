@@ -139,6 +139,23 @@ def test_ownership_separates_examples(spark):
     assert {r.doc_id: r.t for r in clean.collect()}[100] == "see <owned-secret> here"
 
 
+def test_examples_of_one_hot_source(spark):
+    """A value in many documents of one source is an example; in a few it stays live."""
+    rows = [(i, f"see Sample9Sample9Sample9Sample9 and AKIASAMPLESAMPLE99 {i}", "hot") for i in range(40)]
+    rows += [(100 + i, "see Few7Few7Few7Few7Few7Few7 here", "hot") for i in range(3)]
+    rows += [(200 + i, "see Two5Two5Two5Two5Two5Two5 here", f"owner{i % 2}") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    found = {r.doc_id: r for r in find_secrets(docs).collect()}
+    for i in range(40):
+        (span,) = found[i].secret_spans
+        assert (span["class"], span["n_owners"], span["n_repos"]) == ("example", 1, 40)
+        assert found[i].n_owned == 0 and found[i].n_example == 1 and found[i].n_access == 1
+    for i in range(100, 103):
+        (span,) = found[i].secret_spans
+        assert (span["class"], span["n_owners"], span["n_repos"]) == ("live", 1, 3)
+    assert all(found[i].spans == "" for i in range(200, 212))
+
+
 def test_redaction_merges_overlaps(spark):
     text = "é token=" + "ab" * 20 + " z"
     docs = spark.createDataFrame([(1, text, "s"), (2, None, "s"), (3, "plain", None)], "doc_id long, text string, source string")
