@@ -18,6 +18,8 @@ MAX_LABELLED = 20_000
 #: Preference pairs per row of the larger class.
 PARTNERS = 2
 REGULARISATION = 1e-5
+#: The cut's rank is right to one in so many labelled rows.
+ACCURACY = 100_000
 
 _MARKS = np.frombuffer(b"!#$%&*+-/<=>?@\\^_`{|}~\"'(),.:;[]", np.uint8)
 _UPPER, _LOWER, _DIGIT = slice(65, 91), slice(97, 123), slice(48, 58)
@@ -108,23 +110,21 @@ def preference_pairs(rows: DataFrame) -> DataFrame:
 
 
 def learn(rows: DataFrame):
-    """The ranking and the score that cuts off as large a share as the labels reject, or
-    None if there is nothing to prefer."""
+    """The ranking, or None if there is nothing to prefer."""
     if rows.select("good").distinct().count() < 2:
         return None
     pairs = materialize(preference_pairs(rows), "preferences")
-    model = LogisticRegression(
+    return LogisticRegression(
         featuresCol="x", labelCol="label", fitIntercept=False, regParam=REGULARISATION, maxIter=100
     ).fit(pairs)
-    share = rows.agg(F.avg((~F.col("good")).cast("double"))).first()[0]
-    ranked = rows.select(array_to_vector(F.col("x").cast("array<double>")).alias("x"), "good")
-    cut = (
-        model.transform(ranked)
-        .select(vector_to_array("rawPrediction")[1].alias("s"))
-        .agg(F.percentile("s", F.lit(share)))
-        .first()[0]
-    )
-    return model, cut
+
+
+def cut_of(scored: DataFrame) -> float | None:
+    """The score that cuts off as many of the rows (s, good) as are not good, to one in
+    ``ACCURACY`` of their number."""
+    n, bad = scored.agg(F.count("*"), F.count_if(~F.col("good"))).first()
+    place = min(1.0, (bad + 0.5) / max(n, 1))
+    return scored.agg(F.percentile_approx("s", F.lit(place), F.lit(ACCURACY))).first()[0]
 
 
 def score_quality(
@@ -147,38 +147,37 @@ def score_quality(
     count each; without labels of both kinds every score is 0.5 and nothing is rejected.
     NULL and empty texts are scored as texts of no words; an empty table gives no rows;
     other columns are ignored. The ranking is learned from ``max_labelled`` rows at most,
-    in expectation, whose ids are sent to the documents. Nothing is written but the sample:
-    every text is scored where it is read.
+    in expectation, whose ids are sent to the documents. The cut is taken from the scores of
+    all labelled documents outside the held-out part: every text is scored once, where it is
+    read, and its row is written with the score.
     """
     known = labels.select(
         F.col(f"`{label_id_col}`").alias("id"), F.col(f"`{label_col}`").alias("value")
     ).filter("id IS NOT NULL AND value IS NOT NULL")
-    known = known.filter(in_other_part("id", held_parts, held_part))
-    share = max_labelled / max(known.count(), 1)
+    every = known.filter(in_other_part("id", held_parts, held_part))
+    every = materialize(every.select("id", (F.col("value") > 0).alias("good")), "known")
+    share, known = max_labelled / max(every.count(), 1), every
     if share < 1:
-        known = known.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    known = materialize(known, "known")
+        known = every.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30)))
     sample = F.broadcast(known.select(F.col("id").alias(id_col)).distinct())
     asked = docs.select(id_col, text_col).join(sample, id_col, "left_semi")
     taught = materialize(
         features(asked, id_col, text_col, [])
         .select(F.col(f"`_keep_{id_col}`").alias("id"), F.col("_x").alias("x"))
         .join(known, "id")
-        .select("id", "x", (F.col("value") > 0).alias("good")),
+        .select("id", "x", "good"),
         "labelled",
     )
-    learned = learn(taught)
+    model = learn(taught)
     found = features(docs, id_col, text_col, keep or [])
+    kept = [c for c in found.columns if c.startswith("_keep_")]
     score = F.lit(0.5)
-    if learned:
-        model, cut = learned
-        found = model.transform(
-            found.withColumn("x", array_to_vector(F.col("_x").cast("array<double>")))
-        )
-        margin = vector_to_array("rawPrediction")[1] - F.lit(cut)
-        score = 1 / (1 + F.exp(-margin))
+    if model:
+        found = model.transform(found.withColumn("x", array_to_vector(F.col("_x").cast("array<double>"))))
+        found = materialize(found.select(*kept, vector_to_array("rawPrediction")[1].alias("s")), "scored")
+        judged = found.select(F.col(f"_keep_{id_col}").alias("id"), "s").join(every, "id")
+        score = 1 / (1 + F.exp(F.lit(cut_of(judged)) - F.col("s")))
     held = F.coalesce(id_part(f"_keep_{id_col}", held_parts) == held_part, F.lit(False))
-    names = [c.removeprefix("_keep_") for c in found.columns if c.startswith("_keep_")]
     return found.select(
-        *[F.col(f"_keep_{c}").alias(c) for c in names], held.alias("held_out"), score.alias("score")
+        *[F.col(c).alias(c.removeprefix("_keep_")) for c in kept], held.alias("held_out"), score.alias("score")
     ).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

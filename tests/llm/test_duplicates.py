@@ -143,6 +143,14 @@ def test_quality_held_out(spark, sf_dir):
     assert scored.score.between(0, 1).all() and set(scored.held_out) == {True, False}
 
 
+def test_quality_cut_covers_all_labels(spark):
+    """With a sample of 300 labels the rejected share is that of all labels, not the sample's."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").filter("n_chars < 2000")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").select("doc_id", "quality")
+    got = score_quality(docs, labels, max_labelled=300).filter("NOT held_out").join(labels, "doc_id").toPandas()
+    assert len(got) > 1000 and (got.predicted == 0).sum() == (got.quality == 0).sum()
+
+
 def test_quality_odd(spark, odd, empty):
     labels = spark.createDataFrame([(1, 1), (4, 0), (4, 0), (None, 1), (7, None), (9, 1), (3, 0)], "doc_id long, quality int")
     got = score_quality(odd, labels, keep=["text", "label"])
