@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from contentloom.session import scratch_table
@@ -14,15 +15,19 @@ from contentloom.session import scratch_table
 BATCH_ROWS = "2000"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, bucket_by: str | None = None) -> DataFrame:
     """Write a table into the shared folder and read it back.
 
     Later jobs read the files instead of repeating the work, and a lost executor costs the
     re-reading of its splits only. Batches for Python are kept small, as they hold texts.
+    ``bucket_by`` names a column that later jobs group by, without another shuffle.
     """
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     table = scratch_table(df.sparkSession, name)
-    df.write.format("parquet").saveAsTable(table)
+    writer = df.write.format("parquet")
+    if bucket_by:
+        writer = writer.bucketBy(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), bucket_by)
+    writer.saveAsTable(table)
     for made in _COLLECTED:
         made.append(table)
     return df.sparkSession.table(table)
@@ -83,6 +88,35 @@ def joined_digest(ids: Column) -> Column:
     return F.sha2(F.array_join(ids, ","), 256)
 
 
+#: Size of a filter of hashes; the same for every table, false positives go at a later join.
+FILTER_BITS = 24
+
+
+def hash_filter(hashes: DataFrame, column: str) -> bytes:
+    """Two bits per 64-bit hash of a column, by its highest and its lowest bits: 2 MB, however
+    many there are."""
+    high = F.shiftrightunsigned(column, 64 - FILTER_BITS)
+    low = F.col(column).bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    places = hashes.select(F.explode(F.array(high, low)).alias("s")).select((F.col("s") + 1).alias("s"))
+    parts = places.groupBy(F.bitmap_bucket_number("s").alias("b")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("bits")
+    )
+    out = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
+    for part in parts.collect():
+        bits = np.frombuffer(part["bits"], np.uint8)
+        out[(part["b"] - 1) * len(bits) : part["b"] * len(bits)] = bits
+    return out.tobytes()
+
+
+def in_filter(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which signed 64-bit hashes the filter may hold."""
+    seen = np.ones(len(hashes), bool)
+    for places in (hashes.view(np.uint64) >> np.uint64(64 - FILTER_BITS), hashes & ((1 << FILTER_BITS) - 1)):
+        places = places.astype(np.int64)
+        seen &= (bits[places >> 3] >> (places & 7).astype(np.uint8) & 1).astype(bool)
+    return seen
+
+
 def batches_of(batch, size: int) -> Sequence:
     """Cut an Arrow batch into smaller ones, to bound what a task holds at a time."""
     return [batch.slice(i, size) for i in range(0, batch.num_rows, size)]

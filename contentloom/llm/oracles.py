@@ -106,3 +106,104 @@ SELECT id AS record_id, u AS canonical_url, fid AS response_id, status,
   END AS headers
 FROM s
 """
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+OP11 = f"""
+WITH t AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents WHERE text IS NOT NULL),
+d AS (SELECT r, doc_id, w, len(w) AS n FROM t WHERE len(w) > 0),
+s AS (SELECT count(*) AS nd, sum(n)::BIGINT AS l FROM d),
+p AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY r, term),
+f AS (SELECT term, floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM p, s GROUP BY term, nd),
+q AS (
+  SELECT q, item_id, term, count(*) AS times FROM (
+    SELECT row_number() OVER () AS q, item_id, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'),
+      '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark)
+  GROUP BY q, item_id, term),
+m AS (SELECT r, doc_id, 75 + (25 * n * nd) // l AS m FROM d, s),
+x AS (
+  SELECT q, item_id, r, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM q JOIN f USING (term) JOIN p USING (term) JOIN m USING (r) GROUP BY q, item_id, r, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST, r)::INTEGER AS rank,
+  doc_id, score
+FROM x WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST, r) <= 20
+"""
+
+
+def _part(c: str) -> str:
+    return f"coalesce(octet_length(encode({c}::VARCHAR)) || ':' || {c}::VARCHAR, '-')"
+
+
+#: crc32 bit by bit: a byte comes in, then eight shifts.
+_CRC32 = """xor(list_reduce(flatten([[4294967295]] || [[ascii(ch), -1, -1, -1, -1, -1, -1, -1, -1]
+    FOR ch IN string_split(doc_id::VARCHAR, '')]), lambda a, x: CASE WHEN x >= 0 THEN xor(a, x)
+    ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295)"""
+
+OP12 = f"""
+WITH RECURSIVE leaf AS (
+  SELECT row_number() OVER () AS uid, doc_id, lang,
+    sha256({' || '.join(map(_part, ('doc_id', 'source', 'lang', 'n_chars', 'text')))}) AS h,
+    sha256({' || '.join(map(_part, ('doc_id', 'source', 'lang', 'n_chars', f"translate(text, '{_UPPER}', '{_LOWER}')")))}) AS altered
+  FROM documents),
+langs AS (SELECT lang, (row_number() OVER (ORDER BY lang NULLS FIRST) - 1)::BIGINT AS tree FROM (SELECT DISTINCT lang FROM leaf)),
+sizes AS (SELECT count(*) AS trees FROM langs),
+placed AS (
+  SELECT uid, doc_id, tree, h, altered, count(*) OVER (PARTITION BY tree) AS n,
+    (row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1)::BIGINT AS idx
+  FROM leaf JOIN langs ON leaf.lang IS NOT DISTINCT FROM langs.lang),
+lv AS (
+  SELECT tree, 0 AS level, idx, n, h FROM placed
+  UNION ALL
+  SELECT tree, level + 1, idx // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY idx)) FROM lv
+  WHERE n > 1 GROUP BY tree, level, idx // 8, (n + 7) // 8),
+sub AS (SELECT tree, h FROM lv WHERE n = 1),
+top AS (
+  SELECT 0 AS level, tree AS idx, trees AS n, h FROM sub, sizes
+  UNION ALL
+  SELECT level + 1, idx // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY idx)) FROM top
+  WHERE n > 1 GROUP BY level, idx // 8, (n + 7) // 8),
+up AS (
+  SELECT uid, tree, 0 AS level, idx, '' AS proof, CASE WHEN coalesce({_CRC32} % 3 = 0, false) THEN altered ELSE h END AS f FROM placed
+  UNION ALL
+  SELECT c.uid, c.tree, c.level + 1, c.idx // 8,
+    c.proof || coalesce(string_agg(s.h, '' ORDER BY s.idx) FILTER (s.idx <> c.idx), ''),
+    sha256(string_agg(CASE WHEN s.idx = c.idx THEN c.f ELSE s.h END, '' ORDER BY s.idx))
+  FROM up c JOIN lv s ON s.tree = c.tree AND s.level = c.level AND s.idx // 8 = c.idx // 8
+  WHERE s.n > 1 GROUP BY c.uid, c.tree, c.level, c.idx, c.proof),
+crossed AS (
+  SELECT uid, tree, proof, f FROM up QUALIFY row_number() OVER (PARTITION BY uid ORDER BY level DESC) = 1),
+up2 AS (
+  SELECT uid, 0 AS level, tree AS idx, proof, f FROM crossed
+  UNION ALL
+  SELECT c.uid, c.level + 1, c.idx // 8,
+    c.proof || coalesce(string_agg(s.h, '' ORDER BY s.idx) FILTER (s.idx <> c.idx), ''),
+    sha256(string_agg(CASE WHEN s.idx = c.idx THEN c.f ELSE s.h END, '' ORDER BY s.idx))
+  FROM up2 c JOIN top s ON s.level = c.level AND s.idx // 8 = c.idx // 8
+  WHERE s.n > 1 GROUP BY c.uid, c.level, c.idx, c.proof),
+done AS (SELECT uid, proof, f FROM up2 QUALIFY row_number() OVER (PARTITION BY uid ORDER BY level DESC) = 1)
+SELECT p.doc_id, p.h AS leaf, sub.h AS subroot, r.h AS root, sha256(d.proof) AS proof_sha256,
+  d.f AS folded_root, d.f = r.h AS verified
+FROM placed p JOIN done d USING (uid) JOIN sub USING (tree), (SELECT h FROM top WHERE n = 1) r
+"""
+
+OP13 = f"""
+WITH l AS (
+  SELECT uid, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i
+  FROM (SELECT row_number() OVER () AS uid, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
+k AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{_UPPER}', '{_LOWER}') AS key
+  FROM l),
+g AS (
+  SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 40
+  GROUP BY key HAVING count(DISTINCT doc_id) + max((doc_id IS NULL)::INT) >= 5),
+j AS (
+  SELECT uid, doc_id, line, i, g.key IS NOT NULL AND doc_id IS DISTINCT FROM keeper AS gone
+  FROM k LEFT JOIN g USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM j GROUP BY uid, doc_id
+"""

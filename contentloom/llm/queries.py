@@ -6,9 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from contentloom.llm import oracles
+from contentloom.llm.common import ascii_lower, is_part
 from contentloom.llm.decontamination import decontaminate
 from contentloom.llm.language_id import identify_languages
 from contentloom.llm.language_model import score_texts
+from contentloom.llm.lexical import rank_documents
+from contentloom.llm.line_dedup import kept_text, line_bitmaps
+from contentloom.llm.merkle import merkle_manifest
 from contentloom.llm.near_dedup import near_duplicates
 from contentloom.llm.packing import pack_documents
 from contentloom.llm.quality import score_quality
@@ -75,6 +79,22 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.col("text")
+    altered = F.when(is_part("doc_id", 3, 0), ascii_lower(text)).otherwise(text)
+    return merkle_manifest(_table(spark, sf_dir, "documents"), altered={"text": altered})
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = line_bitmaps(_table(spark, sf_dir, "documents"), keep=["text"])
+    kept = F.sha2(kept_text(F.col("text"), F.col("bitmap")), 256)
+    return judged.select("doc_id", "n_lines", "n_dropped", kept.alias("kept_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run  # it builds on this module
 
@@ -93,9 +113,15 @@ QUERIES = {
     "op8_topk": op8_topk,
     "op9_secrets": op9_secrets,
     "op10_decontamination": op10_decontamination,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_line_dedup": op13_line_dedup,
 }
 ORACLES = {
     "op5_revisits": oracles.OP5,
     "op8_topk": oracles.OP8,
     "op9_secrets": oracles.OP9,
+    "op11_lexical_search": oracles.OP11,
+    "op12_merkle_manifest": oracles.OP12,
+    "op13_line_dedup": oracles.OP13,
 }
