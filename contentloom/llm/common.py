@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from contentloom.session import scratch_table
 
@@ -76,6 +76,13 @@ def slim(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{old}`").alias(new) for new, old in columns.items()])
 
 
+def require_whole_numbers(table: DataFrame, column: str) -> None:
+    """Refuse ids of other types before a job starts."""
+    kind = table.select(F.col(f"`{column}`")).schema[0].dataType
+    if not isinstance(kind, T.IntegralType):
+        raise TypeError(f"{column} must be a whole number, not {kind.simpleString()}")
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(

@@ -10,9 +10,9 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F
 
-from contentloom.llm.common import hash_filter, in_filter, materialize, slim
+from contentloom.llm.common import hash_filter, in_filter, materialize, require_whole_numbers, slim
 from contentloom.operators.lookup import lookup
 
 # Fixed values of the score: gain and saturation of a term, weight of the length in percent.
@@ -43,12 +43,6 @@ def term_hash(term: bytes) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def _whole_numbers(table: DataFrame, column: str) -> None:
-    kind = table.select(F.col(f"`{column}`")).schema[0].dataType
-    if not isinstance(kind, T.IntegralType):
-        raise TypeError(f"{column} must be a whole number, not {kind.simpleString()}")
-
-
 def query_terms(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """q (one per row), item, term, times: the distinct terms of every item."""
 
@@ -329,7 +323,7 @@ def rank_documents(
     size, each over the whole index: first the stratum of the greatest bound in some bins,
     for a score that k documents reach, then every stratum whose bound can reach it.
     """
-    _whole_numbers(docs, id_col)
+    require_whole_numbers(docs, id_col)
     asked = query_terms(items, item_id_col, item_text_col)
     index, n_docs, bins = build_index(docs, id_col, text_col, hash_filter(asked, "term"))
     postings = index.filter("term IS NOT NULL")

@@ -12,7 +12,8 @@ import xxhash
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, Window, functions as F
 
-from contentloom.llm.common import materialize, slim
+from contentloom.llm.common import materialize, require_whole_numbers, slim
+from contentloom.operators.keyed import with_ordinal
 from contentloom.operators.lookup import fits_broadcast
 
 SHINGLE = 5
@@ -358,12 +359,13 @@ def near_duplicates(
 ) -> DataFrame:
     """Groups of near-duplicates: a chain of links, each of Jaccard ``percent`` or more.
 
-    One row per input row: the id (integer), n_shingles, component_id (smallest id of the
+    One row per input row: the id (a whole number, others are refused), n_shingles, component_id (smallest id of the
     group), kept. Texts of one shingle set form a group through their fingerprints and are
     compared through their smallest id only. Empty texts are linked with nothing; a row
     without id is linked with nothing, has no component_id and is kept; repeated rows get
     the same answer each; an empty table gives no rows; other columns are ignored.
     """
+    require_whole_numbers(docs, id_col)
     found = features(docs, id_col, text_col, shingle, bands, rows)
     labels = link_representatives(docs, found, id_col, text_col, shingle, percent)
     groups = (
@@ -382,18 +384,34 @@ def near_duplicates(
     )
 
 
+def _own_ids(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """_doc (the row), text, t (its hash), own: the id, or a new one above all others for each
+    different text of an id that several texts share; NULL without an id."""
+    text = F.col(f"`{text_col}`")
+    marked = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"),
+        text.alias("text"),
+        F.struct(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("t")).alias("key"),
+    )
+    several = marked.groupBy("key.id").agg(F.min("key.t").alias("a"), F.max("key.t").alias("b"))
+    several = several.filter("a != b AND id IS NOT NULL").select("id")
+    pairs = marked.select("key", "key.id").join(several, "id", "left_semi").select("key").distinct()
+    top = marked.agg(F.max("key.id")).first()[0] or 0
+    renamed = materialize(with_ordinal(pairs, "key").select("key", (F.col("ordinal") + F.lit(top + 1)).alias("new")), "renamed")
+    named = marked.join(F.broadcast(renamed) if fits_broadcast(renamed) else renamed, "key", "left")
+    return named.select("_doc", "text", "key.t", F.coalesce("new", "key.id").alias("own"))
+
+
 def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The input without all but one document of every group of near-duplicates.
 
-    Rows without id stay; of rows that repeat a kept id, one stays.
+    Rows without id stay; of rows that repeat a kept id with the same text, one stays.
+    Different texts of one id are documents each, so none is lost to the other's group.
     """
-    judged = near_duplicates(docs, id_col, text_col, **options)
-    kept = judged.filter(F.col("kept") & F.col(id_col).isNotNull()).select(id_col).distinct()
-    again = Window.partitionBy(id_col).orderBy(F.xxhash64(text_col))
-    one = (
-        docs.join(kept, id_col, "left_semi")
-        .withColumn("_again", F.row_number().over(again))
-        .filter("_again = 1")
-        .select(*docs.columns)
-    )
-    return one.union(docs.filter(F.col(id_col).isNull()))
+    require_whole_numbers(docs, id_col)
+    named = _own_ids(docs, id_col, text_col)
+    judged = near_duplicates(named, "own", "text", **options)
+    kept = judged.filter(F.col("kept") & F.col("own").isNotNull()).select("own").distinct()
+    again = Window.partitionBy("own").orderBy("t")
+    one = named.join(kept, "own", "left_semi").withColumn("_again", F.row_number().over(again)).filter("_again = 1")
+    return one.select("_doc.*").union(docs.filter(F.col(f"`{id_col}`").isNull()))

@@ -30,17 +30,19 @@ cand AS (
   WHERE CASE k WHEN 0 THEN length(v) >= 8 WHEN 3 THEN regexp_matches(m, '[0-9]') AND
     regexp_matches(m, '[A-Za-z]') ELSE true END),
 owners AS (
-  SELECT v, count(DISTINCT coalesce(source, '<none>')) AS n FROM cand GROUP BY v),
+  SELECT v, count(DISTINCT coalesce(source, '<none>')) AS n,
+    count(DISTINCT (coalesce(source, '<none>'), coalesce(doc_id::VARCHAR, '<none>'))) AS repos
+  FROM cand GROUP BY v),
 span AS (
-  SELECT c.uid, c.k, c.s, c.e, o.n FROM cand c JOIN owners o USING (v)
-  WHERE c.k < 3 OR (o.n = 1 AND NOT EXISTS (
+  SELECT c.uid, c.k, c.s, c.e, o.n >= 3 OR o.repos >= 10 AS example FROM cand c JOIN owners o USING (v)
+  WHERE c.k < 3 OR (o.n = 1 AND o.repos < 10 AND NOT EXISTS (
     SELECT 1 FROM cand b WHERE b.uid = c.uid AND b.k < 3 AND b.s < c.e AND b.e > c.s))),
 txt AS (
-  SELECT uid, k, n, s, ['assign', 'access', 'hex', 'owned'][k + 1] || ':' || s || ':' || e AS x FROM span),
+  SELECT uid, k, example, s, ['assign', 'access', 'hex', 'owned'][k + 1] || ':' || s || ':' || e AS x FROM span),
 agg AS (
   SELECT uid, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access,
     count(*) FILTER (k = 2) AS n_hex, count(*) FILTER (k = 3) AS n_owned,
-    count(*) FILTER (n >= 3) AS n_example,
+    count(*) FILTER (example) AS n_example,
     string_agg(x, ',' ORDER BY s, k) FILTER (k < 3) AS b, string_agg(x, ',' ORDER BY s, k) AS a
   FROM txt GROUP BY uid)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,

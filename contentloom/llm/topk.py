@@ -116,7 +116,12 @@ def vectors(table: DataFrame, id_col: str, vector_col: str, scale: int) -> DataF
     fit = x.isNotNull() & F.forall(
         x, lambda e: F.coalesce(~F.isnan(e) & (F.abs(e) < float("inf")), F.lit(False))
     )
-    v = F.transform(x, lambda e: F.rint(e * scale - F.pmod(e * scale, F.lit(1.0))))
+
+    def floor(y: Column) -> Column:
+        """Doubles from 2^53 on are whole; ``floor`` gives a long below."""
+        return F.when(F.abs(y) < 2.0**53, F.floor(y).cast("double")).otherwise(y)
+
+    v = F.transform(x, lambda e: floor(e * scale))
     rows = table.filter(fit).select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").alias("vec_id"), v.alias("v"))
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, e: a + e * e))
     return materialize(rows.withColumn("norm", norm), "vectors")

@@ -64,26 +64,38 @@ def url_items(url: Column, host: Column, path: Column) -> Column:
 
 
 def token_classes(labelled: DataFrame, min_pages: int) -> DataFrame:
-    """item, class: the tokens of at least ``min_pages`` bad pages, which all tokens of a rule are.
+    """item, class, sure: the tokens of at least ``min_pages`` bad pages, which all tokens of a
+    rule are.
 
     Tokens of the same labelled pages are one class, as a rule with two of them is no surer
-    than with either one. Both steps lose no rule and keep the combinations few.
+    than with either one. A ``sure`` class is on bad pages only, so that a rule with it and
+    others is no surer than itself. All three lose no rule and keep the combinations few.
     """
     rows = labelled.select("_row", "bad", F.explode("items").alias("item"))
     pages = [F.bit_xor(F.xxhash64("_row", F.lit(i))).alias(f"h{i}") for i in range(2)]
     counted = rows.groupBy("item").agg(F.count("*").alias("n"), F.count_if("bad").alias("n_bad"), *pages)
     same = counted.filter(F.col("n_bad") >= min_pages).groupBy("n", "h0", "h1")
-    classes = same.agg(F.min("item").alias("class"), F.collect_list("item").alias("members"))
-    return materialize(classes.select(F.explode("members").alias("item"), "class"), "tokens")
+    classes = same.agg(
+        F.min("item").alias("class"), F.collect_list("item").alias("members"), F.first("n_bad").alias("n_bad")
+    )
+    sure = F.col("n_bad") == F.col("n")
+    return materialize(classes.select(F.explode("members").alias("item"), "class", sure.alias("sure")), "tokens")
 
 
 def in_classes(pages: DataFrame, classes: DataFrame) -> DataFrame:
     """``pages`` (with ``_row``) whose ``items`` are the classes of their tokens."""
+    classes = classes.select("item", "class")
     columns = [c for c in pages.columns if c != "items"]
     tokens = pages.select(*columns, F.explode_outer("items").alias("item"))
     return tokens.join(classes, "item", "left").groupBy(*columns).agg(F.collect_set("class").alias("items"))
 
 
+def sure_rules(classes: DataFrame) -> DataFrame:
+    """rule_items, confidence, key: the rule of every class that is on bad pages only."""
+    sure = classes.filter("sure").select(F.col("class").alias("key")).distinct()
+    return sure.select(F.array("key").alias("rule_items"), F.lit(1.0).alias("confidence"), "key")
+
+
 def mine_rules(
     baskets: DataFrame, min_support: float, min_pages: int, min_confidence: float = MIN_CONFIDENCE
 ) -> DataFrame:
@@ -173,7 +185,8 @@ def filter_urls(
     taught = materialize(taught, "labelled_urls")
     classes = token_classes(taught, min_pages)
     support = min(1.0, (min_pages - 0.5) / max(taught.count(), 1))  # rounded up to pages
-    mined = mine_rules(in_classes(taught, classes), support, min_pages, min_confidence)
+    baskets = in_classes(taught, classes.filter("NOT sure"))
+    mined = mine_rules(baskets, support, min_pages, min_confidence).unionByName(sure_rules(classes))
     ruled = parsed.withColumn("_rule", curated_rule(F.col("host"), F.col("path"), rules))
     by_rule = ruled.filter("_rule IS NOT NULL").select(
         "_id", "host", "path", "_rule.rule", "_rule.verdict", F.lit(None).cast("double").alias("confidence")

@@ -70,7 +70,7 @@ def secrets(text):
     """Base spans (start, kind index, end)."""
     text = text or ""
     kinds = (
-        (r"""(?i:(?:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m[1]) >= 8),
+        (r"""(?ai:(?:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m[1]) >= 8),
         (r"AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 16),
         (r"[0-9a-f]+", lambda m: len(m[0]) >= 32),
     )
@@ -125,3 +125,97 @@ def language_model(rows, steps=20, rounds=100, buckets=24):
             score += math.log10(p)
         out.append((len(t), sum(one[w] > 0 for w in t), n, base, score))
     return out
+
+
+def ranking(docs, items, k=20):
+    """[(item, rank, doc_id, score)] of rows (id, text)."""
+    pattern = "[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+"
+    counted = [(i, Counter(words(t, pattern))) for i, t in docs]
+    counted = [(i, c) for i, c in counted if c]
+    n_docs, length = len(counted), sum(sum(c.values()) for _, c in counted)
+    df = Counter(t for _, c in counted for t in c)
+    out = []
+    for item, text in items:
+        found = []
+        for i, c in counted:
+            m = 75 + 25 * sum(c.values()) * n_docs // length
+            score = sum(
+                math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * (10**9 * c[t] // (1000 * c[t] + 12 * m))
+                for t in words(text, pattern)
+                if t in c
+            )
+            if score > 0:
+                found.append((-score, i is None, i or 0, i))
+        out += [(item, rank, i, -s) for rank, (s, _, _, i) in enumerate(sorted(found)[:k], 1)]
+    return out
+
+
+def _h(*parts):
+    return sha256("".join(parts).encode()).hexdigest()
+
+
+def _tree(leaves):
+    levels = [leaves]
+    while len(levels[-1]) > 1:
+        at = levels[-1]
+        levels.append([_h(*at[i : i + 8]) for i in range(0, len(at), 8)])
+    return levels
+
+
+def _proof(levels, i, leaf):
+    siblings = []
+    for at in levels[:-1]:
+        low = i // 8 * 8
+        run = at[low : low + 8]
+        siblings += run[: i - low] + run[i - low + 1 :]
+        leaf, i = _h(*run[: i - low], leaf, *run[i - low + 1 :]), i // 8
+    return siblings, leaf
+
+
+def merkle(rows):
+    """[(doc_id, leaf, subroot, root, proof, folded)] of rows (doc_id, text, lang, source, n_chars)."""
+
+    def leaf(doc_id, text, lang, source, n_chars):
+        values = [None if v is None else str(v) for v in (doc_id, source, lang, n_chars, text)]
+        return _h(*("-" if v is None else f"{len(v.encode())}:{v}" for v in values))
+
+    groups = defaultdict(list)
+    for doc_id, text, lang, source, n_chars in rows:
+        now = text
+        if text is not None and part(doc_id, 3) == 0:
+            now = text.translate(LOWER)
+        stored = leaf(doc_id, text, lang, source, n_chars)
+        groups[lang].append((doc_id, stored, leaf(doc_id, now, lang, source, n_chars)))
+    first = lambda v: (v is not None, v)
+    names = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    trees = {}
+    for g in names:
+        groups[g].sort(key=lambda r: (first(r[0])[0], r[0] or 0, r[1]))
+        trees[g] = _tree([r[1] for r in groups[g]])
+    top = _tree([trees[g][-1][0] for g in names])
+    out = []
+    for at, g in enumerate(names):
+        for i, (doc_id, stored, now) in enumerate(groups[g]):
+            low, folded = _proof(trees[g], i, now)
+            high, folded = _proof(top, at, folded)
+            out.append((doc_id, stored, trees[g][-1][0], top[-1][0], _h(*low, *high), folded))
+    return out
+
+
+def lines(rows, min_chars=40, min_docs=5):
+    """[(doc_id, n_lines, n_dropped, kept text)] of rows (doc_id, text)."""
+    key = lambda line: line.strip(" \t\n\x0b\x0c\r").translate(LOWER)
+    holders = defaultdict(set)
+    for doc_id, text in rows:
+        for line in (text or "").split("\n"):
+            if len(key(line)) >= min_chars:
+                holders[key(line)].add(doc_id)
+    keeper = {
+        k: max((d for d in docs if d is not None), default=None) for k, docs in holders.items() if len(docs) >= min_docs
+    }
+    out = []
+    for doc_id, text in rows:
+        all_lines = (text or "").split("\n")
+        kept = [x for x in all_lines if key(x) not in keeper or keeper[key(x)] == doc_id]
+        out.append((doc_id, len(all_lines), len(all_lines) - len(kept), "\n".join(kept)))
+    return out

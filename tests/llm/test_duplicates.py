@@ -8,8 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from contentloom.llm import near_dedup
-from contentloom.llm.decontamination import decontaminate
+from contentloom.llm import decontamination, near_dedup
+from contentloom.llm.decontamination import decontaminate, drop_contaminated
 from contentloom.llm.near_dedup import components, keep_one_each, near_duplicates, shingle_set, signature
 from contentloom.llm.quality import score_quality
 
@@ -67,6 +67,25 @@ def test_odd_rows_dedup(odd, empty):
     assert near_duplicates(empty).count() == 0 and keep_one_each(empty).count() == 0
 
 
+def test_texts_of_one_id_are_documents_each(spark):
+    """Neither text of an id goes as a copy of the other's group; copies of a row go."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(5, a, 1), (5, b, 2), (9, b, 3), (5, a, 4), (7, c, 5), (None, a, 6), (None, a, 7), (11, "", 8), (11, None, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, own int").repartition(3)
+    kept = keep_one_each(docs, percent=80)
+    assert kept.columns == docs.columns
+    got = sorted((r.doc_id or 0, r.text or "") for r in kept.collect())
+    assert len(got) == 6 and [t for _, t in got].count(a) == 3 and [t for _, t in got].count(b) == 1
+    assert {i for i, t in got if t == ""} == {11} and (7, c) in got
+
+
+def test_other_ids_are_refused(spark):
+    docs = spark.createDataFrame([("a", "x y z")], "doc_id string, text string")
+    for run in (near_duplicates, keep_one_each):
+        with pytest.raises(TypeError, match="whole number"):
+            run(docs)
+
+
 def decontaminated(docs, items):
     return [tuple(r) for r in decontaminate(docs, items).select("n_words", "n_hit", "n_items", "items_sha256").collect()]
 
@@ -98,6 +117,48 @@ def test_contamination_odd(spark, odd, odd_rows, empty):
     assert {r[1] for r in decontaminated(docs, bench.limit(0))} == {0}
 
 
+def test_contamination_in_portions(spark, monkeypatch, documents, sf_dir):
+    """Many portions of the benchmark, small chunks of documents and candidates."""
+    for name, value in {"CHUNK_WORDS": 500, "CANDIDATES": 50, "MEMO": 20}.items():
+        monkeypatch.setattr(decontamination, name, value)
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    rows = [(r.doc_id, r.text) for r in documents.collect()]
+    want = brute.contamination(rows, [(r.item_id, r.text) for r in items.collect()])
+    got = decontaminate(documents, items, portion_words=400).select("n_words", "n_hit", "n_items", "items_sha256")
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_a_run_that_all_documents_and_items_share(spark):
+    """Candidates come from the rarest words of a window, not from what is everywhere."""
+    rng = random.Random(4)
+    new = lambda: " ".join(f"r{rng.randrange(10**9)}" for _ in range(4))
+    text = lambda n: " ".join(f"one of the {new()}" for _ in range(n))
+    rows, items = [(i, text(160)) for i in range(160)], [(i, text(160)) for i in range(160)]
+    rows.append((160, "x " + " ".join(items[3][1].split()[8:40])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    hashed = [decontamination.word_hashes(decontamination.words_of(t)) for _, t in items]
+    texts, _ = decontamination.benchmark_texts(bench, "item_id", "text")
+    terms = texts.select(F.explode("hashes").alias("term")).distinct()
+    index = decontamination.build_index(docs, "text", ["doc_id"], decontamination.hash_filter(terms, "term"))
+    frequency = {r.term: r.n for r in decontamination.term_frequencies(index).collect()}
+    plan = decontamination.plan_windows(list(enumerate(hashed)), frequency, 10, 8)
+    first = plan["probes"][0]
+    looked_at = sum(n * int(first[c + 1] - first[c]) for c, t in enumerate(plan["vocabulary"].tolist(), 1) for n in [frequency.get(t, 0)])
+    assert looked_at < 10 * 160 * 160
+    got = {r.doc_id: (r.n_hit, r.n_items, r.n_near) for r in decontaminate(docs, bench).collect()}
+    assert got[160] == (32, 1, 0) and all(v == (0, 0, 0) for i, v in got.items() if i < 160)
+
+
+def test_drop_contaminated(spark, odd):
+    bench = spark.createDataFrame([("i", "alpha beta gamma delta epsilon zeta eta"), ("j", "nowhere to be found")], "item_id string, text string")
+    kept = drop_contaminated(odd, bench)
+    assert kept.columns == odd.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [3, 4, 5, 7, 8, 9, 10, 11]
+    same_id = spark.createDataFrame([(1, "nowhere to be found"), (1, "another text"), (1, "another text")], "doc_id long, text string")
+    assert [r.text for r in drop_contaminated(same_id, bench).collect()] == ["another text"] * 2
+
+
 def near_items(text, items, window=10, near=8):
     """Number of items with a near window and no whole one, by comparing at every place."""
     words, found = text.split(), 0

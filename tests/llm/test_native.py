@@ -1,5 +1,7 @@
 """URL filter and secret scan."""
 
+import itertools
+import random
 import re
 from hashlib import sha256
 
@@ -91,6 +93,51 @@ def test_tokens_that_go_together_stand_for_each_other(spark):
     assert got[1000] == "block" and got[1001] == "allow"
 
 
+def test_many_tokens_of_one_bad_site(spark):
+    """25 query keys, each left out of few pages of one bad site: a class of any of them is
+    sure alone, so no combination is mined."""
+    rng = random.Random(1)
+
+    def url(i):
+        keys = [f"key{chr(97 + j)}" for j in range(25) if rng.random() < 0.9]
+        bad = i % 3 == 0
+        return f"http://{'bad-site' if bad else 'fine'}.org/x?" + "&".join(f"{k}=1" for k in keys if bad)
+
+    rows = [(i, url(i)) for i in range(1600)]
+    got = verdicts(spark, rows, lambda u: "bad-site" in u, lambda i: i < 1520)
+    assert got == {i: "block" if i % 3 == 0 else "allow" for i in range(1600)}
+
+
+def rules_by_hand(baskets, min_pages, min_confidence):
+    """{tokens: confidence} of all rules that no shorter one beats, by trying every set."""
+    tokens = sorted(set().union(*(b for b, _ in baskets)))
+    sure = {}
+    for k in range(1, len(tokens) + 1):
+        for rule in itertools.combinations(tokens, k):
+            on = [bad for b, bad in baskets if b >= set(rule)]
+            if sum(on) >= min_pages and sum(on) / len(on) >= min_confidence:
+                sure[frozenset(rule)] = sum(on) / len(on)
+    return sure
+
+
+def test_verdicts_equal_those_of_all_rules(spark):
+    """Against every combination of tokens: the surest rule that fits a page is found."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(300):
+        path = "/".join(p for p in "abcdef" if rng.random() < 0.5)
+        bad = rng.random() < (0.9 if "a/b" in path else 0.6 if "e" in path else 1.0 if path == "f" else 0.2)
+        rows.append((i, f"http://h.org/{path}", int(bad)))
+    pages = spark.createDataFrame(rows, "page_id long, url string, bad int")
+    labels = pages.filter("page_id < 240").select(F.col("page_id").alias("doc_id"), "bad")
+    got = {r.page_id: r.confidence for r in filter_urls(pages, labels, F.col("bad") == 1, min_pages=5, rules=()).collect()}
+    items = lambda u: {*u[11:].split("/"), "h"} - {""}  # noqa: E731  all pages share the other tokens
+    rules = rules_by_hand([(items(u), bad) for i, u, bad in rows if i < 240], 5, 0.5)
+    for i, u, _ in rows:
+        fits = [c for rule, c in rules.items() if rule <= items(u)]
+        assert got[i] == (pytest.approx(max(fits)) if fits else None), u
+
+
 def test_support_does_not_grow_with_the_table(spark):
     """25 bad pages of one site are enough among 20,000 labels as well; 19 are not."""
     name = "CASE WHEN id < 25 THEN 'bad-site' WHEN id < 44 THEN 'seldom' ELSE concat('fine', chr(97 + id % 20)) END"
