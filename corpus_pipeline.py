@@ -11,7 +11,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from contentloom.llm.common import collected, materialize, release
-from contentloom.llm.decontamination import decontaminate
+from contentloom.llm.decontamination import drop_contaminated
 from contentloom.llm.near_dedup import keep_one_each
 from contentloom.llm.packing import pack_documents
 from contentloom.llm.quality import score_quality
@@ -49,9 +49,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @_stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
-    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    judged = decontaminate(docs, benchmark, keep=docs.columns)
-    return judged.filter(~F.col("contaminated")).select(*docs.columns)
+    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 @_stage
