@@ -11,8 +11,9 @@ from contentloom.operators.keyed import top_k_per_key
 from contentloom.operators.lookup import BROADCAST_BYTES
 from contentloom.operators.terms import (
     doc_terms,
-    sentence_terms,
     sentences,
+    stored_doc_terms,
+    stored_sentence_terms,
     term_stats,
     with_idf,
 )
@@ -30,14 +31,19 @@ def keyphrases(
     key: str = "id",
     k: int = KEY_PHRASES,
     max_bytes: int = BROADCAST_BYTES,
+    corpus: DataFrame | None = None,
 ) -> DataFrame:
     """(id, keywords): the k best one- and two-word phrases by TF-IDF, best first; '' for a
     text without words, so that it counts as done.
 
-    Scores are rounded before ranking, so that ties are ties on every engine.
+    Scores are rounded before ranking, so that ties are ties on every engine. ``corpus`` has
+    the texts whose ``n_docs`` give the statistics, if these are not ``docs``.
     """
-    terms = doc_terms(docs, body, ngrams=(1, 2), key=key)
-    scored = with_idf(terms, term_stats(terms, n_docs), key, max_bytes).withColumn(
+    if corpus is None:
+        terms = seen = stored_doc_terms(docs, body, ngrams=(1, 2), key=key)
+    else:
+        terms, seen = (doc_terms(d, body, ngrams=(1, 2), key=key) for d in (docs, corpus))
+    scored = with_idf(terms, term_stats(seen, n_docs), key, max_bytes).withColumn(
         "score", F.round(F.col("tf") * F.col("idf"), 6)
     )
     top = top_k_per_key(
@@ -65,7 +71,7 @@ def hashed_embeddings(
     A task adds up its terms before the shuffle, to at most ``dim`` slots a text.
     """
     ready = docs.select(key, normalize_text(body).alias("_text"))
-    terms = doc_terms(ready, "_text", key=key)
+    terms = stored_doc_terms(ready, "_text", key=key)
     weighted = with_idf(terms, term_stats(terms, n_docs), key, max_bytes)
     digest = md5_text(F.col("term"))
     slot = F.pmod(
@@ -101,10 +107,8 @@ def sentence_scores(
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """(id, pos, score): mean IDF of the words of each sentence; no sentence text moves."""
-    terms = doc_terms(docs, body, key=key)
-    weighted = with_idf(
-        sentence_terms(docs, body, key), term_stats(terms, n_docs), key, max_bytes
-    )
+    per_sentence, terms = stored_sentence_terms(docs, body, key)
+    weighted = with_idf(per_sentence, term_stats(terms, n_docs), key, max_bytes)
     return weighted.groupBy(key, "pos").agg(
         F.round(
             F.sum(F.col("tf") * F.col("idf")) / F.sum("tf").cast("double"), 6

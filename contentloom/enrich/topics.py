@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from contentloom.functions.core import let
 from contentloom.operators.lookup import BROADCAST_BYTES, lookup
-from contentloom.operators.terms import doc_terms
+from contentloom.operators.terms import doc_terms, stored_doc_terms
 from contentloom.schemas import TOPIC_LABELS
 from contentloom.session import cut_lineage
 
@@ -24,16 +24,19 @@ def topic_scores(
     key: str = "id",
     labels: Sequence[str] = TOPIC_LABELS,
     max_bytes: int = BROADCAST_BYTES,
+    corpus: DataFrame | None = None,
 ) -> DataFrame:
     """(id, categories, top_categories, categories_over_threshold).
 
     ``seeds`` is (label, term, weight). Labels are scored independently of each other with
-    1 - exp(-sum(weight * share of the term in the text * idf)).
+    1 - exp(-sum(weight * share of the term in the text * idf)). ``corpus`` has the texts
+    whose ``n_docs`` give the statistics, if these are not ``docs``.
     """
-    terms = doc_terms(docs, body, key=key)
+    terms = (stored_doc_terms if corpus is None else doc_terms)(docs, body, key=key)
     seeds = cut_lineage(seeds)
     seed_terms = seeds.select("term").distinct()
-    df = lookup(terms, seed_terms, "term", spread_by=key, max_bytes=max_bytes).groupBy(
+    seen = terms if corpus is None else doc_terms(corpus, body, key=key)
+    df = lookup(seen, seed_terms, "term", spread_by=key, max_bytes=max_bytes).groupBy(
         "term"
     ).agg(F.count("*").alias("df"))
     idf = F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0

@@ -9,21 +9,28 @@ from pyspark.sql import Column, DataFrame, functions as F
 from contentloom.functions.core import computed_once, exploded, let
 from contentloom.functions.text import term_counts, word_ngrams, word_string, words
 from contentloom.operators.lookup import BROADCAST_BYTES, lookup
+from contentloom.session import written
 
 
 def doc_terms(docs: DataFrame, text: str, ngrams: Sequence[int] = (1,), key: str = "id") -> DataFrame:
     """(id, n_terms, term, tf): counted inside the row, so no shuffle."""
+    listed = _listed(docs, text, ngrams, key)
+    return exploded(listed, [key, "n_terms"], F.col("_t"), "_e").select(key, "n_terms", "_e.term", "_e.tf")
+
+
+def _listed(docs: DataFrame, text: str, ngrams: Sequence[int], key: str) -> DataFrame:
     def terms(s: Column) -> Column:
         return F.concat(*[word_ngrams(s, n) for n in ngrams])
 
     listed = computed_once(docs.select(key, text), {"_terms": let(word_string(text), terms)})
-    rows = exploded(
-        listed,
-        [key, F.size("_terms").cast("bigint").alias("n_terms")],
-        term_counts(F.col("_terms")),
-        "_t",
-    )
-    return rows.select(key, "n_terms", "_t.term", "_t.tf")
+    return listed.select(key, F.size("_terms").cast("bigint").alias("n_terms"), term_counts(F.col("_terms")).alias("_t"))
+
+
+def stored_doc_terms(docs: DataFrame, text: str, ngrams: Sequence[int] = (1,), key: str = "id") -> DataFrame:
+    """``doc_terms`` from a written table with one row per text, for callers that read the
+    terms more than once: texts are split and counted a single time."""
+    rows = written(_listed(docs, text, ngrams, key), "terms")
+    return rows.select(key, "n_terms", F.explode("_t").alias("_t")).select(key, "n_terms", "_t.term", "_t.tf")
 
 
 def term_stats(terms: DataFrame, n_docs: int) -> DataFrame:
@@ -47,13 +54,16 @@ def sentences(text: Column | str) -> Column:
     return F.filter(F.transform(parts, lambda s: F.trim(s)), lambda s: s != F.lit(""))
 
 
-def sentence_terms(docs: DataFrame, text: str, key: str = "id") -> DataFrame:
-    """(id, pos, term, tf) with the sentence number; counted inside the row."""
-    def per_sentence(s: Column, i: Column) -> Column:
+def stored_sentence_terms(docs: DataFrame, text: str, key: str = "id") -> tuple[DataFrame, DataFrame]:
+    """(id, pos, term, tf) with the sentence number, and (id, term) once per text, both from
+    one written table with a row per text."""
+    def counted(s: Column, i: Column) -> Column:
         return F.transform(
             term_counts(words(s)),
             lambda t: F.struct(i.alias("pos"), t["term"].alias("term"), t["tf"].alias("tf")),
         )
 
-    flat = let(sentences(text), lambda ss: F.flatten(F.transform(ss, per_sentence)))
-    return docs.select(key, F.explode(flat).alias("_t")).select(key, "_t.*")
+    flat = let(sentences(text), lambda ss: F.flatten(F.transform(ss, counted)))
+    rows = written(docs.select(key, flat.alias("_t")), "sentence_terms")
+    per_sentence = rows.select(key, F.inline("_t"))
+    return per_sentence, rows.select(key, F.explode(F.array_distinct(F.col("_t.term"))).alias("term"))

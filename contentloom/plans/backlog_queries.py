@@ -228,7 +228,7 @@ WHERE range NOT IN (SELECT l_orderkey FROM lineitem)""",
 )
 def missing_heights(spark: SparkSession, sf: str) -> DataFrame:
     stored = read(spark, sf, "lineitem").select("l_orderkey")
-    upper = stored.agg(F.max("l_orderkey")).first()[0] + 1
+    upper = (stored.agg(F.max("l_orderkey")).first()[0] or -1) + 1
     return bl.missing_heights(spark, stored, upper, "l_orderkey")
 
 
@@ -368,7 +368,8 @@ def _block_text(height, stamp) -> F.Column:
     "block_parse",
     """SELECT CAST(event_id AS INTEGER) AS height,
   make_timestamp((1700000000 + event_id * 120) * 1000000) AS block_timestamp,
-  '{"height":' || event_id || ',"timestamp":' || (1700000000 + event_id * 120) || '}' AS data_raw
+  '{"height":' || event_id || ',"timestamp":' || (1700000000 + event_id * 120) || '}' AS data_raw,
+  '{"height":' || event_id || ',"timestamp":' || (1700000000 + event_id * 120) || '}' AS data_raw_str
 FROM events WHERE event_id % 7 <> 3 AND event_id % 11 <> 5""",
 )
 def block_parse(spark: SparkSession, sf: str) -> DataFrame:
@@ -379,7 +380,8 @@ def block_parse(spark: SparkSession, sf: str) -> DataFrame:
         F.when(e % 7 == 3, F.substring(whole, 1, 6)).otherwise(whole).alias("response_str")
     )
     return blk.parse_blocks(raw).select(
-        "height", F.col("block_timestamp").cast("timestamp_ntz").alias("block_timestamp"), "data_raw"
+        "height", F.col("block_timestamp").cast("timestamp_ntz").alias("block_timestamp"),
+        F.to_json("data_raw").alias("data_raw"), "data_raw_str",
     )
 
 
@@ -397,7 +399,7 @@ UNION ALL SELECT DISTINCT CAST(l_orderkey AS INTEGER), NULL,
 def block_backfill(spark: SparkSession, sf: str) -> DataFrame:
     """Gaps, batches, fetched records (every tenth is malformed), gate, parse, load."""
     stored = read(spark, sf, "lineitem").select("l_orderkey")
-    upper = stored.agg(F.max("l_orderkey")).first()[0] + 1
+    upper = (stored.agg(F.max("l_orderkey")).first()[0] or -1) + 1
     gaps = bl.missing_heights(spark, stored, upper, "l_orderkey")
     work = cut_lineage(batch_plan(gaps, "height", 200))
     h = F.col("height")

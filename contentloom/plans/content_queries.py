@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from contentloom.functions import fingerprint as fp, html as html_fn, text as text_fn
-from contentloom.functions.core import json_strings, json_value, matching_patterns
+from contentloom.functions.core import computed_once, matching_patterns
+from contentloom.functions.variants import parsed, read_once, schema_report
 from contentloom.functions.language import language_mix
 from contentloom.operators import analytics
 from contentloom.plans import bindings as b
@@ -76,7 +77,7 @@ def _folded_cte(shingles: str, source: str, name: str = "folded") -> str:
     FROM (SELECT id, unnest({shingles}) AS g FROM {source})) GROUP BY id)"""
 
 
-_SIGNED = """CAST(coalesce(u - CASE WHEN u >= 9223372036854775808 THEN 18446744073709551616 ELSE 0 END, 0)
+SIGNED = """CAST(coalesce(u - CASE WHEN u >= 9223372036854775808 THEN 18446744073709551616 ELSE 0 END, 0)
   AS BIGINT)"""
 _CHAR_SHINGLES = "list_transform(range(1, length(t) - 1), lambda i: substr(t, i, 3))"
 _WORD_SHINGLES = (
@@ -88,7 +89,7 @@ _WORD_SHINGLES = (
 @query(
     "simhash_chars",
     f"""WITH {b.DOCS}, {_folded_cte(_CHAR_SHINGLES, '(SELECT id, lower(body) AS t FROM docs)')}
-SELECT id, {_SIGNED} AS simhash FROM docs LEFT JOIN folded USING (id)""",
+SELECT id, {SIGNED} AS simhash FROM docs LEFT JOIN folded USING (id)""",
 )
 def simhash_chars(spark: SparkSession, sf: str) -> DataFrame:
     return b.documents(spark, sf).select("id", fp.simhash_chars("body").alias("simhash"))
@@ -97,7 +98,7 @@ def simhash_chars(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "simhash_word_shingles",
     f"""WITH {b.DOCS}, {_folded_cte(_WORD_SHINGLES, f"(SELECT id, {b.sql_words('body')} AS w FROM docs)")}
-SELECT id, {_SIGNED} AS simhash FROM docs LEFT JOIN folded USING (id)""",
+SELECT id, {SIGNED} AS simhash FROM docs LEFT JOIN folded USING (id)""",
 )
 def simhash_word_shingles(spark: SparkSession, sf: str) -> DataFrame:
     return b.documents(spark, sf).select("id", fp.simhash_words("body").alias("simhash"))
@@ -245,11 +246,28 @@ def json_paths(spark: SparkSession, sf: str) -> DataFrame:
     broken = F.when(F.col("event_id") % 10 == 0, F.substring("props", 1, 5)).otherwise(
         F.col("props")
     )
-    return read(spark, sf, "events").withColumn("broken", broken).select(
-        "event_id",
-        json_value("props", "$.k").alias("k"),
-        json_value("props", "$.nope.deep").alias("missing"),
-        json_value("broken", "$.k").alias("k_or_malformed"),
+    rows = read(spark, sf, "events").select("event_id", "props", broken.alias("broken"))
+    whole = {"k": ("$.k", "text"), "missing": ("$.nope.deep", "text")}
+    read_both = computed_once(
+        rows, {"_p": read_once("props", whole), "_b": read_once("broken", {"k": ("$.k", "text")})}
+    )
+    return read_both.select("event_id", "_p.k", "_p.missing", F.col("_b.k").alias("k_or_malformed"))
+
+
+@query(
+    "json_schema_report",
+    """WITH fields AS (SELECT DISTINCT event_type, key, json_type(props, '$.' || key) AS t FROM (
+  SELECT event_type, props, unnest(json_keys(props)) AS key FROM events))
+SELECT event_type, n, shape FROM (
+  SELECT event_type, 'OBJECT<' || string_agg(key || ': ' || CASE WHEN t IN ('UBIGINT', 'BIGINT') THEN 'BIGINT'
+    WHEN t = 'VARCHAR' THEN 'STRING' ELSE t END, ', ' ORDER BY key) || '>' AS shape FROM fields GROUP BY event_type)
+JOIN (SELECT event_type, count(*) AS n FROM events GROUP BY event_type) USING (event_type)""",
+)
+def json_schema_report(spark: SparkSession, sf: str) -> DataFrame:
+    """The shape that all documents of a type have in common."""
+    events = read(spark, sf, "events")
+    return events.groupBy("event_type").agg(
+        F.count("*").alias("n"), schema_report(parsed("props")).alias("shape")
     )
 
 
@@ -271,10 +289,10 @@ FROM docs WHERE app = 'lens'"""
 )
 def json_tags(spark: SparkSession, sf: str) -> DataFrame:
     rows = b.labelled_payloads(spark, sf).filter(F.col("app").isin("lenster", "hey.xyz"))
-    tags = json_strings("content", "$.tags")
-    return rows.select(
-        "id", F.array_join(tags, "|").alias("tags"), F.size(tags).cast("bigint").alias("n_tags"),
-        json_value("content", "$.tags").alias("array_as_scalar"),
+    fields = read_once("content", {"tags": ("$.tags", "texts"), "as_scalar": ("$.tags", "text")})
+    return computed_once(rows.select("id", "content"), {"_f": fields}).select(
+        "id", F.array_join("_f.tags", "|").alias("tags"), F.size("_f.tags").cast("bigint").alias("n_tags"),
+        F.col("_f.as_scalar").alias("array_as_scalar"),
     )
 
 
@@ -371,7 +389,7 @@ _QC_COLUMNS = """id, created_at, app, body, content_timestamp, title, contributo
   alpha_token_count, alpha_char_count, total_char_count, non_alpha_char_count,
   round(non_alpha_ratio, 6) AS non_alpha_ratio, round(alpha_ratio, 6) AS alpha_ratio,
   round(en, 6) AS en_share, h1 AS ngram_min_1, h2 AS ngram_min_2"""
-_KEPT_SIMHASH = _folded_cte(_CHAR_SHINGLES, "(SELECT id, lower(body) AS t FROM kept)")
+KEPT_SIMHASH = _folded_cte(_CHAR_SHINGLES, "(SELECT id, lower(body) AS t FROM kept)")
 
 
 def _quality_columns(df: DataFrame) -> DataFrame:
@@ -389,8 +407,8 @@ def _quality_columns(df: DataFrame) -> DataFrame:
 def _quality_sql(condition: str = "TRUE") -> str:
     return f"""WITH {PIPE},
 kept AS (SELECT {_QC_COLUMNS} FROM gated JOIN minhash USING (id) WHERE {condition}
-  QUALIFY row_number() OVER (PARTITION BY h1 ORDER BY retrieved_at, id) = 1), {_KEPT_SIMHASH}
-SELECT kept.*, {_SIGNED} AS ngram_hash FROM kept LEFT JOIN folded USING (id)"""
+  QUALIFY row_number() OVER (PARTITION BY h1 ORDER BY retrieved_at, id) = 1), {KEPT_SIMHASH}
+SELECT kept.*, {SIGNED} AS ngram_hash FROM kept LEFT JOIN folded USING (id)"""
 
 
 @query("quality_content", _quality_sql())

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from contentloom import schemas
 from contentloom.enrich import (
     entities,
     phrases,
@@ -14,22 +15,24 @@ from contentloom.enrich import (
     topics,
     transcripts,
 )
+from contentloom.functions.fingerprint import simhash_chars
 from contentloom.functions.text import clean_for_scoring
 from contentloom.functions.vectors import cosine_similarity
-from contentloom.operators import backlog, fuzzy
+from contentloom.operators import backlog, fuzzy, neighbours, refresh as refreshing
 from contentloom.operators.lookup import lookup
 from contentloom.operators.terms import doc_terms
 from contentloom.plans import bindings as b, content_queries as cq
 from contentloom.plans.content import quality_content
 from contentloom.plans.registry import Family
-from contentloom.plans.wide import SHARED_ENTITIES, wide_metadata
+from contentloom.plans.wide import SHARED_ENTITIES, wide_view
 from contentloom.schemas import (
     ENTITY_TYPES_11,
     ENTITY_TYPES_15,
     ENTITY_TYPES_18,
     TOPIC_LABELS,
 )
-from contentloom.session import cut_lineage, scratch_table
+from contentloom.session import scratch_table
+from contentloom.sources import tables as tb
 from contentloom.sources.tables import read
 
 FAMILY = Family()
@@ -295,10 +298,14 @@ def top_category(spark: SparkSession, sf: str) -> DataFrame:
 _RULE_TAIL = " On 2024-01-05 at 10:30 am the 3rd payment of $1,200.50 was 15% of 42 km, 7."
 
 
-def _entity_docs(spark: SparkSession, sf: str) -> DataFrame:
+def _with_tail(docs: DataFrame) -> DataFrame:
     """Every third document gets a sentence with dates, amounts and the like."""
     tail = F.when(F.col("id") % 3 == 0, F.lit(_RULE_TAIL)).otherwise(F.lit(""))
-    return b.documents(spark, sf).select("id", F.concat("body", tail).alias("body"))
+    return docs.select("id", F.concat("body", tail).alias("body"))
+
+
+def _entity_docs(spark: SparkSession, sf: str) -> DataFrame:
+    return _with_tail(b.documents(spark, sf))
 
 
 def _gazetteer(spark: SparkSession, sf: str) -> DataFrame:
@@ -559,6 +566,45 @@ def cosine_topk(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+_NEIGHBOURS = f"""nearest AS (
+  SELECT a.vec_id AS query_id, b.vec_id AS neighbour_id,
+    round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS similarity,
+    CAST(row_number() OVER (PARTITION BY a.vec_id ORDER BY similarity DESC, b.vec_id) AS INTEGER) AS rank
+  FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id QUALIFY rank <= 5)"""
+
+
+@query("vector_neighbours", f"WITH {_NEIGHBOURS} SELECT query_id, rank, neighbour_id, similarity FROM nearest")
+def vector_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    """The five nearest vectors of every vector, over all vectors."""
+    index = neighbours.build_vector_index(read(spark, sf, "embeddings"), "vec_id", "embedding")
+    return neighbours.nearest_neighbours(index, 5)
+
+
+@query(
+    "vector_neighbours_probed",
+    """SELECT count(*) AS n_rows, CAST(5 * count(*) AS BIGINT) AS n_found, TRUE AS recall_reached,
+  TRUE AS similarities_exact FROM embeddings""",
+)
+def vector_neighbours_probed(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from few cells, as many as a sample of the rows needs: the result against the
+    exact one."""
+    vectors = read(spark, sf, "embeddings")
+    cells = max(2, vectors.count() // 128)
+    index = neighbours.build_vector_index(vectors, "vec_id", "embedding", cells=cells)
+    probes = neighbours.probes_for(index, 5, recall=0.95)
+    found = neighbours.nearest_neighbours(index, 5, probes=probes)
+    exact = neighbours.nearest_neighbours(index, 5).select(
+        "query_id", "neighbour_id", F.col("similarity").alias("exact")
+    )
+    both = found.join(exact, ["query_id", "neighbour_id"], "left")
+    return both.agg(
+        F.count_distinct("query_id").alias("n_rows"),
+        F.count("*").alias("n_found"),
+        (F.count("exact") >= 0.9 * F.count("*")).alias("recall_reached"),
+        F.coalesce(F.bool_and(F.col("exact") == F.col("similarity")), F.lit(False)).alias("similarities_exact"),
+    )
+
+
 @query(
     "cosine_pairs",
     """SELECT a.vec_id AS left_id, b.vec_id AS right_id,
@@ -657,14 +703,54 @@ def keyword_list_matches(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---- the wide view ------------------------------------------------------------------------------------------------
 
+_PARTS = 16
+_NOW, _BEFORE = "2024-06-01", "2023-06-01"
+#: Stored tables of the enrichments, in the types of the given ids.
+_STAGE_TABLES = {
+    "entities_11": schemas.ENTITIES_11,
+    "entities_18": schemas.ENTITIES_18,
+    "keywords": schemas.KEYWORDS,
+    "topics": schemas.TOPICS,
+}
 
-def _stamped(df: DataFrame, stale: dict) -> DataFrame:
-    """The rows as of now plus an older, outdated row for every id."""
-    now = df.withColumn("created_at", F.lit("2024-06-01").cast("timestamp_ntz"))
-    old = df.withColumns({c: F.lit(v).cast(df.schema[c].dataType) for c, v in stale.items()})
-    return now.unionByName(
-        old.withColumn("created_at", F.lit("2023-06-01").cast("timestamp_ntz"))
-    )
+
+def _stage_table(spark: SparkSession, name: str) -> str:
+    """An empty enrichment table in hash classes of the id."""
+    table = scratch_table(spark, name)
+    ddl = _STAGE_TABLES[name].replace("id string", "id bigint").replace(" timestamp", " timestamp_ntz")
+    refreshing.write_parted(spark.createDataFrame([], ddl), table, "id", _PARTS)
+    return table
+
+
+def _stages(spark: SparkSession, sf: str) -> dict:
+    """What fills the enrichment tables, from content rows whose id they lack."""
+    n, corpus = _n_docs(spark, sf), b.documents(spark, sf)
+
+    def stamped(rows: DataFrame) -> DataFrame:
+        now = F.lit(_NOW).cast("timestamp_ntz")
+        return rows.withColumn("created_at", now).withColumn("part", refreshing.part_of("id", _PARTS))
+
+    def named(docs: DataFrame) -> DataFrame:
+        return entities.gazetteer_mentions(_with_tail(docs), _gazetteer(spark, sf))
+
+    def all_types(docs: DataFrame) -> DataFrame:
+        mentions = named(docs).unionByName(entities.value_mentions(_with_tail(docs)))
+        return entities.entity_table(docs.select("id"), mentions, ENTITY_TYPES_18, first_seen=False)
+
+    return {
+        "entities_11": lambda d: stamped(entities.entity_table(d.select("id"), named(d), ENTITY_TYPES_11)),
+        "entities_18": lambda d: stamped(all_types(d)),
+        "keywords": lambda d: stamped(phrases.keyphrases(d, n, corpus=corpus)),
+        "topics": lambda d: stamped(topics.topic_scores(d, _seeds(spark, sf), n, corpus=corpus)),
+    }
+
+
+def _stored_content(spark: SparkSession, sf: str) -> str:
+    """The quality content of one application as a stored table."""
+    kept = quality_content(cq.content_with_stats(spark, sf), "odysee")
+    table = scratch_table(spark, "content")
+    refreshing.write_parted(kept.withColumn("ngram_hash", simhash_chars("body")), table, "id", _PARTS)
+    return table
 
 
 _META_ENTITIES = ", ".join(
@@ -674,35 +760,75 @@ _META_ENTITIES = ", ".join(
 _KEYWORD_CTES = _PHRASES.replace("tf AS", "ptf AS").replace("FROM tf", "FROM ptf").replace(
     "idf AS (", "pidf AS ("
 ).replace("JOIN idf", "JOIN pidf").replace("worded AS", "pworded AS").replace("FROM worded", "FROM pworded")
-
-
-@query(
-    "content_metadata_wide",
-    f"""WITH {cq.PIPE}, kept AS (SELECT *, h1 AS ngram_min_1 FROM gated JOIN minhash USING (id)
+_WIDE_SQL = f"""WITH {cq.PIPE}, kept AS (SELECT *, h1 AS ngram_min_1 FROM gated JOIN minhash USING (id)
   WHERE app = 'odysee' QUALIFY row_number() OVER (PARTITION BY h1 ORDER BY retrieved_at, id) = 1),
+{cq.KEPT_SIMHASH}, hashed AS (SELECT kept.id, {cq.SIGNED} AS ngram_hash FROM kept LEFT JOIN folded USING (id)),
+spoken AS (SELECT id, string_agg(lang || '=' || CAST(round(share * 10000) AS BIGINT), ',' ORDER BY lang) AS languages
+  FROM mix GROUP BY id),
 {_ENTITIES}, {_VALUES}, {_WIDE_11}, {_WIDE_18}, {_KEYWORD_CTES}, {_TOPICS}, {_TOP_CATEGORY}
-SELECT kept.id, kept.created_at, kept.app, kept.body, alpha_token_count, ngram_min_1, {_META_ENTITIES},
-  fe.date_entities, top_categories AS top_category, topic_table.categories, keywords.keywords
+SELECT kept.id, kept.created_at, kept.body, content_timestamp, title, contributor, '[]' AS tags,
+  coalesce(spoken.languages, '') AS languages, '{{"h1":' || h1 || ',"h2":' || h2 || '}}' AS ngram_min_hash,
+  hashed.ngram_hash, alpha_token_count, alpha_char_count, total_char_count, non_alpha_char_count,
+  round(non_alpha_ratio, 6) AS non_alpha_ratio, round(alpha_ratio, 6) AS alpha_ratio, retrieved_at,
+  kept.app, ngram_min_1, {_META_ENTITIES}, fe.date_entities, top_categories AS top_category,
+  topic_table.categories, keywords.keywords<extra>
 FROM kept LEFT JOIN wide_18 fe ON fe.id = kept.id LEFT JOIN wide_11 se ON se.id = kept.id
-LEFT JOIN keywords ON keywords.id = kept.id LEFT JOIN topic_table ON topic_table.id = kept.id""",
-)
+LEFT JOIN keywords ON keywords.id = kept.id LEFT JOIN topic_table ON topic_table.id = kept.id
+LEFT JOIN hashed ON hashed.id = kept.id LEFT JOIN spoken ON spoken.id = kept.id"""
+
+
+def _shown(wide: DataFrame) -> DataFrame:
+    """All columns of the view, numbers inside JSON texts rounded."""
+    scores = {c: _flat_categories(F.from_json(c, "map<string,double>")) for c in ("languages", "categories")}
+    ratios = {c: F.round(c, 6) for c in ("non_alpha_ratio", "alpha_ratio")}
+    return wide.withColumns({**scores, **ratios}).drop("part")
+
+
+@query("content_metadata_wide", _WIDE_SQL.replace("<extra>", ""))
 def content_metadata_wide(spark: SparkSession, sf: str) -> DataFrame:
-    content = quality_content(cq.content_with_stats(spark, sf), "odysee")
-    ids, named, values = _mentions(spark, sf)
-    named = cut_lineage(named)
-    se = entities.entity_table(ids, named, ENTITY_TYPES_11)
-    fe = entities.entity_table(ids, named.unionByName(values), ENTITY_TYPES_18, first_seen=False)
-    kw = phrases.keyphrases(b.documents(spark, sf), _n_docs(spark, sf))
-    wide = wide_metadata(
-        content,
-        _stamped(se, {"person_entities": "stale"}),
-        _stamped(fe, {"date_entities": "stale"}),
-        _stamped(kw, {"keywords": "stale"}),
-        _stamped(_topic_rows(spark, sf), {"top_categories": "stale"}),
-    )
-    parsed = wide.withColumn("_c", F.from_json("categories", "map<string,double>"))
-    return parsed.select(
-        "id", "created_at", "app", "body", "alpha_token_count", "ngram_min_1",
-        *[f"{e}_entities" for e in SHARED_ENTITIES],
-        "date_entities", "top_category", _flat_categories("_c").alias("categories"), "keywords",
+    """Content and enrichments stored, each enrichment run on the content it lacks, and the
+    view joined from the stored tables."""
+    tables = {"content": _stored_content(spark, sf)}
+    stages = {name: (_stage_table(spark, name), run) for name, run in _stages(spark, sf).items()}
+    backlog.run_pending(spark.table(tables["content"]), stages)
+    tables |= {name: table for name, (table, _) in stages.items()}
+    view = wide_view(scratch_table(spark, "wide"), tables, _PARTS)
+    refreshing.refresh(spark, view)
+    return _shown(spark.table(view.target))
+
+
+@query(
+    "wide_view_refresh",
+    _WIDE_SQL.replace("<extra>", ", 'built,refreshed,unchanged' AS modes, TRUE AS only_what_changed"),
+)
+def wide_view_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """A view over tables that lack rows and hold outdated ones; then content and two
+    enrichment tables gain rows, the view is refreshed, and refreshed again."""
+    full = {"content": _stored_content(spark, sf)}
+    stages = {name: (_stage_table(spark, name), run) for name, run in _stages(spark, sf).items()}
+    backlog.run_pending(spark.table(full["content"]), stages)
+    full |= {name: table for name, (table, _) in stages.items()}
+
+    late, outdated = F.col("id") % 5 == 0, F.col("id") % 7 == 0
+    tables = {}
+    for name, table in full.items():
+        rows = spark.table(table)
+        if name == "content":
+            rows = rows.filter(~late)
+        if name == "keywords":
+            old = {"keywords": F.lit("outdated"), "created_at": F.lit(_BEFORE).cast("timestamp_ntz")}
+            rows = rows.withColumns({c: F.when(outdated, v).otherwise(F.col(c)) for c, v in old.items()})
+        tables[name] = scratch_table(spark, f"growing_{name}")
+        refreshing.write_parted(rows.drop("part"), tables[name], "id", _PARTS)
+    view = wide_view(scratch_table(spark, "wide"), tables, _PARTS)
+    modes = [refreshing.refresh(spark, view)]
+    for name, which in (("content", late), ("keywords", outdated), ("topics", outdated)):
+        tb.append(spark.table(full[name]).filter(which), tables[name])
+    changed = spark.table(full["content"]).filter(late | outdated).count()
+    modes += [refreshing.refresh(spark, view) for _ in range(2)]
+    return _shown(spark.table(view.target)).withColumns(
+        {
+            "modes": F.lit(",".join(m.mode for m in modes)),
+            "only_what_changed": F.lit([m.keys for m in modes[1:]] == [changed, 0]),
+        }
     )

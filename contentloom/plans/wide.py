@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, functions as F
 
 from contentloom.functions.core import joined_concat
 from contentloom.operators.keyed import latest_per_key
+from contentloom.operators.refresh import KeyedView
 
 # Entity columns that both extractors fill.
 SHARED_ENTITIES = (
@@ -60,3 +63,20 @@ def wide_metadata(
         F.to_json("categories").alias("categories"),
         F.coalesce("keywords", F.lit("")).alias("keywords"),
     )
+
+
+#: Source tables of the stored view, by their roles in ``wide_metadata``.
+WIDE_SOURCES = ("content", "entities_11", "entities_18", "keywords", "topics")
+
+
+def wide_view(target: str, tables: Mapping[str, str], parts: int) -> KeyedView:
+    """The wide view as a stored table over the stored content and enrichment tables.
+
+    ``refresh`` then joins what these tables have gained since the last time, instead of
+    enriching or joining the corpus again.
+    """
+    missing = set(WIDE_SOURCES) - set(tables)
+    if missing:
+        raise ValueError(f"no table named for {sorted(missing)}")
+    sources = {name: tables[name] for name in WIDE_SOURCES}
+    return KeyedView(target, "id", "content", sources, lambda f: wide_metadata(**f), parts)

@@ -42,7 +42,7 @@ STATS = (
 
 BLOCKS = (
     "height int, block_timestamp timestamp, inserted_at timestamp, "
-    "data_raw string, data_raw_str string"
+    "data_raw variant, data_raw_str string"
 )
 INDEX = (
     "id string, created_at timestamp, created_at_dt timestamp, data_size bigint, app string"
@@ -89,4 +89,3 @@ TRANSACTIONS = (
 ENDPOINT_REGISTRY = (
     "gateways map<string, struct<settings: struct<protocol: string, fqdn: string>>>"
 )
-BLOCK_PAYLOAD = "height int, timestamp bigint"

@@ -81,3 +81,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise into the shared folder, so that a lost executor costs a re-read only."""
     scratch_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The same rows from a table in the shared folder, which later jobs read by column."""
+    table = scratch_table(df.sparkSession, name)
+    df.write.format("parquet").saveAsTable(table)
+    return df.sparkSession.table(table)

@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from contentloom import schemas
+from contentloom.functions.core import computed_once
 from contentloom.functions.fingerprint import hash64
+from contentloom.functions.variants import number_at, parsed
 from contentloom.operators.keyed import with_ordinal
 
 # Endpoints that are always part of the list.
@@ -20,19 +22,16 @@ BASE_ENDPOINTS = (
 
 
 def parse_blocks(raw: DataFrame, text: str = "response_str") -> DataFrame:
-    """Typed block rows; malformed records and records without height or time are dropped."""
-    parsed = raw.select(
-        F.from_json(text, schemas.BLOCK_PAYLOAD).alias("_b"), F.col(text).alias("_raw")
-    )
-    return parsed.filter(
-        F.col("_b.height").isNotNull() & F.col("_b.timestamp").isNotNull()
-    ).select(
-        F.col("_b.height").alias("height"),
-        F.timestamp_seconds("_b.timestamp").alias("block_timestamp"),
+    """Typed block rows, the record as a variant and as it came; malformed records and
+    records without height or time are dropped. A record is parsed once."""
+    rows = computed_once(raw.select(F.col(text).alias("_raw")), {"_doc": parsed("_raw")})
+    return rows.select(
+        number_at(F.col("_doc"), "$.height", "int").alias("height"),
+        F.timestamp_seconds(number_at(F.col("_doc"), "$.timestamp", "bigint")).alias("block_timestamp"),
         F.current_timestamp().alias("inserted_at"),
-        F.col("_raw").alias("data_raw"),
+        F.col("_doc").alias("data_raw"),
         F.col("_raw").alias("data_raw_str"),
-    )
+    ).filter("height IS NOT NULL AND block_timestamp IS NOT NULL")
 
 
 def registry_endpoints(registry: DataFrame, text: str) -> DataFrame:

@@ -6,7 +6,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from contentloom.functions.core import computed_once, json_strings, json_value
+from contentloom.functions.core import computed_once, let
+from contentloom.functions.variants import parsed, text_at, texts_at
 
 
 @dataclass(frozen=True)
@@ -99,34 +100,40 @@ CONTENT_FIELDS = (*SCALAR_FIELDS, "tags")
 NO_TAGS = "array<string>"
 
 
-def _document(fmt: PayloadFormat, raw: str) -> Column:
-    return json_value(raw, fmt.envelope) if fmt.envelope else F.col(raw)
+def _payload(fmt: PayloadFormat, raw: Column) -> Column:
+    """struct of the fields of one format, NULL for payloads that it does not accept.
 
+    A payload is parsed once, a document inside it that is held as a string once more.
+    """
 
-def _accepted(fmt: PayloadFormat, doc: str) -> Column:
-    if not fmt.required:
-        return F.lit(True)
-    path, value = fmt.required
-    return json_value(doc, path) == value
-
+    def fields(document: Column, text: Column) -> Column:
+        tags = texts_at(document, fmt.tags, text) if fmt.tags else F.array().cast(NO_TAGS)
+        address = text_at(document, fmt.address, text) if fmt.address else F.lit(None).cast("string")
+        found = F.struct(
+            *[text_at(document, getattr(fmt, n), text).alias(n) for n in SCALAR_FIELDS],
+            tags.alias("tags"),
+            address.alias("address"),
+        )
+        if not fmt.required:
+            return found
+        path, value = fmt.required
+        return F.when(text_at(document, path, text) == value, found)
+
+    def inner(outer: Column) -> Column:
+        return let(
+            text_at(outer, fmt.envelope, raw), lambda text: let(parsed(text), lambda doc: fields(doc, text))
+        )
 
-def _tags(fmt: PayloadFormat, doc: str) -> Column:
-    return json_strings(doc, fmt.tags) if fmt.tags else F.array().cast(NO_TAGS)
+    return let(parsed(raw), inner if fmt.envelope else lambda doc: fields(doc, raw))
 
 
 def extract_app(payloads: DataFrame, app: str, raw: str = "content", label: str = "app") -> DataFrame:
     """Content rows of one application. ``payloads`` carries the index label."""
     fmt = FORMATS[app]
-    rows = payloads.filter(F.col(label).isin(*fmt.labels)).select(
-        "id", "created_at", "retrieved_at", F.col(raw)
-    )
-    doc = "_doc"
-    rows = computed_once(rows, {"_doc": _document(fmt, raw)}).filter(_accepted(fmt, doc))
-    fields = {n: json_value(doc, getattr(fmt, n)) for n in SCALAR_FIELDS}
-    fields["tags"] = _tags(fmt, doc)
-    if fmt.address:
-        fields["address"] = json_value(doc, fmt.address)
-    return computed_once(rows, fields).withColumn("app", F.lit(app)).drop("_doc", raw)
+    rows = payloads.filter(F.col(label).isin(*fmt.labels)).select("id", "created_at", "retrieved_at", F.col(raw))
+    rows = computed_once(rows, {"_f": _payload(fmt, F.col(raw))}).filter("_f IS NOT NULL")
+    names = [*CONTENT_FIELDS, *(["address"] if fmt.address else [])]
+    return rows.select("id", "created_at", "retrieved_at", *[f"_f.{n}" for n in names], F.lit(app).alias("app"))
 
 
 def extract_all(payloads: DataFrame, raw: str = "content", label: str = "app") -> DataFrame:
@@ -135,30 +142,20 @@ def extract_all(payloads: DataFrame, raw: str = "content", label: str = "app") -
     Same rows as the union of ``extract_app``, but the payload table, by far the largest
     input, is scanned once instead of once per application.
     """
-    def per_app(pick) -> Column:
-        out = None
-        for fmt in FORMATS.values():
-            test = F.col(label).isin(*fmt.labels)
-            out = F.when(test, pick(fmt)) if out is None else out.when(test, pick(fmt))
-        return out
-
-    app = F.lit(None)
+    app, found = F.lit(None), None
     for name, fmt in FORMATS.items():
-        app = F.when(F.col(label).isin(*fmt.labels), F.lit(name)).otherwise(app)
+        test = F.col(label).isin(*fmt.labels)
+        app = F.when(test, F.lit(name)).otherwise(app)
+        payload = _payload(fmt, F.col(raw))
+        found = F.when(test, payload) if found is None else found.when(test, payload)
     known = [x for fmt in FORMATS.values() for x in fmt.labels]
-    doc = "_doc"
     # The application is a plain column below the parsing, so a filter on it goes there too.
     rows = payloads.filter(F.col(label).isin(*known)).select(
         "id", "created_at", "retrieved_at", F.col(raw), F.col(label), app.alias("_app")
     )
-    rows = computed_once(rows, {"_doc": per_app(lambda fmt: _document(fmt, raw))})
-    rows = rows.filter(per_app(lambda fmt: _accepted(fmt, doc)))
-    fields = {
-        n: per_app(lambda fmt, n=n: json_value(doc, getattr(fmt, n))) for n in SCALAR_FIELDS
-    }
-    fields["tags"] = per_app(lambda fmt: _tags(fmt, doc))
-    return computed_once(rows, fields).select(
-        "id", "created_at", *CONTENT_FIELDS, "retrieved_at", F.col("_app").alias("app")
+    rows = computed_once(rows, {"_f": found}).filter("_f IS NOT NULL")
+    return rows.select(
+        "id", "created_at", *[f"_f.{n}" for n in CONTENT_FIELDS], "retrieved_at", F.col("_app").alias("app")
     )
 
 

@@ -53,9 +53,8 @@ def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int)
 
 
 def append(df: DataFrame, table: str) -> None:
-    """Append, projected to the columns of the table."""
-    target = df.sparkSession.table(table).schema
-    to_schema(df, target).write.mode("append").format("parquet").saveAsTable(table)
+    """Append, projected to the columns of the table, into its partitions and buckets."""
+    to_schema(df, df.sparkSession.table(table).schema).write.insertInto(table)
 
 
 @dataclass(frozen=True)
@@ -123,6 +122,23 @@ def keyed_replace(
     rebuild_and_swap(_newest(old, new.select(*old.columns), keys, order), table)
 
 
+def overwrite_partitions(rows: DataFrame, table: str) -> None:
+    """Replace the partitions that ``rows`` has rows of; the others stay as they are.
+
+    ``rows`` may read the table: they are written apart first.
+    """
+    spark = rows.sparkSession
+    merged = cut_lineage(rows.select(*spark.table(table).columns))
+    # The writer option is not read for catalog tables; the session setting is.
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        merged.write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
+
+
 def keyed_replace_partitions(
     new: DataFrame, table: str, keys: Sequence[str], order: Sequence[str], day: str
 ) -> None:
@@ -135,15 +151,7 @@ def keyed_replace_partitions(
     fresh = cut_lineage(new.select(*old.columns))
     touched = [r[0] for r in fresh.select(day).distinct().collect()]
     same_days = old.filter(F.col(day).isin(touched))
-    merged = cut_lineage(_newest(same_days, fresh, keys, order))
-    # The writer option is not read for catalog tables; the session setting is.
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic")
-    try:
-        merged.select(*old.columns).write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set(mode, before)
+    overwrite_partitions(_newest(same_days, fresh, keys, order), table)
 
 
 def deduplicate(table: str, spark: SparkSession, columns: Sequence[str]) -> None:

@@ -94,7 +94,7 @@ def main() -> int:
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
     spark = get_session(
-        "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+        f"local[{os.environ.get('CORES', '8')}]", **{"spark.sql.shuffle.partitions": os.environ.get("CORES", "8"), "spark.ui.enabled": "false",
                        "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"}
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -192,7 +192,7 @@ def test_phrases_summaries_titles_styles(spark):
         "id int, body string",
     )
     kw = {r.id: r.keywords for r in phrases.keyphrases(docs, 3, k=2).collect()}
-    assert set(kw) == {1, 3} and kw[3] == "the,the the"
+    assert set(kw) == {1, 2, 3} and kw[2] == "" and kw[3] == "the,the the"
     assert {r.id: r.keywords for r in phrases.keyphrases(docs, 3, k=2, max_bytes=1).collect()} == kw
     summary = {r.id: r.summary for r in phrases.summaries(docs, 3, k=2).collect()}
     assert summary == {1: "Rare zebra runs. The rare quagga sleeps!", 2: "", 3: "the the the"}
@@ -200,9 +200,9 @@ def test_phrases_summaries_titles_styles(spark):
     assert title == {1: "Rare zebra", 2: "", 3: "the the"}
     style = {r.id: r.style for r in phrases.style_profile(docs).collect()}
     assert style == {1: "terse", 2: "empty", 3: "terse"}
-    vector = phrases.hashed_embeddings(docs, 3, dim=16).collect()
-    assert {r.id for r in vector} == {1, 3}
-    assert all(sum(x * x for x in r.embedding) == pytest.approx(1.0) for r in vector)
+    vector = {r.id: r.embedding for r in phrases.hashed_embeddings(docs, 3, dim=16).collect()}
+    assert set(vector) == {1, 2, 3} and vector[2] == [0.0] * 16
+    assert all(sum(x * x for x in vector[i]) == pytest.approx(1.0) for i in (1, 3))
 
 
 def test_transcripts_from_unordered_segments(spark):
