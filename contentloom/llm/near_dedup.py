@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from contentloom.llm.common import materialize, require_whole_numbers, slim
 from contentloom.operators.keyed import with_ordinal
-from contentloom.operators.lookup import fits_broadcast
+from contentloom.operators.lookup import fits_broadcast, lookup
 
 SHINGLE = 5
 #: Bands of ROWS coordinates. A pair at Jaccard 0.85 misses all of them once in 10^8 cases,
@@ -368,15 +368,21 @@ def near_duplicates(
     require_whole_numbers(docs, id_col)
     found = features(docs, id_col, text_col, shingle, bands, rows)
     labels = link_representatives(docs, found, id_col, text_col, shingle, percent)
-    groups = (
+    group = F.struct("n", "s1", "s2").alias("g")
+    copies = (
         found.filter("n > 0 AND id IS NOT NULL")
         .groupBy("n", "s1", "s2")
-        .agg(F.min("id").alias("rep"))
+        .agg(F.min("id").alias("rep"), F.count("*").alias("size"))
+        .filter("size > 1")
         .join(labels.withColumnRenamed("id", "rep"), "rep", "left")
-        .select("n", "s1", "s2", F.coalesce("label", "rep").alias("label"))
+        .select(group, F.coalesce("label", "rep").alias("of_copies"), "size")
     )
-    label = F.when(F.col("id").isNotNull(), F.coalesce("label", "id"))
-    return found.select("id", "n", "s1", "s2").join(groups, ["n", "s1", "s2"], "left").select(
+    # A group of very many copies is looked up in salted parts.
+    rows = lookup(
+        found.select("id", "n", group), materialize(copies, "copies"), "g", "id", "left", weight="size", materialized=True
+    )
+    label = F.when(F.col("id").isNotNull(), F.coalesce("of_copies", "label", "id"))
+    return rows.join(labels, "id", "left").select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
         label.alias("component_id"),

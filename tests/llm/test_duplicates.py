@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from contentloom.llm import decontamination, near_dedup
+from contentloom.llm import decontamination, near_dedup, quality
 from contentloom.llm.decontamination import decontaminate, drop_contaminated
 from contentloom.llm.near_dedup import components, keep_one_each, near_duplicates, shingle_set, signature
 from contentloom.llm.quality import score_quality
@@ -204,6 +204,49 @@ def test_quality_held_out(spark, sf_dir):
     assert scored.score.between(0, 1).all() and set(scored.held_out) == {True, False}
 
 
+def test_quality_equals_a_plain_fit(spark):
+    """Pairs, ranking, cut and scores against plain numpy on the same labelled rows."""
+    rng = random.Random(2)
+    good = ["The %s walked to the %s and said a few words." % (rng.choice("abcdefgh") * 3, rng.choice("xyz") * 4) for _ in range(40)]
+    bad = ["%s !!! BUY $$$ %s" % (rng.randrange(999), "now " * rng.randrange(1, 9)) for _ in range(25)]
+    odd = ["BUY a house, said the man.", "The the the !!! walked."] * 4
+    texts = good + bad + odd
+    marks = [1] * 40 + [0] * 25 + [1, 0] * 4
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame(list(enumerate(marks)), "doc_id long, quality int")
+    got = {r.doc_id: r for r in score_quality(docs, labels).collect()}
+
+    taught = [i for i in range(len(texts)) if brute.part(i, 3) != 1]
+    x = np.array([quality.text_features(t).astype(np.float32) for t in texts], float)
+    rows = spark.createDataFrame([(i, x[i].tolist(), bool(marks[i])) for i in taught], "id long, x array<double>, good boolean")
+    pairs = quality.preference_pairs(rows).collect()
+    larger = max(sum(marks[i] == m for i in taught) for m in (0, 1))
+    assert len(pairs) == quality.PARTNERS * larger
+    d = np.array([p.x.toArray() for p in pairs])
+    sign = np.array([2 * p.label - 1 for p in pairs])
+    ways = {tuple(np.round(x[i] - x[j], 5)) for i in taught for j in taught if marks[i] > marks[j]}
+    assert all(tuple(np.round(s * v, 5)) in ways for s, v in zip(sign, d))
+
+    std = d.std(axis=0, ddof=1)
+    use = std > 0
+    z = d[:, use] / std[use]
+    w = np.zeros(z.shape[1])
+    for _ in range(60):  # Newton steps on the mean logistic loss
+        p = 1 / (1 + np.exp(sign * (z @ w)))
+        gradient = -(z * (sign * p)[:, None]).mean(axis=0) + quality.REGULARISATION * w
+        hessian = (z * (p * (1 - p))[:, None]).T @ z / len(z) + quality.REGULARISATION * np.eye(len(w))
+        w -= np.linalg.solve(hessian, gradient)
+    s = x[:, use] @ (w / std[use])
+    at = sorted(s[i] for i in taught)
+    n_bad = sum(marks[i] == 0 for i in taught)
+    cut = at[n_bad]
+    plain = 1 / (1 + np.exp(np.clip(cut - s, -50, 50)))
+    ours = np.array([got[i].score for i in range(len(texts))])
+    assert sum(got[i].predicted == 0 for i in taught) == sum(s[i] < cut for i in taught)
+    clear = np.abs(s - cut) > 1
+    assert ((ours >= 0.5) == (plain >= 0.5))[clear].all() and clear.mean() > 0.8
+
+
 def test_quality_cut_covers_all_labels(spark):
     """With a sample of 300 labels the rejected share is that of all labels, not the sample's."""
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").filter("n_chars < 2000")
