@@ -52,6 +52,40 @@ def candidate_mentions(
     return docs.select(key, F.explode(all_spans).alias("_m")).select(key, "_m.*")
 
 
+def anchored_names(gazetteer: DataFrame) -> DataFrame:
+    """(_anchor, _offset, _words, ent_type): every lower-cased name once per type, under that
+    of its words which the fewest names have (of these the longest), so that a word looks up
+    few names."""
+    names = gazetteer.select(F.split(F.lower("mention"), " ").alias("_words"), "ent_type").distinct()
+    each = names.select("_words", "ent_type", F.posexplode("_words").alias("_offset", "_anchor"))
+    held = each.groupBy("_anchor").agg(F.count("*").alias("_names"))
+    best = F.min_by(
+        F.struct("_anchor", "_offset"), F.struct("_names", (-F.char_length("_anchor")).alias("l"), "_offset")
+    )
+    anchored = each.join(held, "_anchor").groupBy("_words", "ent_type").agg(best.alias("_best"))
+    return cut_lineage(anchored.select("_best._anchor", "_best._offset", "_words", "ent_type"))
+
+
+def anchor_words(docs: DataFrame, body: str, key: str, longest: int) -> DataFrame:
+    """(id, pos, _anchor, near_start, near): every word, lower-cased, with the words that a
+    name of up to ``longest`` words with it can cover."""
+
+    def around(words: Column) -> Column:
+        def one(word: Column, i: Column) -> Column:
+            first = F.greatest(i - (longest - 1), F.lit(0))
+            return F.struct(
+                i.alias("pos"),
+                F.lower(word).alias("_anchor"),
+                first.alias("near_start"),
+                F.slice(words, first + 1, i + longest - first).alias("near"),
+            )
+
+        return F.transform(words, one)
+
+    spans = let(F.split(mention_words(body), " "), around)
+    return docs.select(key, F.explode(spans).alias("_m")).select(key, "_m.*")
+
+
 def gazetteer_mentions(
     docs: DataFrame,
     gazetteer: DataFrame,
@@ -60,18 +94,24 @@ def gazetteer_mentions(
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """(id, ent_type, pos, mention): longest gazetteer match per start word; matches
-    inside an earlier one are dropped. ``gazetteer`` is (mention, ent_type)."""
-    names = cut_lineage(
-        gazetteer.select(F.lower("mention").alias("_name"), F.col("ent_type")).distinct()
-    )
-    # Runs of a length that no name has cannot match and are not formed.
-    sizes = names.select(F.size(F.split("_name", " ")).alias("n")).distinct()
-    lengths = sorted(r[0] for r in sizes.collect()) or [1]
-    candidates = candidate_mentions(docs, body, key, lengths).withColumn(
-        "_name", F.lower("mention")
+    inside an earlier one are dropped. ``gazetteer`` is (mention, ent_type).
+
+    A text's words look up the names that they anchor, and the rest of a name is compared
+    with the words around, inside the row: a text sends one row per word, however long and
+    however many the names are.
+    """
+    names = anchored_names(gazetteer)
+    longest = names.agg(F.max(F.size("_words"))).first()[0] or 1
+    near = lookup(
+        anchor_words(docs, body, key, longest), names, "_anchor", spread_by=key, max_bytes=max_bytes, materialized=True
     )
-    found = lookup(
-        candidates, names, "_name", spread_by=key, max_bytes=max_bytes, materialized=True
+    begin = F.col("pos") - F.col("_offset")
+    piece = F.slice("near", begin - F.col("near_start") + 1, F.size("_words"))
+    found = (
+        near.filter(begin >= F.col("near_start"))
+        .select(key, "ent_type", "_words", begin.alias("start"), piece.alias("_piece"))
+        .filter(F.transform("_piece", F.lower) == F.col("_words"))
+        .select(key, "ent_type", "start", F.size("_words").alias("length"), F.array_join("_piece", " ").alias("mention"))
     )
     # Types of one span share its rank, so that an ambiguous name keeps all its types.
     w = Window.partitionBy(key).orderBy(F.asc("start"), F.desc("length"))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from contentloom.functions.text import general_tokens
+from contentloom.session import cut_lineage
 
 POSTINGS_PER_BLOCK = 4096
 
@@ -68,3 +69,53 @@ def find_all(posts: DataFrame, terms: Sequence[str], key: str = "id") -> DataFra
         .filter(F.col("n_terms") == len(wanted))
         .select(key)
     )
+
+
+def write_posting_blocks(blocks: DataFrame, table: str, buckets: int = 256) -> None:
+    """Store ``posting_blocks`` as a table in partitions by term, sorted by term and block."""
+    order = ["term_bucket", "term", "block"]
+    dealt = blocks.withColumn("term_bucket", _bucket(F.col("term"), buckets))
+    sorted_rows = dealt.repartitionByRange(*order).sortWithinPartitions(*order)
+    sorted_rows.write.format("parquet").partitionBy("term_bucket").saveAsTable(table)
+
+
+def _term_blocks(stored: DataFrame, term: str, buckets: int) -> DataFrame:
+    wanted = F.lit(term)
+    return stored.filter((F.col("term_bucket") == _bucket(wanted, buckets)) & (F.col("term") == wanted))
+
+
+def find_all_stored(stored: DataFrame, terms: Sequence[str], buckets: int = 256, key: str = "id") -> DataFrame:
+    """Ids that hold every one of the terms, from stored blocks.
+
+    Only the terms' partitions are read. Sizes and numbers of the blocks come first, without
+    the ids: they order the terms, the rarest first, and leave the blocks that all terms
+    have. Then the ids of these blocks are opened and intersected block by block, so that
+    what comes later is matched against what is left. No terms give no ids.
+    """
+    wanted = sorted({t.lower() for t in terms})
+    none = stored.select(F.explode("ids").alias(key)).limit(0)
+    if not wanted:
+        return none
+    heads = {t: _term_blocks(stored, t, buckets).select("block", "n") for t in wanted}
+    sizes = {t: h.agg(F.sum("n")).first()[0] or 0 for t, h in heads.items()}
+    if not all(sizes.values()):
+        return none
+    rarest_first = sorted(wanted, key=lambda t: (sizes[t], t))
+    shared = heads[rarest_first[0]].select("block")
+    for term in rarest_first[1:]:
+        shared = shared.join(heads[term], "block", "left_semi")
+    shared = cut_lineage(shared)
+    low, high = shared.agg(F.min("block"), F.max("block")).first()
+    if low is None:
+        return none
+    found = None
+    for term in rarest_first:
+        # The range skips row groups of the sorted files, the semi join the rest.
+        blocks = _term_blocks(stored, term, buckets).filter(F.col("block").between(low, high))
+        ids = blocks.join(shared, "block", "left_semi").select("block", F.col("ids").alias("_next"))
+        if found is None:
+            found = ids.withColumnRenamed("_next", "_ids")
+        else:
+            both = found.join(ids, "block").select("block", F.array_intersect("_ids", "_next").alias("_ids"))
+            found = both.filter(F.size("_ids") > 0)
+    return found.select(F.explode("_ids").alias(key))

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from contentloom.functions.core import matching_patterns, readable_bytes
+from contentloom.session import scratch_table
 
 
 def monthly_activity(df: DataFrame, ts: str, actor: str) -> DataFrame:
@@ -120,13 +121,23 @@ def outcome_tally(df: DataFrame, ok: Column) -> DataFrame:
 
 
 def keep_successes_or_fail(df: DataFrame, ok: Column) -> DataFrame:
-    """Keep the successes of a batch; refuse the batch when failures outnumber them."""
-    tally = outcome_tally(df, F.coalesce(ok, F.lit(False))).first()
+    """Keep the successes of a batch; refuse the batch when failures outnumber them.
+
+    The batch is evaluated once: both outcomes are counted while the successes are written
+    to a staged table, which is dropped if the batch is refused.
+    """
+    spark, counts = df.sparkSession, Observation()
+    good = F.coalesce(ok, F.lit(False))
+    staged = scratch_table(spark, "successes")
+    observed = df.observe(counts, F.count_if(good).alias("succeeded"), F.count_if(~good).alias("failed"))
+    observed.filter(good).write.format("parquet").saveAsTable(staged)
+    tally = counts.get
     if tally["failed"] > tally["succeeded"]:
+        spark.sql(f"DROP TABLE {staged}")
         raise ValueError(
             f"too many failures: {tally['failed']} failed, {tally['succeeded']} succeeded"
         )
-    return df.filter(ok)
+    return spark.table(staged)
 
 
 def topic_search(

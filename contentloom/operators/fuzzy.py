@@ -2,21 +2,31 @@
 
 from __future__ import annotations
 
+import math
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from contentloom.operators.lookup import lookup
+
 FUZZY_THRESHOLD = 90
 
 
+#: Characters of a gram. Pads words to whole grams; no word has it.
+GRAM, PAD = 3, "\x00"
+
+
 def _common_subsequence(a: str, b: str) -> int:
-    row = [0] * (len(b) + 1)
-    for ca in a:
-        diagonal = 0
-        for j, cb in enumerate(b, start=1):
-            above = row[j]
-            row[j] = diagonal + 1 if ca == cb else max(above, row[j - 1])
-            diagonal = above
-    return row[-1]
+    """Length of the longest common subsequence, a bit per character of ``a``: as many steps
+    as ``b`` has characters."""
+    places: dict[str, int] = {}
+    for i, c in enumerate(a):
+        places[c] = places.get(c, 0) | 1 << i
+    whole = open_ = (1 << len(a)) - 1
+    for c in b:
+        hit = open_ & places.get(c, 0)
+        open_ = (open_ + hit | open_ - hit) & whole
+    return len(a) - open_.bit_count()
 
 
 @F.pandas_udf(T.IntegerType())
@@ -47,66 +57,59 @@ def _most_edits(length: int, threshold: int) -> tuple[int, int]:
     of its longest partner."""
     share = _edit_share(threshold)
     longest = max(n for n in range(length, 3 * length + 1) if n - length < share * (n + length))
-    return max(0, -(-int(share * (length + longest) * 10**9) // 10**9)), longest
+    return math.ceil(share * (length + longest) + 1e-9) - 1, longest
 
 
 def _shapes(max_len: int, threshold: int) -> list[dict]:
-    """Per word length: the lengths of its partners and the cuts (start, size) of its
-    segments, one more than edits are possible."""
+    """Per word length: the most edits to any partner, and the lengths of its partners."""
     out = []
     for n in range(1, max_len + 1):
         edits, longest = _most_edits(n, threshold)
         shortest = min(m for m in range(1, n + 1) if n - m < _edit_share(threshold) * (n + m))
-        parts = min(n, edits + 1)
-        cuts = [i * n // parts for i in range(parts + 1)]
-        out.append(
-            {"n": n, "edits": edits, "low": shortest, "high": longest, "cuts": cuts[:-1],
-             "sizes": [y - x for x, y in zip(cuts, cuts[1:], strict=False)]}
-        )
+        if -(-n // GRAM) <= edits:
+            raise ValueError(f"words of {n} characters have fewer grams than edits at a ratio of {threshold}")
+        out.append({"n": n, "edits": edits, "low": shortest, "high": longest})
     return out
 
 
+def _grams(word: str, step: int) -> Column:
+    """(place, gram) at every ``step``-th place of a word, the last ones padded."""
+    padded = F.concat(F.col(word), F.lit(PAD * (GRAM - 1)))
+    places = F.sequence(F.lit(0), F.char_length(F.col(word)) - 1, F.lit(step))
+    return F.transform(places, lambda p: F.struct(p.alias("at"), padded.substr(p + 1, F.lit(GRAM)).alias("gram")))
+
+
 def candidate_pairs(
     left: DataFrame, right: DataFrame, word: str = "word", threshold: int = FUZZY_THRESHOLD
 ) -> DataFrame:
     """Distinct (a, b) that pass the pre-filter, over the distinct words of both sides.
 
-    A word that loses and gains at most d characters keeps one of d + 1 segments whole, and
-    moved by d places at most. So ``a`` is keyed by its segments, and ``b`` by what it has
-    at and around their places, for every length of ``a`` that could match. Joining on these
-    is exact; the keys of a word grow with a power of its length (some 2,500 at 40
-    characters), and no pairs of a common length or prefix are formed. The table of shapes
-    has a row per word length.
+    ``a`` is cut into grams side by side. An edit spoils one of them, so of any d + 1 one is
+    in ``b`` as it is, moved by d places at most. The d + 1 that are rarest in the other
+    side's words are the keys of ``a``, all grams at all places those of ``b``; lengths and
+    places are compared in the join. What very many words share is thus no key unless a
+    word has little else. The keys of a word grow with its length. The table of shapes has
+    a row per word length. Thresholds so low that a word has no d + 1 grams are refused.
     """
     a = left.select(F.col(word).alias("a")).filter("length(a) > 0").distinct()
     b = right.select(F.col(word).alias("b")).filter("length(b) > 0").distinct()
-    longest = a.agg(F.max(F.char_length("a"))).union(b.agg(F.max(F.char_length("b"))))
-    max_len = longest.agg(F.max(longest.columns[0])).first()[0] or 1
-    shapes = left.sparkSession.createDataFrame(
-        _shapes(max_len, threshold),
-        "n int, edits int, low int, high int, cuts array<int>, sizes array<int>",
-    )
-    key = ["_n", "_i", "_piece"]
-    cut = F.posexplode(F.arrays_zip("cuts", "sizes")).alias("_i", "_c")
-    keyed_a = (
-        a.join(shapes, F.char_length("a") == F.col("n"))
-        .select("a", F.col("n").alias("_n"), cut)
-        .select("a", "_n", "_i", F.col("a").substr(F.col("_c.cuts") + 1, F.col("_c.sizes")).alias("_piece"))
+    longest = a.agg(F.max(F.char_length("a"))).first()[0] or 1
+    shapes = left.sparkSession.createDataFrame(_shapes(longest, threshold), "n int, edits int, low int, high int")
+    keys_b = b.select("b", F.inline(_grams("b", 1))).withColumnRenamed("at", "at_b")
+    counted = keys_b.groupBy("gram").agg(F.count("*").alias("n"))
+    cut = a.select("a", F.inline(_grams("a", GRAM)))
+    rare = F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "at", "gram")))
+    keys_a = (
+        lookup(cut, counted, "gram", "a", how="left")
+        .groupBy("a")
+        .agg(rare.alias("grams"))
+        .join(F.broadcast(shapes), F.char_length("a") == F.col("n"))
+        .select("a", "edits", "low", "high", F.inline(F.slice("grams", 1, F.col("edits") + 1)))
+        .drop("n")
     )
     length = F.char_length("b")
-    around = F.sequence(F.col("_c.cuts") - F.col("edits"), F.col("_c.cuts") + F.col("edits"))
-    pieces = F.array_distinct(
-        F.transform(
-            F.filter(around, lambda at: (at >= 0) & (at + F.col("_c.sizes") <= length)),
-            lambda at: F.col("b").substr(at + 1, F.col("_c.sizes")),
-        )
-    )
-    keyed_b = (
-        b.join(shapes, (length >= F.col("low")) & (length <= F.col("high")))
-        .select("b", "edits", F.col("n").alias("_n"), cut)
-        .select("b", "_n", "_i", F.explode(pieces).alias("_piece"))
-    )
-    close = keyed_a.join(keyed_b, key).filter(may_match(F.col("a"), F.col("b"), threshold))
+    near = (length >= F.col("low")) & (length <= F.col("high")) & (F.abs(F.col("at") - F.col("at_b")) <= F.col("edits"))
+    close = keys_a.join(keys_b, "gram").filter(near & may_match(F.col("a"), F.col("b"), threshold))
     return close.select("a", "b").distinct()
 
 

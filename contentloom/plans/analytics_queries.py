@@ -13,9 +13,10 @@ from contentloom.functions.core import (
     tag_value,
     tag_value_from_pairs,
 )
-from contentloom.operators import analytics
+from contentloom.operators import analytics, sketches
 from contentloom.plans import bindings as b
 from contentloom.plans.registry import Family
+from contentloom.session import written
 from contentloom.sources.tables import read
 
 FAMILY = Family()
@@ -185,6 +186,46 @@ def monthly_activity(spark: SparkSession, sf: str) -> DataFrame:
     return analytics.monthly_activity(read(spark, sf, "orders"), "o_orderdate", "o_custkey")
 
 
+_EXACT = """count(*) AS n, CAST(sum(CAST(floor(o_totalprice) AS BIGINT)) AS BIGINT) AS total, TRUE AS actors_close,
+  TRUE AS median_close, TRUE AS quartile_close"""
+
+
+@query(
+    "activity_from_sketches",
+    f"""SELECT 'month' AS unit, CAST(date_trunc('month', o_orderdate) AS DATE) AS start, {_EXACT} FROM orders GROUP BY 2
+UNION ALL SELECT 'quarter', CAST(date_trunc('quarter', o_orderdate) AS DATE), {_EXACT} FROM orders GROUP BY 2""",
+)
+def activity_from_sketches(spark: SparkSession, sf: str) -> DataFrame:
+    """Months and quarters from a stored daily table, against the exact figures: distinct
+    actors within five standard errors, ranks of the quantiles within two hundredths."""
+    orders = read(spark, sf, "orders")
+    daily = written(sketches.daily_sketches(orders, "o_orderdate", "o_custkey", "o_totalprice"), "daily")
+    wanted = {"median": 0.5, "quartile": 0.25}
+    out = []
+    for unit in ("month", "quarter"):
+        start = lambda c: F.date_trunc(unit, c).cast("date").alias("start")  # noqa: B023, E731
+        found = sketches.figures(sketches.merged(daily, start("day")), **wanted)
+        rows = orders.select(start("o_orderdate"), "o_custkey", F.col("o_totalprice").cast("bigint").alias("price"))
+        below = [F.sum((F.col("price") < F.col(q)).cast("double")).alias(f"below_{q}") for q in wanted]
+        upto = [F.sum((F.col("price") <= F.col(q)).cast("double")).alias(f"upto_{q}") for q in wanted]
+        exact = rows.join(F.broadcast(found), "start").groupBy("start").agg(
+            F.count_distinct("o_custkey").alias("exact"), *below, *upto
+        )
+        error = 5 * 1.04 / 2 ** (sketches.LG_REGISTERS / 2)
+        close = {
+            f"{q}_close": (F.col(f"below_{q}") <= (at + 0.02) * F.col("n")) & (F.col(f"upto_{q}") >= (at - 0.02) * F.col("n"))
+            for q, at in wanted.items()
+        }
+        out.append(
+            found.join(exact, "start").select(
+                F.lit(unit).alias("unit"), "start", "n", "total",
+                (F.abs(F.col("n_actors") - F.col("exact")) <= F.greatest(F.lit(1.0), error * F.col("exact"))).alias("actors_close"),
+                *[c.alias(name) for name, c in close.items()],
+            )
+        )
+    return out[0].union(out[1])
+
+
 @query(
     "daily_events",
     """SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2""",

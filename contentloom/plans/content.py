@@ -10,7 +10,8 @@ from contentloom.functions.core import computed_once
 from contentloom.functions.fingerprint import minhash_pair, simhash_chars
 from contentloom.functions.language import Profile, language_mix
 from contentloom.functions.text import with_char_stats
-from contentloom.operators.keyed import first_per_key
+from contentloom.operators.lookup import fits_broadcast
+from contentloom.session import written
 from contentloom.sources.payloads import CONTENT_FIELDS
 
 # Fixed values of the quality gate.
@@ -89,10 +90,17 @@ def quality_content(content: DataFrame, app: str = "any") -> DataFrame:
     """Gate first, then the earliest row of every near-duplicate key.
 
     Give it ``with_gate_stats`` and add the SimHash to the survivors: whatever the rows
-    carry is computed before they are compared.
+    carry is computed before they are compared. The rows that pass are written once. Only
+    keys, times and ids are compared, and the winners' numbers go back to the texts, which
+    stay where they are if the measured size of the numbers allows it.
     """
-    keyed = gated(content, app).withColumn("ngram_min_1", F.col("ngram_min_hash.h1"))
-    return first_per_key(keyed, ["ngram_min_1"], ["retrieved_at", "id"])
+    number = F.monotonically_increasing_id().alias("_row")
+    passed = gated(content, app).withColumn("ngram_min_1", F.col("ngram_min_hash.h1"))
+    stored = written(passed.select("*", number), "gated")
+    first = stored.groupBy("ngram_min_1").agg(F.min(F.struct("retrieved_at", "id", "_row")).alias("_first"))
+    winners = written(first.select("_first._row"), "winners")
+    winners = F.broadcast(winners) if fits_broadcast(winners) else winners
+    return stored.join(winners, "_row", "left_semi").drop("_row")
 
 
 def counts_by_app(content: DataFrame) -> DataFrame:

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from contentloom.enrich import substrings
 from contentloom.functions import fingerprint as fp, html as html_fn, text as text_fn
 from contentloom.functions.core import computed_once, matching_patterns
 from contentloom.functions.variants import parsed, read_once, schema_report
 from contentloom.functions.language import language_mix
 from contentloom.operators import analytics
+from contentloom.operators import hamming
 from contentloom.plans import bindings as b
 from contentloom.plans.content import (
     content_union,
@@ -26,6 +28,7 @@ from contentloom.sources.payloads import (
     extract_app,
     transcript_content,
 )
+from contentloom.session import scratch_table, written
 from contentloom.sources.tables import read
 
 FAMILY = Family()
@@ -95,6 +98,26 @@ def simhash_chars(spark: SparkSession, sf: str) -> DataFrame:
     return b.documents(spark, sf).select("id", fp.simhash_chars("body").alias("simhash"))
 
 
+@query(
+    "simhash_near_pairs",
+    f"""WITH {b.DOCS}, {_folded_cte(_CHAR_SHINGLES, '(SELECT id, lower(body) AS t FROM docs)')},
+prints AS (SELECT id, {SIGNED} AS v FROM docs LEFT JOIN folded USING (id)),
+vals AS (SELECT v, count(*) AS n FROM prints GROUP BY v)
+SELECT x.v AS a, y.v AS b, CAST(bit_count(xor(x.v, y.v)) AS INTEGER) AS distance, x.n AS n_a, y.n AS n_b
+FROM vals x JOIN vals y ON x.v < y.v WHERE bit_count(xor(x.v, y.v)) <= 3""",
+)
+def simhash_near_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Fingerprints at most three bits apart, with the number of documents of each."""
+    prints = b.documents(spark, sf).select("id", fp.simhash_chars("body").alias("simhash"))
+    values, _ = hamming.clusters(prints, "id", "simhash")
+    values = written(values, "fingerprints")
+    pairs = hamming.near_fingerprints(values)
+    for side in "ab":
+        n = values.select(F.col("value").alias(side), F.col("n").alias(f"n_{side}"))
+        pairs = pairs.join(n, side)
+    return pairs
+
+
 @query(
     "simhash_word_shingles",
     f"""WITH {b.DOCS}, {_folded_cte(_WORD_SHINGLES, f"(SELECT id, {b.sql_words('body')} AS w FROM docs)")}
@@ -552,6 +575,37 @@ def keyword_match_any(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _substring_index(spark: SparkSession, sf: str) -> DataFrame:
+    table = scratch_table(spark, "trigrams")
+    substrings.write_substring_index(b.documents(spark, sf), table, buckets=32)
+    return spark.table(table)
+
+
+@query("keyword_match_all_indexed", _search_sql("matches = '1,2'"))
+def keyword_match_all_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    """``keyword_match_all`` on the candidates of a stored trigram index."""
+    docs = b.documents(spark, sf)
+    few = substrings.candidates(docs, _substring_index(spark, sf), _TERMS, True, buckets=32)
+    found = analytics.topic_search(few, "body", _TERMS, match_all=True)
+    return found.select(
+        "id", F.array_join(F.col("matches").cast("array<string>"), ",").alias("matches"),
+        fp.sha1_hex("body").alias("sha1"),
+    )
+
+
+_NEEDLES = ("THREAFORT", "Chapter", "license", "e-mail", "@example.")
+
+
+@query(
+    "multi_substring_indexed",
+    "SELECT doc_id AS id, lang FROM documents WHERE " + " OR ".join(f"text ILIKE '%{n}%'" for n in _NEEDLES),
+)
+def multi_substring_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts with any of several rare substrings, in whatever case, from the index."""
+    found = substrings.containing(b.documents(spark, sf), _substring_index(spark, sf), _NEEDLES, False, buckets=32)
+    return found.select("id", "lang")
+
+
 @query(
     "keyword_match_ranked",
     f"""WITH {b.DOCS}, {b.stats_cte('docs')} SELECT id, alpha_token_count FROM stats

@@ -509,6 +509,19 @@ def keyword_document_frequency(spark: SparkSession, sf: str) -> DataFrame:
     f"""WITH {_POSTINGS} SELECT id FROM posts WHERE term IN ('the', 'of') GROUP BY id HAVING count(*) = 2""",
 )
 def keyword_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents with both words, from the stored posting blocks of these two."""
+    table = scratch_table(spark, "posting_blocks")
+    blocks = postings.posting_blocks(postings.postings(b.documents(spark, sf)))
+    postings.write_posting_blocks(blocks, table, buckets=32)
+    return postings.find_all_stored(spark.table(table), ["The", "of"], buckets=32)
+
+
+@query(
+    "keyword_scan",
+    f"""WITH {_POSTINGS} SELECT id FROM posts WHERE term IN ('the', 'of') GROUP BY id HAVING count(*) = 2""",
+)
+def keyword_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """The same without stored postings."""
     return postings.find_all(postings.postings(b.documents(spark, sf)), ["The", "of"])
 
 

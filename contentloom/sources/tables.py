@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -160,9 +161,27 @@ def deduplicate(table: str, spark: SparkSession, columns: Sequence[str]) -> None
 
 
 def delete_where(table: str, spark: SparkSession, condition: Column) -> None:
-    """Delete the rows for which the condition is true; unknown (NULL) rows stay."""
-    kept = spark.table(table).filter(~F.coalesce(condition, F.lit(False)))
-    rebuild_and_swap(kept, table)
+    """Delete the rows for which the condition is true; unknown (NULL) rows stay.
+
+    Of a partitioned table, only partitions with such rows are rewritten, or dropped if no
+    row stays; nothing is written where no row matches.
+    """
+    rows, gone = spark.table(table), F.coalesce(condition, F.lit(False))
+    parts = layout_of(spark, table).partition_by
+    hit = [tuple(r) for r in rows.filter(gone).select(*parts).distinct().collect()] if parts else []
+    if parts and not hit:
+        return
+    if not parts or any(v is None for values in hit for v in values):
+        rebuild_and_swap(rows.filter(~gone), table)
+        return
+    same = lambda values: reduce(Column.__and__, [F.col(c) == F.lit(v) for c, v in zip(parts, values, strict=True)])
+    kept = cut_lineage(rows.filter(reduce(Column.__or__, map(same, hit)) & ~gone))
+    left = {tuple(r) for r in kept.select(*parts).distinct().collect()}
+    overwrite_partitions(kept, table)
+    for values in set(hit) - left:
+        spec = ", ".join(f"`{c}` = '{v}'" for c, v in zip(parts, values, strict=True))
+        spark.sql(f"ALTER TABLE {table} DROP PARTITION ({spec})")
+    spark.catalog.refreshTable(table)
 
 
 def export_json_lines(df: DataFrame, path: str) -> None:

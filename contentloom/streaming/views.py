@@ -133,8 +133,12 @@ def newest_changes(stream: DataFrame, keys: Sequence[str], order: Sequence[str],
     a key without news for ``ttl`` is forgotten. Rows whose order columns are NULL are left out.
     """
     whole = reduce(Column.__and__, [F.col(c).isNotNull() for c in order])
-    processor = NewestRow(stream.schema, order, int(ttl.total_seconds() * 1000))
-    return stream.filter(whole).groupBy(*keys).transformWithState(processor, stream.schema, "Update", "ProcessingTime")
+    # Times with a zone are kept as microseconds: rows and state hand them out differently.
+    zoned = [f.name for f in stream.schema if isinstance(f.dataType, T.TimestampType)]
+    plain = stream.filter(whole).withColumns({c: F.unix_micros(c) for c in zoned})
+    processor = NewestRow(plain.schema, order, int(ttl.total_seconds() * 1000))
+    changes = plain.groupBy(*keys).transformWithState(processor, plain.schema, "Update", "ProcessingTime")
+    return changes.withColumns({c: F.timestamp_micros(c) for c in zoned})
 
 
 @contextmanager

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from contentloom.operators import analytics, backlog as bl, fuzzy, keyed
 from contentloom.operators.lookup import lookup
 from contentloom.operators.terms import doc_terms, term_stats, with_idf
+from contentloom.session import scratch_table
 from contentloom.sources import blocks as blk
 
 
@@ -180,6 +181,44 @@ def test_fuzzy_long_words(spark):
     assert {(r.a, r.b) for r in fuzzy.fuzzy_pairs(listed, listed).collect()} == want
 
 
+def test_words_with_one_common_segment(spark):
+    """Candidates grow with the words, not with their pairs, though all share a segment."""
+    rng = random.Random(6)
+    letters = "bcdfghjklmnpqrstvwxyz"
+
+    def words(n):
+        return {"".join(rng.choices(letters, k=6)) + "aeiou" + "".join(rng.choices(letters, k=6)) for _ in range(n)}
+
+    made = sorted(words(20_000))
+    changed = [w[:-1] + "u" for w in made[:50]]
+    left = spark.createDataFrame([(w,) for w in made], "word string")
+    right = spark.createDataFrame([(w,) for w in made + changed], "word string")
+    found = fuzzy.candidate_pairs(left, right)
+    assert found.count() < 2 * len(made)
+    pairs = {(r.a, r.b) for r in fuzzy.fuzzy_pairs(left, right).collect()}
+    assert {(w, w) for w in made} | {(w, c) for w, c in zip(made, changed)} <= pairs
+
+
+def test_low_thresholds_are_refused(spark):
+    df = spark.createDataFrame([("abcdefghij",)], "word string")
+    with pytest.raises(ValueError, match="fewer grams"):
+        fuzzy.candidate_pairs(df, df, threshold=40)
+
+
+def test_common_subsequence_by_bits():
+    rng = random.Random(7)
+    for _ in range(300):
+        a, b = ("".join(rng.choices("abcé", k=rng.randrange(0, 90))) for _ in range(2))
+        rows_ = [[0] * (len(b) + 1)]
+        for x in a:
+            last = rows_[-1]
+            now = [0]
+            for j, y in enumerate(b):
+                now.append(last[j] + 1 if x == y else max(last[j + 1], now[j]))
+            rows_.append(now)
+        assert fuzzy._common_subsequence(a, b) == rows_[-1][-1]
+
+
 def test_fuzzy_counts_repeat_rows(spark):
     left = spark.createDataFrame([("staking",), ("staking",), ("zzz",)], "word string")
     right = spark.createDataFrame([("stakings",), ("staking",)], "word string")
@@ -214,6 +253,26 @@ def test_failure_gate(spark):
         analytics.keep_successes_or_fail(good.filter("id > 1").union(good.filter("id = 3")), blk.is_downloaded())
 
 
+def test_failure_gate_reads_its_batch_once(spark):
+    """The batch is evaluated once, and a refused one leaves no table behind."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    batch = spark.range(100).withColumn("created_date", F.when(F.col("id") % 3 != 0, "d"))
+    counted = batch.mapInArrow(count, batch.schema)
+    before = {t.name for t in spark.catalog.listTables(scratch_table(spark, "x").split(".")[0])}
+    assert analytics.keep_successes_or_fail(counted, blk.is_downloaded()).count() == 66
+    assert seen.value == 100
+    with pytest.raises(ValueError):
+        analytics.keep_successes_or_fail(counted, ~blk.is_downloaded())
+    after = {t.name for t in spark.catalog.listTables(scratch_table(spark, "x").split(".")[0])}
+    assert len(after - before) == 1
+
+
 def test_storage_report(spark):
     from contentloom.sources.tables import read
 

@@ -2,11 +2,12 @@
 
 import datetime as dt
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from contentloom.enrich import entities, phrases, postings, quality, topics, transcripts
+from contentloom.enrich import entities, phrases, postings, quality, substrings, topics, transcripts
 from contentloom.functions import language
 from contentloom.plans import content as ct, wide
 from contentloom.session import scratch_path, scratch_root, scratch_table
@@ -215,6 +216,44 @@ def test_transcripts_from_unordered_segments(spark):
     assert [s["segment_id"] for s in json.loads(got["f"].transcription_json)] == [0, 1]
 
 
+def test_conjunctions_open_few_blocks(spark):
+    """Against a scan, for terms of all frequencies; only the terms' partitions are read, and
+    ids of the blocks that all terms have."""
+    rng = random.Random(2)
+    vocabulary = [f"t{i}" for i in range(30)]
+    docs = [(i * 7, " ".join(w for n, w in enumerate(vocabulary) if rng.random() < 1 / (n + 1))) for i in range(3000)]
+    posts = postings.postings(spark.createDataFrame(docs, "id bigint, body string"))
+    table = scratch_table(spark, "blocks")
+    postings.write_posting_blocks(postings.posting_blocks(posts, block=256), table, buckets=16)
+    stored = spark.table(table)
+    for terms in (["t0", "t1"], ["t2", "t20"], ["t0", "t5", "t9"], ["t25", "t26"]):
+        found = postings.find_all_stored(stored, terms, buckets=16)
+        want = sorted((i,) for i, body in docs if set(terms) <= set(body.split()))
+        assert rows(found) == want
+    plan = postings.find_all_stored(stored, ["t2", "t20"], buckets=16)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(term_bucket" in plan and "GreaterThanOrEqual(block" in plan
+
+
+def test_substring_index_equals_a_scan(spark):
+    rng = random.Random(4)
+    docs = [(i, "".join(rng.choices("abcde É\n.", k=rng.randrange(0, 60)))) for i in range(400)] + [(900, None), (901, "ABC abé")]
+    table = scratch_table(spark, "trigrams")
+    frame = spark.createDataFrame(docs, "id bigint, body string")
+    substrings.write_substring_index(frame, table, buckets=8, block=64)
+    stored = spark.table(table)
+    for patterns in (["abc"], ["aBcd", "e.a"], ["é a", "dd"], ["a"], ["zzz"], ["nowhere", "bad e"], []):
+        for match_all in (True, False):
+            for ignore in (True, False):
+                fold = (lambda s: s.lower()) if ignore else (lambda s: s)
+                tests = lambda body: [fold(p) in fold(body) for p in patterns]  # noqa: B023, E731
+                want = sorted((i,) for i, body in docs if body is not None and (all if match_all else any)(tests(body)))
+                found = substrings.containing(frame, stored, patterns, match_all, buckets=8, ignore_case=ignore)
+                if patterns or not match_all:
+                    assert rows(found.select("id")) == want, (patterns, match_all, ignore)
+    few = substrings.candidates(frame, stored, ["abcd"], True, buckets=8)
+    assert few.count() <= 3 * frame.filter("contains(lower(body), 'abcd')").count() + 5
+
+
 def test_postings(spark):
     docs = spark.createDataFrame([(1, "The cat"), (5000, "the dog the")], "id bigint, body string")
     posts = postings.postings(docs)
@@ -222,6 +261,11 @@ def test_postings(spark):
     blocks = postings.posting_blocks(posts).filter("term = 'the'")
     assert [(r.block, r.ids) for r in blocks.orderBy("block").collect()] == [(0, [1]), (1, [5000])]
     assert rows(postings.find_all(posts, ["the", "Dog"])) == [(5000,)]
+    table = scratch_table(spark, "blocks")
+    postings.write_posting_blocks(postings.posting_blocks(posts), table, buckets=4)
+    stored = spark.table(table)
+    for terms, want in ((["the", "Dog"], [(5000,)]), (["THE"], [(1,), (5000,)]), (["cat", "dog"], []), (["the", "absent"], []), ([], [])):
+        assert rows(postings.find_all_stored(stored, terms, buckets=4)) == want, terms
     path = scratch_path(spark, "p")
     postings.write_postings(posts, path, buckets=4)
     found = postings.stored_ids(spark.read.parquet(path), "The", buckets=4)
@@ -293,6 +337,22 @@ def test_rebuilt_tables_keep_their_layout(spark):
     assert not any(n.endswith(("_rebuilt", "_replaced")) for n in names)
 
 
+def test_deletes_touch_only_partitions_with_such_rows(spark):
+    df = spark.createDataFrame([(i, i % 3, "x") for i in range(30)] + [(100, None, "n")], "k int, d int, v string")
+    table = scratch_table(spark, "p")
+    tb.write_clustered(df, table, ["k"], partition_by=["d"])
+    before = set(spark.table(table).inputFiles())
+    tb.delete_where(table, spark, F.col("k") == 5000)
+    assert set(spark.table(table).inputFiles()) == before
+    tb.delete_where(table, spark, (F.col("d") == 1) | (F.col("k") == 3))
+    after = set(spark.table(table).inputFiles())
+    assert rows(spark.table(table).select("k")) == sorted((i,) for i in [*range(30), 100] if i % 3 != 1 and i != 3)
+    assert {f.split("/d=")[1].split("/")[0] for f in before & after} == {"2", "__HIVE_DEFAULT_PARTITION__"}
+    assert not any("/d=1/" in f for f in after) and len(spark.sql(f"SHOW PARTITIONS {table}").collect()) == 3
+    tb.delete_where(table, spark, F.col("k") == 100)
+    assert spark.table(table).count() == 19
+
+
 def test_bucketed_tables_join_without_a_shuffle(spark):
     left, right = scratch_table(spark, "l"), scratch_table(spark, "r")
     for table in (left, right):
