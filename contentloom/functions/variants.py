@@ -41,10 +41,12 @@ def text_at(document: Column, path: str, raw: Column | None = None) -> Column:
     """
 
     def of(value: Column) -> Column:
-        scalar = value.isNotNull() & ~F.is_variant_null(value) & ~_is_container(value)
-        return F.when(scalar, F.try_variant_get(value, "$", "string")).otherwise("")
+        # Only a text that looks like a container is looked up again, to tell the two apart.
+        looks = F.substring(value, 1, 1).isin("[", "{")
+        container = looks & _is_container(F.try_variant_get(document, path, "variant"))
+        return F.when(value.isNull() | container, "").otherwise(value)
 
-    found = F.coalesce(let(F.try_variant_get(document, path, "variant"), of), F.lit(""))
+    found = let(F.try_variant_get(document, path, "string"), of)
     if raw is None:
         return found
     return F.when(document.isNull() & (raw != ""), _unparsed_text(raw, path)).otherwise(found)
