@@ -19,8 +19,12 @@ query = FAMILY.query
 
 
 def _stream(spark: SparkSession, sf: str, table: str) -> DataFrame:
-    schema = tb.read(spark, sf, table).schema
-    return views.file_stream(spark, sf, schema, name_pattern=f"{table}.parquet")
+    """The files of a table, which is one file or a folder of files."""
+    rows = tb.read(spark, sf, table)
+    name = f"{table}.parquet"
+    if any(f.rsplit("/", 2)[-2] == name for f in rows.inputFiles()):
+        return views.file_stream(spark, f"{sf}/{name}", rows.schema)
+    return views.file_stream(spark, sf, rows.schema, name_pattern=name)
 
 
 @query(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from contentloom.enrich import entities, phrases, postings, quality, substrings, topics, transcripts
 from contentloom.functions import language
-from contentloom.plans import content as ct, wide
+from contentloom.plans import content as ct, streaming_queries, wide
 from contentloom.session import scratch_path, scratch_root, scratch_table
 from contentloom.sources import payloads as pl, tables as tb
 from contentloom.streaming import views
@@ -419,3 +419,18 @@ def test_streams_equal_batch_over_several_files(spark, tmp_path):
 
     daily = views.materialize(views.daily_counts(stream(), "ts", "k", "0 seconds"), "daily")
     assert [(r.n, r.actors) for r in daily.orderBy("day").collect()] == [(24, 4), (24, 4)]
+
+
+def test_streams_read_a_table_that_is_a_folder(spark, tmp_path):
+    """A table is one file or a folder of part files; streams passed over the latter."""
+    sf = str(tmp_path)
+    docs = spark.createDataFrame(
+        [(i, f"text {i}", "en", f"src{i}", 6) for i in range(20)],
+        "doc_id long, text string, lang string, source string, n_chars long",
+    )
+    docs.repartition(3).write.parquet(f"{sf}/documents.parquet")
+    turns = spark.createDataFrame([(c, t, "user", f"turn {t}") for c in range(3) for t in range(2)], "conv_id long, turn int, role string, text string")
+    turns.repartition(2).write.parquet(f"{sf}/conversations.parquet")
+    found = {name: streaming_queries.FAMILY.queries[name](spark, sf) for name in ("stream_tracker", "stream_transcripts")}
+    assert sorted(r.id for r in found["stream_tracker"].collect()) == list(range(20))
+    assert sorted(r.body for r in found["stream_transcripts"].collect()) == ["turn 0"] * 3 + ["turn 1"] * 3
