@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import os
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -13,7 +14,7 @@ from contentloom.functions import variants
 from contentloom.operators import hamming, neighbours, refresh as refreshing, sketches
 from contentloom.operators.neighbours import build_vector_index, nearest_neighbours, probes_for
 from contentloom.operators.refresh import KeyedView, refresh
-from contentloom.session import scratch_path, scratch_table
+from contentloom.session import scratch_path, scratch_table, written
 from contentloom.sources import blocks, payloads, tables
 from contentloom.streaming import views
 
@@ -44,6 +45,12 @@ def clustered(n, centers, seed, noise=0.05):
     return [(i, (middle[i % centers] + noise * rng.normal(size=8)).tolist()) for i in range(n)]
 
 
+@pytest.mark.parametrize("block", [5, 40])
+def test_neighbours_are_exact_in_small_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", block)
+    test_neighbours_are_exact(spark, monkeypatch, 7)
+
+
 @pytest.mark.parametrize("part", [2048, 7])
 def test_neighbours_are_exact(spark, monkeypatch, part):
     """Random, clustered, equal, odd and tiny vectors; one and many parts of a cell."""
@@ -82,6 +89,41 @@ def test_recall_of_probes(spark, sf_dir="/root/testdata/sf0.01"):
     assert len(found & exact) >= 0.9 * len(exact)
 
 
+def test_probes_need_memory_for_rows_times_cells_only():
+    """Cells compared with each other per row took 10 GB for a batch of vectors and 1,000 cells."""
+    rng = np.random.default_rng(2)
+    unit = rng.normal(size=(400, 16))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    n = len(unit)
+    cells = neighbours.Cells(unit, np.full(n, -1.0), np.ones(n, int), np.ones(n, int))
+    tracemalloc.start()
+    can = neighbours._reachable(unit, np.full(n, -np.inf), cells, 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 * n * n
+    near = unit @ unit.T
+    assert (can == ((near[:, None, :] > near[:, :, None]).sum(axis=2) < 3)).all()
+
+
+def test_rows_travel_once_for_each_block_of_queries(spark, monkeypatch):
+    """Vectors without clusters reach all cells; blocks, not cells, are what travels."""
+    stored = {}
+
+    def recorded(df, name):
+        stored[name] = written(df, name)
+        return stored[name]
+
+    monkeypatch.setattr(neighbours, "written", recorded)
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 150)
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(600)]
+    index = build_vector_index(spark.createDataFrame(rows, "vec_id long, v array<double>"), "vec_id", "v", cells=40)
+    found = nearest_neighbours(index, 4, queries=F.col("key") % 20 == 0).collect()
+    got = sorted(((r.query_id, r.rank, r.neighbour_id, r.similarity) for r in found), key=str)
+    assert got == [x for x in plain_neighbours(rows, 4) if x[0] % 20 == 0]
+    assert stored["visits"].count() <= 8
+
+
 def test_plan_has_no_product(spark):
     index = build_vector_index(spark.createDataFrame(clustered(50, 2, 1), "vec_id long, v array<double>"), "vec_id", "v", cells=2)
     plan = nearest_neighbours(index, 3)._jdf.queryExecution().toString()
