@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from contentloom.operators import analytics, backlog as bl, fuzzy, keyed
 from contentloom.operators.lookup import lookup
 from contentloom.operators.terms import doc_terms, term_stats, with_idf
+from contentloom.plans import analytics_queries
 from contentloom.session import scratch_table
 from contentloom.sources import blocks as blk
 
@@ -300,3 +301,12 @@ def test_blocks_and_endpoints(spark):
     assert listed.count() == len(blk.BASE_ENDPOINTS) + 1
     counts = blk.assign_round_robin(spark.range(23), "id", listed).groupBy("endpoint").count().collect()
     assert sorted(r["count"] for r in counts) == [4, 4, 5, 5, 5]
+
+
+def test_no_sketch_per_distinct_value(spark, tmp_path):
+    """Beside a distinct count the sketch was kept once for every part."""
+    spark.createDataFrame([(i % 50,) for i in range(200)] + [(None,)], "l_partkey int").write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = analytics_queries.approx_distinct(spark, str(tmp_path))
+    assert tuple(found.first()) == (201, 50, True)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not any("l_partkey" in line and "keys=[l_partkey" in line for line in plan.splitlines() if "approx_count_distinct" in line)
