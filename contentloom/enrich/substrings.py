@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from contentloom.enrich.postings import POSTINGS_PER_BLOCK, find_all_stored, posting_blocks, write_posting_blocks
 from contentloom.functions.core import exploded
-from contentloom.functions.fingerprint import SHINGLE_CHARS, char_shingles
+from contentloom.functions.fingerprint import SHINGLE_CHARS, distinct_char_shingles
 from contentloom.operators.lookup import fits_broadcast
 
 
@@ -18,13 +18,13 @@ def write_substring_index(
 ) -> None:
     """Store the lower-cased trigrams of every whole text as posting blocks of ids (whole
     numbers). A text sends each of its trigrams once; no text is shuffled."""
-    grams = exploded(docs, [key], F.array_distinct(char_shingles(body)), "term")
+    grams = exploded(docs, [key], distinct_char_shingles(body), "term")
     write_posting_blocks(posting_blocks(grams, key, block), table, buckets)
 
 
 def _grams(docs: DataFrame, pattern: str) -> list[str]:
     """The trigrams of a pattern as Spark lower-cases them."""
-    return docs.sparkSession.range(1).select(F.array_distinct(char_shingles(F.lit(pattern)))).first()[0]
+    return docs.sparkSession.range(1).select(distinct_char_shingles(F.lit(pattern))).first()[0]
 
 
 def candidates(
