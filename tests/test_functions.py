@@ -5,11 +5,13 @@ import math
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import Row, functions as F
 
 from contentloom.enrich import scoring
 from contentloom.functions import core, fingerprint as fp, html, language, text, vectors
+from contentloom.session import apply_settings
 
 
 def one(df, *cols):
@@ -235,3 +237,29 @@ def test_too_many_languages_are_refused(spark, monkeypatch):
     table = spark.createDataFrame([(f"l{i}", f"w{i}") for i in range(4)], "lang string, token string")
     with pytest.raises(ValueError, match="languages"):
         language.collect_profile(table)
+
+
+def test_distinct_char_shingles_are_code_points(spark):
+    """As the regex gives them, but for characters beyond 16 bits, which it cut in halves."""
+    texts = [None, "", "ab", "abc", "AbcabcABC", "a\0\0a\0\0", "na\u00efve \u6f22\u5b57", "x\U0001f600yz\U0001f600y"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string").repartition(2)
+    got = df.select("id", "t", fp.distinct_char_shingles("t").alias("s"), F.array_distinct(fp.char_shingles("t")).alias("r"))
+    for row in got.collect():
+        if row.t is None:
+            assert row.s is None and row.r is None
+            continue
+        low = row.t.lower()
+        assert sorted(row.s) == sorted({low[i : i + 3] for i in range(len(low) - 2)})
+        assert "\U0001f600" in row.t or sorted(row.s) == sorted(row.r)
+
+
+def test_arrow_batches_are_bounded_by_bytes(spark):
+    """10,000 long texts in one batch took gigabytes of a Python worker."""
+    apply_settings(spark)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.nbytes], pa.int64())})
+
+    texts = spark.range(0, 3000, 1, 1).select(F.repeat(F.lit("0123456789"), 2000).alias("t"))
+    assert max(r.n for r in texts.mapInArrow(sizes, "n long").collect()) < 20 << 20
