@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from contentloom.functions.core import exploded
 from contentloom.functions.text import clean_for_scoring, term_counts, truncate
 from contentloom.operators.lookup import BROADCAST_BYTES, lookup
+from contentloom.session import written
 
 # Fixed value: the suggested pass mark.
 TARGET_QUALITY_RATIO = 0.3
@@ -23,8 +23,8 @@ def english_quality(
     """(id, eng_quality): length of the known words, joined by spaces, over the length of
     the original text in characters; 0.0 for an empty text.
 
-    ``vocabulary`` has a column ``word``; ``lemmas`` optionally maps token to lemma. Only
-    ids, word counts and lengths are shuffled.
+    ``vocabulary`` has a column ``word``; ``lemmas`` optionally maps token to lemma. Words
+    are counted once, into a table; only ids, word counts and lengths are shuffled.
     """
     known = vocabulary.select(F.col("word").alias("token")).distinct()
     if lemmas is not None:
@@ -35,12 +35,15 @@ def english_quality(
     tokens = F.filter(
         F.split(clean_for_scoring(body), " ", -1), lambda w: w != F.lit("")
     )
-    rows = exploded(
-        docs, [key, F.char_length(body).alias("_chars")], term_counts(tokens), "_t", outer=True
-    ).select(key, "_chars", F.col("_t.term").alias("token"), F.col("_t.tf").alias("tf"))
+    counted = docs.select(key, F.char_length(body).alias("_chars"), term_counts(tokens).alias("_t"))
+    rows = (
+        written(counted, "quality_terms")
+        .select(key, "_chars", F.explode_outer("_t").alias("_t"))
+        .select(key, "_chars", F.col("_t.term").alias("token"), F.col("_t.tf").alias("tf"))
+    )
     hits = lookup(
         rows, known.withColumn("_known", F.lit(1)), "token", spread_by=key, how="left",
-        max_bytes=max_bytes,
+        max_bytes=max_bytes, frequent_first=True,
     )
     n = F.when(F.col("_known") == 1, F.col("tf"))
     sums = hits.groupBy(key, "_chars").agg(

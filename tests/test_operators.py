@@ -129,6 +129,23 @@ def test_salted_look_up_equals_the_broadcast_one(spark, how, weight):
     assert small.count() == (3001 if how == "left" else 2960)
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("weight", [None, "n"])
+def test_look_up_of_the_frequent_keys_first_equals_the_broadcast_one(spark, how, weight):
+    facts = spark.range(3000).select(
+        "id", F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("term")
+    ).unionByName(spark.createDataFrame([(9999, None), (9999, "rare")], "id bigint, term string"))
+    dim = facts.groupBy("term").agg(F.count("*").alias("n")).filter("term <> 'k7'")
+    small = lookup(facts, dim, "term", "id", how=how)
+    key = lambda df: sorted(map(str, df.select("id", "term", "n").collect()))
+    for max_bytes in (5, 100, 600):
+        split = lookup(facts, dim, "term", "id", how=how, weight=weight, max_bytes=max_bytes, frequent_first=True)
+        assert split.columns == small.columns
+        assert key(split) == key(small)
+    plan = split._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and "broadcast" in plan
+
+
 def test_term_pipeline(spark):
     docs = spark.createDataFrame([(1, "a b a"), (2, "b c"), (3, "")], "id int, body string")
     terms = doc_terms(docs, "body", ngrams=(1, 2))
