@@ -109,6 +109,20 @@ def test_gate_and_dedupe(spark):
     assert stored.columns[-1] == "app" and stored.schema["alpha_token_count"].dataType.simpleString() == "bigint"
 
 
+def test_values_are_tried_only_where_one_can_start(spark):
+    bodies = [
+        "May 5, 2023 at 10:30 pm, 7% of $1,000.50 or € 3", "first Second xthird fir 2nd 3 km", "£5 2024-01-02 Mayor",
+        " ".join(f"{m} 1" for m in entities.MONTHS.split("|")), "no value", "", None,
+    ]
+    docs = spark.createDataFrame(list(enumerate(bodies)), "id bigint, body string")
+    got, plain = (
+        entities.value_mentions(docs, patterns=p) for p in (entities.VALUE_PATTERNS, dict(entities.VALUE_PATTERNS))
+    )
+    listed = lambda df: sorted(map(tuple, df.collect()))
+    assert listed(got) == listed(plain) and got.count() == 24
+    assert entities.VALUE_STARTS in got._jdf.queryExecution().analyzed().toString()
+
+
 def test_english_quality(spark):
     docs = spark.createDataFrame(
         [(1, "The cat http://x.y sat"), (2, ""), (3, "zzz"), (4, "cats")], "id int, body string"
