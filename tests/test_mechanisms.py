@@ -14,6 +14,7 @@ from contentloom.functions import variants
 from contentloom.operators import hamming, neighbours, refresh as refreshing, sketches
 from contentloom.operators.neighbours import build_vector_index, nearest_neighbours, probes_for
 from contentloom.operators.refresh import KeyedView, refresh
+from contentloom.plans import enrichment_queries
 from contentloom.session import scratch_path, scratch_table, written
 from contentloom.sources import blocks, payloads, tables
 from contentloom.streaming import views
@@ -124,6 +125,42 @@ def test_rows_travel_once_for_each_block_of_queries(spark, monkeypatch):
     assert stored["visits"].count() <= 8
 
 
+@pytest.fixture
+def few_vectors(spark, tmp_path):
+    """A folder with 70 vectors, ids 1 to 70."""
+    rows = [(i + 1, v) for i, v in clustered(70, 4, 9, noise=0.3)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    table.write.parquet(f"{tmp_path}/embeddings.parquet")
+    return str(tmp_path), [(r.vec_id, r.embedding) for r in table.collect()]
+
+
+def test_vector_neighbours_asks_for_every_vector(spark, few_vectors):
+    """Once only ids divisible by 20 were queries."""
+    folder, rows = few_vectors
+    found = enrichment_queries.vector_neighbours(spark, folder).collect()
+    assert sorted(((r.query_id, r.rank, r.neighbour_id, r.similarity) for r in found), key=str) == plain_neighbours(rows, 5)
+
+
+def test_travelling_blocks_grow_with_the_table(spark, monkeypatch):
+    """With blocks of one size, the rows that travel grew with the square of the table."""
+    assert neighbours._travel_rows(1000, 64) == neighbours.BLOCK_ROWS
+    assert neighbours._travel_rows(600_000, 64) == 50_000
+    assert neighbours._travel_rows(10**9, 64) * 64 * 8 <= neighbours.BLOCK_BYTES
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 10)
+    monkeypatch.setattr(neighbours, "BLOCKS", 4)
+    test_neighbours_are_exact(spark, monkeypatch, 7)
+
+
+def test_equal_vectors_are_ranked_by_key(spark):
+    """Many ties, and cosines that single precision does not tell apart."""
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=8)
+    rows = [(i, base.tolist()) for i in range(40)] + [(40 + i, (base + 1e-3 * rng.normal(size=8)).tolist()) for i in range(80)]
+    index = build_vector_index(spark.createDataFrame(rows, "vec_id long, v array<double>"), "vec_id", "v", cells=3)
+    got = sorted(((r.query_id, r.rank, r.neighbour_id, r.similarity) for r in nearest_neighbours(index, 6).collect()), key=str)
+    assert got == plain_neighbours(rows, 6)
+
+
 def test_plan_has_no_product(spark):
     index = build_vector_index(spark.createDataFrame(clustered(50, 2, 1), "vec_id long, v array<double>"), "vec_id", "v", cells=2)
     plan = nearest_neighbours(index, 3)._jdf.queryExecution().toString()
