@@ -141,6 +141,11 @@ def test_vector_neighbours_asks_for_every_vector(spark, few_vectors):
     assert sorted(((r.query_id, r.rank, r.neighbour_id, r.similarity) for r in found), key=str) == plain_neighbours(rows, 5)
 
 
+def test_vector_neighbours_probed_asks_for_every_vector(spark, few_vectors):
+    found = enrichment_queries.vector_neighbours_probed(spark, few_vectors[0]).first()
+    assert (found.n_rows, found.n_found) == (70, 350)
+
+
 def test_travelling_blocks_grow_with_the_table(spark, monkeypatch):
     """With blocks of one size, the rows that travel grew with the square of the table."""
     assert neighbours._travel_rows(1000, 64) == neighbours.BLOCK_ROWS
