@@ -2,13 +2,16 @@
 
 import datetime as dt
 import json
+import math
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from contentloom.enrich import entities, phrases, postings, quality, substrings, topics, transcripts
 from contentloom.functions import language
+from contentloom.operators import terms
 from contentloom.plans import content as ct, streaming_queries, wide
 from contentloom.session import scratch_path, scratch_root, scratch_table
 from contentloom.sources import payloads as pl, tables as tb
@@ -220,6 +223,63 @@ def test_phrases_summaries_titles_styles(spark):
     assert all(sum(x * x for x in vector[i]) == pytest.approx(1.0) for i in (1, 3))
 
 
+def plain_keyphrases(docs, n_docs, k):
+    """Every term of every text scored."""
+    tfs = []
+    for i, text in docs:
+        w = "".join(c if c.isalpha() else " " for c in (text or "").lower()).split()
+        tfs.append((i, Counter(w + [" ".join(p) for p in zip(w, w[1:])])))
+    df = Counter(t for _, tf in tfs for t in tf)
+    scored = {}
+    for i, tf in tfs:
+        found = ((-round(n * (math.log((1 + n_docs) / (1 + df[t])) + 1), 6), t) for t, n in tf.items())
+        scored.setdefault(i, []).extend(found)
+    return {i: ",".join(t for _, t in sorted(found)[:k]) for i, found in scored.items()}
+
+
+def skewed_texts(n):
+    """Long and short texts, with NULL, without words, with an id twice, in two scripts."""
+    rng = random.Random(5)
+    words = [f"{a}{b}" for a in "abcdefghijklmnop" for b in ("x", "y", "é", "ж", "zz")]
+    weights = [1 / (n + 1) ** 1.3 for n in range(len(words))]
+    sizes = [(1, 2, 5, 20, 60, 400)[i % 6] for i in range(n)]
+    texts = [(i, ". ".join(rng.choices(words, weights, k=size))) for i, size in enumerate(sizes)]
+    return [*texts, (3, "zebra ax"), (1000, None), (1001, ""), (1002, "12 - 3"), (1003, "ax ax ax ax")]
+
+
+@pytest.mark.parametrize("max_bytes", [1, 2000, 1 << 20])
+def test_keyphrases_equal_plain_ones(spark, max_bytes):
+    """No, some and all words are sent to the tasks."""
+    docs = skewed_texts(240)
+    df = spark.createDataFrame(docs, "id int, body string").repartition(3)
+    for n_docs, k in ((len(docs), 5), (20, 1)):
+        got = {r.id: r.keywords for r in phrases.keyphrases(df, n_docs, k=k, max_bytes=max_bytes).collect()}
+        assert got == plain_keyphrases(docs, n_docs, k)
+
+
+def test_keyphrases_shuffle_few_terms(spark, monkeypatch):
+    """All terms of all texts were shuffled, several times; 6 GB of texts filled the disk."""
+    docs = spark.createDataFrame(skewed_texts(240), "id int, body string")
+    every = terms.stored_doc_terms(docs, "body", (1, 2))
+    few, seen = terms.contending_terms(docs, "body", 245, 5)
+    assert few.count() < every.count() / 4 and seen.count() < every.count()
+    assert set(seen.select("term").distinct().collect()) >= set(few.select("term").distinct().collect())
+    asked = []
+    monkeypatch.setattr(phrases, "with_idf", lambda t, *args, **more: asked.append(t.count()) or terms.with_idf(t, *args, **more))
+    phrases.keyphrases(docs, 245).collect()
+    assert asked == [few.count()]
+
+
+def test_terms_counted_in_batches(spark, monkeypatch):
+    """The same rows as counted in the row, also with many batches."""
+    docs = spark.createDataFrame(skewed_texts(60), "id int, body string").repartition(2)
+    monkeypatch.setattr(terms, "TEXT_BYTES", 300)
+    for ngrams in ((1,), (1, 2), (3, 1)):
+        got, want = (f(docs, "body", ngrams, "id") for f in (terms._counted, terms._listed))
+        plain = lambda df: sorted((r.id, r.n_terms, sorted(r._t)) for r in df.filter("_t IS NOT NULL").collect())
+        assert plain(got) == plain(want)
+
+
 def test_transcripts_from_unordered_segments(spark):
     segments = spark.createDataFrame(
         [("f", "u", "world", 5.0, 9.2), ("f", "u", "hello", 0.0, 5.0), ("g", "w", "x", 0.0, 1.0)],
