@@ -261,9 +261,11 @@ def test_keyphrases_shuffle_few_terms(spark, monkeypatch):
     """All terms of all texts were shuffled, several times; 6 GB of texts filled the disk."""
     docs = spark.createDataFrame(skewed_texts(240), "id int, body string")
     every = terms.stored_doc_terms(docs, "body", (1, 2))
-    few, seen = terms.contending_terms(docs, "body", 245, 5)
-    assert few.count() < every.count() / 4 and seen.count() < every.count()
-    assert set(seen.select("term").distinct().collect()) >= set(few.select("term").distinct().collect())
+    few, stats = terms.contending_terms(docs, "body", 245, 5)
+    assert few.count() < every.count() / 4
+    df = {r.term: r.df for r in terms.term_stats(every, 245).collect()}
+    counted = {r.term: r.df for r in stats.collect()}
+    assert set(counted) >= {r.term for r in few.collect()} and all(df[t] == n for t, n in counted.items())
     asked = []
     monkeypatch.setattr(phrases, "with_idf", lambda t, *args, **more: asked.append(t.count()) or terms.with_idf(t, *args, **more))
     phrases.keyphrases(docs, 245).collect()
